@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii
-from ._common import spans_text, table
+from . import decontamination, exact_dedup, mixing, pii, secret_scan
+from ._common import spans_text, table, work_path
 
 
 def _digest(spans, kinds: tuple[str, ...]):
@@ -23,5 +23,80 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(_count(s, k) for k in pii.BASE), _digest(s, pii.BASE).alias("base_sha256"), spans_text(s).alias("spans"))
 
 
-QUERIES = {"op2_pii": op2_pii}
-SQL: dict[str, str] = {}
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
+
+
+OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS rank FROM s),
+c AS (SELECT *, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM w),
+f AS (SELECT *, 2 * source_size AS lim, CAST(2 * source_size AS DOUBLE) / weight AS full_at FROM c),
+l AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - coalesce(CAST(sum(lim) OVER b AS DOUBLE), 0)) / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS DOUBLE) AS level
+  FROM f WINDOW b AS (ORDER BY full_at, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+x AS (SELECT arg_min(level, (full_at, rank)) AS level FROM l WHERE level <= full_at),
+t AS (
+  SELECT source, source_size, CASE WHEN x.level IS NULL OR full_at <= x.level THEN CAST(lim AS DOUBLE) ELSE CAST(weight AS DOUBLE) * x.level END AS target
+  FROM f LEFT JOIN x ON true),
+q AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS finish
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(greatest(0, least(size, floor(target) - (finish - size))) + greatest(0, least(size, floor(target) - (source_size + finish - size))) AS BIGINT) AS taken,
+  CASE WHEN target > 0 THEN CAST(finish AS DOUBLE) / target END AS virtual_finish
+FROM q
+"""
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return exact_dedup.ingest(docs, exact_dedup.DigestIndex(spark, work_path(spark, "digest-index")))
+
+
+OP6_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    s = F.col("secrets")
+    return found.select("doc_id", *(_count(s, k) for k in secret_scan.BASE), _digest(s, secret_scan.BASE).alias("base_sha256"), spans_text(s).alias("spans"), F.array_max(s["novelty"]).alias("max_novelty"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    o = F.col("overlap")
+    found = decontamination.annotate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", o["n_words"].alias("n_words"), o["n_hit"].alias("n_hit"), F.size(o["items"]).cast("long").alias("n_items"), F.sha2(F.array_join(o["items"], ","), 256).alias("items_sha256"), o["contaminated"].alias("contaminated"))
+
+
+OP9_SQL = """
+WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM low),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(list_slice(w, k, k + least(13, len(w)) - 1), ' ') AS g
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS k FROM i WHERE len(w) > 0)),
+n AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT doc_id, n, k, array_to_string(list_slice(w, k, k + n - 1), ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k FROM d, n WHERE len(w) >= n)),
+m AS (SELECT doc_id, item, k, n FROM dw JOIN iw USING (n, g)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM m) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+QUERIES = {"op2_pii": op2_pii, "op4_mixing": op4_mixing, "op6_exact_dedup": op6_exact_dedup, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination}
+SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL}
