@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, mixing, pii, secret_scan
+from . import decontamination, exact_dedup, mixing, pii, secret_scan, simhash, token_counts, token_output
 from ._common import spans_text, table, work_path
 
 
@@ -23,6 +24,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(_count(s, k) for k in pii.BASE), _digest(s, pii.BASE).alias("base_sha256"), spans_text(s).alias("spans"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
@@ -53,6 +59,11 @@ FROM q
 """
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_dedup.ingest(docs, exact_dedup.DigestIndex(spark, work_path(spark, "digest-index")))
@@ -98,5 +109,11 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
 """
 
-QUERIES = {"op2_pii": op2_pii, "op4_mixing": op4_mixing, "op6_exact_dedup": op6_exact_dedup, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination}
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    written = token_output.write(docs, work_path(spark, "shards"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return written.withColumnRenamed("docs", "doc_ids")
+
+
+QUERIES = {"op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output}
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL}
