@@ -76,3 +76,25 @@ def words_of(text) -> F.Column:
 def spans_text(spans) -> F.Column:
     """``kind:start:end``, comma-joined, of an array of structs that is already in order."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", most: int = 2_000_000) -> DataFrame:
+    """``docs`` without the rows of some ``ids``: broadcast when there are no more than ``most``, else joined in a shuffle."""
+    ids = cut(ids.select(key).distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= most else ids, key, "left_anti")
+
+
+def octave(n: str) -> F.Column:
+    """Quarter octaves of a count."""
+    return F.floor(F.log2(n) * 4)
+
+
+def frequent(counts: DataFrame, n: str, most: int) -> F.Column:
+    """A condition on ``n`` that the most frequent rows of ``counts`` meet, no more than ``most`` of them."""
+    least, reached = None, 0
+    for step, rows in sorted(counts.groupBy(octave(n).alias("step")).count().collect(), reverse=True):
+        reached += rows
+        if reached > most:
+            break
+        least = step
+    return F.lit(False) if least is None else octave(n) >= least

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, mixing, pii, secret_scan, simhash, token_counts, token_output
+from . import decontamination, exact_dedup, lm_scoring, mixing, pii, secret_scan, simhash, token_counts, token_output
 from ._common import spans_text, table, work_path
 
 
@@ -75,6 +75,11 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_scoring.score(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return scores.select("doc_id", "n_tokens", F.round("log10_prob", 6).alias("log10_prob"), F.round("score", 6).alias("score"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
     s = F.col("secrets")
@@ -115,5 +120,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.withColumnRenamed("docs", "doc_ids")
 
 
-QUERIES = {"op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output}
+QUERIES = {"op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output}
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL}

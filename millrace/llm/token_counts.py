@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens
-from ._common import work_path
+from ._common import frequent, work_path
 
 #: Pre-tokens joined by broadcast at most, and entries after which a task hands on what it has counted or forgets what it knows.
 HEAD, HOLD = 1 << 18, 1 << 19
@@ -95,27 +95,14 @@ def dictionary(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return counts.groupBy("pretoken").agg(F.sum("n").alias("n")).mapInArrow(_pieces(path), "pretoken string, n long, pieces long")
 
 
-def _frequent(words: DataFrame, most: int) -> int:
-    """The smallest number of occurrences, on a scale of quarter octaves, that at most ``most`` pre-tokens reach."""
-    scale = F.floor(F.log2("n") * 4)
-    least, reached = None, 0
-    for step, rows in sorted(words.groupBy(scale.alias("step")).count().collect(), reverse=True):
-        reached += rows
-        if reached > most:
-            break
-        least = step
-    return least
-
-
 def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """One row per document: doc_id, n_bytes and n_tokens."""
     spark = docs.sparkSession
     specials = pretokens.specials_of(special_tokens(path))
     dictionary(docs, path, text).write.parquet(at := work_path(spark, "pretokens"))
     words = spark.read.parquet(at)
-    step = _frequent(words, head)
-    frequent = F.lit(False) if step is None else F.floor(F.log2("n") * 4) >= step
-    known = spark.sparkContext.broadcast({r.pretoken: r.pieces for r in words.where(frequent).select("pretoken", "pieces").toLocalIterator()})
+    common = frequent(words, "n", head)
+    known = spark.sparkContext.broadcast(dict(map(tuple, words.where(common).select("pretoken", "pieces").collect())))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, seen = known.value, {}
@@ -146,6 +133,6 @@ def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", h
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"), doc.alias("doc"))
     kind = numbered.schema["doc"].dataType.simpleString()
     frequencies = numbered.mapInArrow(split, f"row long, pretoken string, n long, head long, doc {kind}")
-    joined = frequencies.join(words.where(~frequent).select("pretoken", "pieces"), "pretoken", "left")
+    joined = frequencies.join(words.where(~common).select("pretoken", "pieces"), "pretoken", "left")
     tokens = F.sum(F.col("head") + F.col("n") * F.coalesce("pieces", F.lit(0)))
     return joined.groupBy("row").agg(F.first("doc", ignorenulls=True).alias("doc"), tokens.alias("n_tokens")).select("doc.doc_id", "doc.n_bytes", "n_tokens")
