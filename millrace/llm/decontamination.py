@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words of the original text: as of the normal one, with A-Z.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bytes to their normal form: A-Z in lower case, what parts words to a space, the rest (and all of UTF-8 beyond ASCII) kept.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 RESULT = "struct<n_words:long,n_hit:long,items:array<string>,spans:array<struct<start:int,end:int>>>"
