@@ -1,13 +1,69 @@
-"""Stages of the corpus pipeline."""
+"""From raw documents to training shards: each stage's result is written as Parquet and read again as the next one's input."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import decontamination, language_id, mixing, simhash, token_output
+from millrace.llm._common import prepare, table, without, work_path
+
+#: Copies of a text that the mix may take.
+REPEATS = 2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language; those that no language explains go."""
+    judged = language_id.fuse(language_id.document_evidence(docs), language_id.fit(docs))
+    return without(docs, judged.where(~F.col("accepted")).select(F.col("id").alias("doc_id")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints the document with the smallest id."""
+    found = simhash.components(docs)
+    return without(docs, found.where(F.col("doc_id") != F.col("component_id")))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passages to speak of."""
+    judged = decontamination.annotate(docs, table(spark, sf_dir, "benchmark"), out="overlap")
+    return judged.where(~F.col("overlap.contaminated")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    mixed = mixing.mix(docs, repeats=REPEATS)
+    taken = mixed.select("doc_id", mixing.copies(mixed).alias("copies")).where("copies > 0").dropDuplicates(["doc_id"])
+    repeated = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Binary shards in training order; a row for each sequence."""
+    written = token_output.write(docs, work_path(spark, "shards"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return written.withColumnRenamed("docs", "doc_ids")
+
 
-STAGES: list = []
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("token_output", write_tokens),
+]
+#: Language models and fingerprints can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
-    raise NotImplementedError
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(at := work_path(spark, name))
+        docs = spark.read.parquet(at)
+    return docs

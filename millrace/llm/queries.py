@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, lm_scoring, mixing, pii, secret_scan, simhash, token_counts, token_output
+from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, pii, secret_scan, simhash, token_counts, token_output
 from ._common import spans_text, table, work_path
 
 
@@ -18,6 +18,16 @@ def _count(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (with doc_id) and web pages (with page_id), whose markup and addresses give the further evidence."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language_id.fit(docs)
+    none = F.lit(None).cast("long")
+    of_docs = language_id.fuse(language_id.document_evidence(docs), model).withColumnRenamed("id", "doc_id").withColumn("page_id", none)
+    of_pages = language_id.fuse(language_id.page_evidence(pages), model).withColumnRenamed("id", "page_id").withColumn("doc_id", none)
+    return of_docs.unionByName(of_pages).select("doc_id", "page_id", "lang", F.round("confidence", 9).alias("confidence"), "accepted", "text_lang")
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
     s = F.col("pii")
@@ -120,5 +130,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.withColumnRenamed("docs", "doc_ids")
 
 
-QUERIES = {"op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output}
+QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output}
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL}
