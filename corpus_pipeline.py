@@ -34,10 +34,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; rows that share an id share what they are taken."""
     mixed = mixing.mix(docs, repeats=REPEATS)
-    taken = mixed.select("doc_id", mixing.copies(mixed).alias("copies")).where("copies > 0").dropDuplicates(["doc_id"])
-    repeated = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    taken = mixed.groupBy(F.col("doc_id").alias("taken_id")).agg(F.round(F.avg(mixing.copies(mixed))).cast("int").alias("copies")).where("copies > 0")
+    repeated = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("taken_id"))).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select(*docs.columns)
 
 
