@@ -93,7 +93,8 @@ def page(rows: DataFrame, keys: Sequence[str | Column], offset: int = 0, limit:
 
 def search(rows: DataFrame, column: str, text: str) -> DataFrame:
     """Rows whose column contains a text in any case."""
-    return rows.where(F.col(column).rlike(F.concat(F.lit("(?i)\\Q"), F.lit(text.replace("\\E", "\\E\\\\E\\Q")), F.lit("\\E"))))
+    quoted = text.replace("\\E", "\\E\\\\E\\Q")
+    return rows.where(F.col(column).rlike(f"(?i)\\Q{quoted}\\E"))
 
 
 def last_by(rows: DataFrame, column: str) -> DataFrame:
