@@ -2,8 +2,8 @@
 
 For each language, and for "und" (no language: bytes at random), these are added as logarithms:
 
-* text: likelihood of the byte trigrams of the whole text under a smoothed model of each language, fitted on a bounded
-  sample of labelled rows (``SAMPLE``, chosen by hash of the id). A byte is in three trigrams, so a third of it counts;
+* text: likelihood of the byte trigrams of the whole text under a smoothed model of each language with noise, fitted on a
+  bounded sample of labelled rows (``SAMPLE``, chosen by hash of the id). A byte is in three trigrams, so a third of it counts;
 * declared language: how often texts that are most likely in a language declare this one;
 * address suffix: how much more often texts most likely in a language have this last label of a host;
 * host prior: the share of languages among a host's texts, smoothed by its domain's, smoothed by all rows'.
@@ -33,6 +33,8 @@ from ._common import cut, join_groups
 SAMPLE, SHARE, LANGUAGES = 8000, 0.005, 64
 #: Trigram classes, smoothing of their counts, and the part of a text's log-likelihood that counts.
 CLASSES, ALPHA, TEMPER = 1 << 16, 0.1, 1 / 3
+#: Share of a language's trigrams that may be anything, as names, numbers and keys are: a text is "und" only if nearly all of it is.
+NOISE = 0.5
 #: Weight of a wider level's shares in a narrower one, in rows; of declared languages and suffixes in rows; prior of "und".
 HOST_WEIGHT, EVIDENCE_WEIGHT, UND = 10.0, 5.0, 0.001
 ACCEPT = 0.5
@@ -100,7 +102,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     for (label, c), n in counts.items():
         if c >= 0 and label in place:
             table[c, place[label]] += n
-    return TextModel(languages, np.log(table / table.sum(0)).astype(np.float32))
+    return TextModel(languages, np.log((1 - NOISE) * table / table.sum(0) + NOISE / CLASSES).astype(np.float32))
 
 
 def page_evidence(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
