@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from millrace.functions import errors
 
 
-def error_records(df: DataFrame, source_system: str, dataset: str, info_date: Column, info_version: Column, run_url: str = "", run_id: str = "", record_id: str = "record_id", ingestion: int = 1) -> DataFrame:
-    """One record per error of the frame."""
+def error_records(df: DataFrame, source_system: str, dataset: str, info_date: Column, info_version: Column, dataset_version: int = 1, unique_run_id: str = "", run_id: int = 0, run_url: str = "", record_id: str = "record_id", output_path: str | None = None, ingestion: int | None = None) -> DataFrame:
+    """One record per error of the frame; the fields of the value are fixed by the format of error messages."""
     rows = errors.exploded(df.withColumn("__id", F.col(record_id).cast("string")), "__id")
+    stage = F.when(F.col("errType").startswith("std"), "standardization").otherwise("conformance")
+    none = F.lit(None)
+    more = {"datasetName": F.lit(dataset), "reportDate": info_date.cast("string"), "reportVersion": info_version.cast("string"), "datasetVersion": F.lit(str(dataset_version)), "uniqueRunId": F.lit(unique_run_id), "runId": F.lit(str(run_id)), "runUrl": F.lit(run_url), "errCol": F.col("errCol"), "rawValues": F.array_join("rawValues", ",")}
     value = F.struct(
-        F.lit(source_system).alias("sourceSystem"), F.lit("").alias("sourceSystemId"), F.lit(dataset).alias("dataset"), F.lit(ingestion).alias("ingestionNumber"),
-        F.unix_millis(F.current_timestamp()).alias("processingTimestamp"), F.unix_date(info_date).alias("informationDate"), info_version.alias("outputFileName"),
-        F.col("__id").alias("recordId"), F.col("errType").alias("errorSourceId"), F.col("errCode").alias("errorCode"), F.col("errMsg").alias("errorDescription"),
-        F.lit(run_url).alias("runUrl"), F.lit(run_id).alias("runId"),
+        F.lit(source_system).alias("sourceSystem"), none.cast("string").alias("sourceSystemId"), F.lit(dataset).alias("dataset"), F.lit(ingestion).cast("long").alias("ingestionNumber"),
+        F.unix_millis(F.current_timestamp()).alias("processingTimestamp"), F.unix_date(info_date).alias("informationDate"), F.lit(output_path).cast("string").alias("outputFileName"),
+        F.col("__id").alias("recordId"), stage.alias("errorSourceId"), F.col("errType").alias("errorType"), F.col("errCode").alias("errorCode"), F.col("errMsg").alias("errorDescription"),
+        F.create_map(*(c for k, v in more.items() for c in (F.lit(k), v))).alias("additionalInfo"),
     )
     return rows.select(F.col("__id").alias("key"), F.to_json(value).alias("value"))
 

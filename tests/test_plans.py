@@ -134,7 +134,7 @@ def test_jobs(spark, tmp_path):
     spark.createDataFrame([("1", "a"), ("x", "b")], "id string, v string").write.csv(raw)
     said, sent = [], []
     schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("v", T.StringType())])
-    one = job.Job("d", 1, day, schema, f"{tmp_path}/raw", f"{tmp_path}/std", f"{tmp_path}/out", rules=[R.Uppercase(order=1, input="v", output="loud", checkpoint=True)], format="csv", record_id="stable", clean_standardized=True,
+    one = job.Job("d", 1, day, schema, f"{tmp_path}/raw", f"{tmp_path}/std", f"{tmp_path}/out", rules=[R.Uppercase(order=1, input="v", output="loud", checkpoint=True)], format="csv", record_id="stable", clean_standardized=True, partition_bytes=1 << 20,
                   on_status=lambda stage, status: said.append((stage, status)), post_processors=[lambda df, what: sent.append((what["stage"], df.count()))])
     out = {r["v"]: r for r in rows(job.both(spark, one))}
     assert (out["a"]["loud"], out["b"]["id"], out["b"]["errCol"][0]["errCode"]) == ("A", 0, "E00000")

@@ -44,4 +44,5 @@ def test_error_messages(spark):
     out = messages.error_records(df, "src", "set", F.lit("2024-01-02").cast("date"), F.lit("1")).collect()
     value = json.loads(out[0].value)
     assert len(out) == 1 and (value["errorCode"], value["dataset"], value["informationDate"]) == ("E00003", "set", 19724) and value["recordId"] == out[0].key
+    assert (value["errorSourceId"], value["additionalInfo"]["errCol"], value["additionalInfo"]["rawValues"]) == ("conformance", "n", "x")
     assert json.loads(messages.control_record(spark, "k", {"a": 1}).first().value) == {"a": 1}
