@@ -16,7 +16,7 @@ from millrace.plans import measures, runs
 from millrace.plans.conform import Options, conform, overwrite, with_info
 from millrace.plans.standardize import Options as StdOptions
 from millrace.plans.standardize import standardize
-from millrace.session import prepare
+from millrace.session import prepare, shared_path
 from millrace.streaming.conformed import Settings, conformed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,12 +471,12 @@ def stream_rules_on_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, upper(event_type) AS kind, strftime(ts, '%Y-%m-%d') AS info_date FROM events")
 def stream_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rules on a file stream that runs until it has read what is there, written as Parquet."""
-    import uuid
-
     events = read(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "events*.parquet" if _is_file(spark, f"{sf_dir}/events.parquet") else "*.parquet").parquet(sf_dir if _is_file(spark, f"{sf_dir}/events.parquet") else f"{sf_dir}/events.parquet")
+    single = _is_file(spark, f"{sf_dir}/events.parquet")  # a stream reads folders
+    source = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet" if single else "*.parquet")
+    stream = source.parquet(sf_dir if single else f"{sf_dir}/events.parquet")
     out = conformed(stream, [R.Uppercase(order=1, input="event_type", output="kind")], settings=Settings(date_column="ts")).select("event_id", "kind", F.col("info_date").cast("string").alias("info_date"))
-    at = f"{spark.conf.get('spark.checkpoint.dir', '/tmp/millrace').rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = shared_path(spark, "stream")
     out.writeStream.format("parquet").option("path", f"{at}/data").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{at}/data")
 

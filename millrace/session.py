@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -27,3 +29,12 @@ def lenient_casts(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A fresh path in the folder that driver and executors share, ``spark.checkpoint.dir``; in local mode one is made if need be."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = folder or f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    return f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"
