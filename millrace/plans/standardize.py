@@ -52,9 +52,9 @@ def standardize(df: DataFrame, schema: T.StructType, options: Options | None = N
         raise ValueError(f"record ids are {', '.join(RECORD_IDS)}, not {options.record_id}")
     plan = _Plan(options)
     with lenient_casts(df.sparkSession):
-        old = [F.col(errors.ERRORS)] if errors.ERRORS in errors.with_errors(df.limit(0)).columns and errors.ERRORS in df.columns else []
-        columns = [_field(plan, f, F.col(f"`{s}`") if (s := _source(df.schema, f)) else None, df.schema[s].dataType if s else None, _name(f), lambda make: make(None)) for f in schema.fields if f.name != errors.ERRORS]
-        named = [c.alias(f.name, metadata=f.metadata) for c, f in zip(columns, (f for f in schema.fields if f.name != errors.ERRORS), strict=True)]
+        errors.with_errors(df)  # refuses an error column of another type
+        old = [F.col(errors.ERRORS)] if errors.ERRORS in df.columns else []
+        named = [_root(plan, df.schema, f).alias(f.name, metadata=f.metadata) for f in schema.fields if f.name != errors.ERRORS]
         corrupt = []
         if options.corrupt_column and options.corrupt_column in df.columns:
             record = F.col(f"`{options.corrupt_column}`")
@@ -82,6 +82,14 @@ def _source(schema: T.StructType, f: T.StructField) -> str | None:
     return next((c.name for c in schema.fields if c.name.lower() == _name(f).lower()), None)
 
 
+def _root(plan: _Plan, given: T.StructType, f: T.StructField) -> Column:
+    """The value of a column of the schema."""
+    name = _source(given, f)
+    if name is None:
+        return _field(plan, f, None, None, _name(f), lambda make: make(None))
+    return _field(plan, f, F.col(f"`{name}`"), given[name].dataType, _name(f), lambda make: make(None))
+
+
 def shape(kind: T.DataType) -> str:
     return "struct" if isinstance(kind, T.StructType) else "array" if isinstance(kind, T.ArrayType) else "map" if isinstance(kind, T.MapType) else "primitive"
 
