@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,31 +37,30 @@ from ._common import work_path
 
 LENGTH, PER_SHARD, ROUNDS = 1024, 4096, 6
 END = 50256
-#: Chunks of text whose ids a task remembers.
-HOLD = 1 << 19
-MASK = np.uint64((1 << 64) - 1)
+#: How the table of sequences is written: ids are large and repeat each other, so pages are compressed well.
+TABLE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary#ids": "false"}
+#: White space of this length is left to a pattern library without a stack.
+RUN = 50_000
+BLANK = re.compile(rf"\s{{{RUN}}}")
 
 
 class Encoder:
-    """Ids of whole texts, put together from those of chunks that are seen again and again."""
+    """16-bit ids of texts."""
 
     def __init__(self, ranks_path: str):
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        self.encode = tiktoken.Encoding("ranks", pat_str=pretokens.PATTERN.pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pretokens.PATTERN.pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def of(self, chunk: str) -> bytes:
-        found = self.known.get(chunk)
-        if found is None:
-            if len(self.known) >= HOLD:
-                self.known.clear()
-            found = self.known[chunk] = np.array(self.encode(chunk), "<u2").tobytes()
-        return found
+    def encode(self, text: str) -> list[int]:
+        """The library's pattern runs out of stack on very long white space; such texts are cut here and encoded piece by piece."""
+        if len(text) > RUN and BLANK.search(text):
+            return [i for piece in pretokens.cut(text) for i in self.encoding._encode_single_piece(piece)]
+        return self.encoding.encode_ordinary(text)
 
     def ids(self, text: str) -> bytes:
-        """16-bit ids of the text and the end-of-text id."""
-        return b"".join(map(self.of, pretokens.chunks(text))) + END.to_bytes(2, "little")
+        """Ids of the text and the end-of-text id."""
+        return np.array([*self.encode(text), END], "<u2").tobytes()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -94,12 +94,12 @@ def permute(numbers: np.ndarray, domain: int, key: str, back: bool = False) -> n
 
 
 def sequences(docs: DataFrame, ranks_path: str, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Packed sequences: task, number within the task, ids in use, their documents, and the ids (zstandard, unpadded)."""
+    """Packed sequences: task, number within the task, ids in use, their documents, and the unpadded ids, as a written table."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, small, task = Encoder(ranks_path), zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId()
+        encoder, task = Encoder(ranks_path), TaskContext.get().partitionId()
         names, stride = ["task", "n", "n_tokens", "docs", "ids"], 2 * length
         pending, held, n = bytearray(), [], 0
         key_kind = pa.int64()
@@ -120,19 +120,19 @@ def sequences(docs: DataFrame, ranks_path: str, length: int = LENGTH, key: str =
                     held.append(doc)
                     at += len(part)
                     if len(pending) == stride:
-                        full.append((n, length, held, small.compress(bytes(pending))))
+                        full.append((n, length, held, bytes(pending)))
                         pending, held, n = bytearray(), [], n + 1
             yield rows(full)
         if pending:
-            yield rows([(n, len(pending) // 2, held, small.compress(bytes(pending)))])
+            yield rows([(n, len(pending) // 2, held, bytes(pending))])
 
     packed = docs.select(F.col(key), F.col(text)).mapInArrow(pack, f"task int, n long, n_tokens int, docs array<{kind}>, ids binary")
-    packed.write.option("compression", "zstd").parquet(at := work_path(spark, "sequences"))
+    packed.write.options(**TABLE).parquet(at := work_path(spark, "sequences"))
     return spark.read.parquet(at)
 
 
 def slotted(packed: DataFrame, key: str, per_shard: int = PER_SHARD) -> tuple[DataFrame, int]:
-    """Sequences with their global number, slot and shard; and how many there are.
+    """Sequences with their global number, slot and shard, ids compressed for the way to their shards; and how many there are.
 
     The numbers where tasks start are one small row for each task that read the input, so they are broadcast.
     """
@@ -145,8 +145,13 @@ def slotted(packed: DataFrame, key: str, per_shard: int = PER_SHARD) -> tuple[Da
         for batch in numbers:
             yield pa.array(permute(batch.to_numpy(zero_copy_only=False), total, key))
 
+    def smaller(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        frame = zstandard.ZstdCompressor(level=3)
+        for batch in ids:
+            yield pa.array([frame.compress(x) for x in batch.to_pylist()], pa.binary())
+
     numbered = packed.join(F.broadcast(starts), "task").withColumn("number", F.col("start") + F.col("n"))
-    placed = numbered.withColumn("slot", F.arrow_udf(slots, "long")(F.col("number")))
+    placed = numbered.withColumns({"slot": F.arrow_udf(slots, "long")(F.col("number")), "ids": F.arrow_udf(smaller, "binary")(F.col("ids"))})
     return placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int")), total
 
 
