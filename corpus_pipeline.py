@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, language_id, mixing, simhash, token_output
-from millrace.llm._common import prepare, table, without, work_path
+from millrace.llm._common import prepare, remove, table, without, work_path
 
 #: Copies of a text that the mix may take.
 REPEATS = 2
@@ -62,8 +62,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(at := work_path(spark, name))
-        docs = spark.read.parquet(at)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(at), at
     return docs

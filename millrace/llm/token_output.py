@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import pretokens
-from ._common import work_path
+from ._common import remove, work_path
 
 LENGTH, PER_SHARD, ROUNDS = 1024, 4096, 6
 END = 50256
 #: How the table of sequences is written: ids are large and repeat each other, so pages are compressed well.
-TABLE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary#ids": "false"}
+TABLE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary#ids": "false", "parquet.page.size": str(8 << 20)}
+#: Sequences that prime the compression of the others on their way to the shards: they hold the common ids.
+PRIMER = 64
 #: White space of this length is left to a pattern library without a stack.
 RUN = 50_000
 BLANK = re.compile(rf"\s{{{RUN}}}")
@@ -93,8 +95,8 @@ def permute(numbers: np.ndarray, domain: int, key: str, back: bool = False) -> n
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, ranks_path: str, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Packed sequences: task, number within the task, ids in use, their documents, and the unpadded ids, as a written table."""
+def sequences(docs: DataFrame, at: str, ranks_path: str, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Packed sequences: task, number within the task, ids in use, their documents, and the unpadded ids, as a table written to ``at``."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
 
@@ -127,12 +129,16 @@ def sequences(docs: DataFrame, ranks_path: str, length: int = LENGTH, key: str =
             yield rows([(n, len(pending) // 2, held, bytes(pending))])
 
     packed = docs.select(F.col(key), F.col(text)).mapInArrow(pack, f"task int, n long, n_tokens int, docs array<{kind}>, ids binary")
-    packed.write.options(**TABLE).parquet(at := work_path(spark, "sequences"))
+    packed.write.options(**TABLE).parquet(at)
     return spark.read.parquet(at)
 
 
-def slotted(packed: DataFrame, key: str, per_shard: int = PER_SHARD) -> tuple[DataFrame, int]:
-    """Sequences with their global number, slot and shard, ids compressed for the way to their shards; and how many there are.
+def _primed(primer: bytes) -> zstandard.ZstdCompressionDict:
+    return zstandard.ZstdCompressionDict(primer or b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
+def slotted(packed: DataFrame, key: str, per_shard: int = PER_SHARD) -> tuple[DataFrame, int, bytes]:
+    """Sequences with their global number, slot and shard, ids compressed for the way to their shards; how many; what primed them.
 
     The numbers where tasks start are one small row for each task that read the input, so they are broadcast.
     """
@@ -140,19 +146,20 @@ def slotted(packed: DataFrame, key: str, per_shard: int = PER_SHARD) -> tuple[Da
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = tasks.select("task", F.coalesce(F.sum("sequences").over(before), F.lit(0)).alias("start"))
     total = packed.count()
+    primer = b"".join(r.ids for r in packed.select("ids").limit(PRIMER).collect())
 
     def slots(numbers: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in numbers:
             yield pa.array(permute(batch.to_numpy(zero_copy_only=False), total, key))
 
     def smaller(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        frame = zstandard.ZstdCompressor(level=3)
+        frame = zstandard.ZstdCompressor(level=3, dict_data=_primed(primer))
         for batch in ids:
             yield pa.array([frame.compress(x) for x in batch.to_pylist()], pa.binary())
 
     numbered = packed.join(F.broadcast(starts), "task").withColumn("number", F.col("start") + F.col("n"))
     placed = numbered.withColumns({"slot": F.arrow_udf(slots, "long")(F.col("number")), "ids": F.arrow_udf(smaller, "binary")(F.col("ids"))})
-    return placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int")), total
+    return placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int")), total, primer
 
 
 def shard_name(shard: int) -> str:
@@ -169,7 +176,8 @@ def write(docs: DataFrame, path: str, ranks_path: str, order_key: str = "order",
     Columns: number, slot, shard, byte_offset in its shard, n_tokens without padding, docs, ids_sha256 of the padded ids.
     """
     spark = docs.sparkSession
-    placed, total = slotted(sequences(docs, ranks_path, length, key, text), order_key, per_shard)
+    packed = work_path(spark, "sequences")
+    placed, total, primer = slotted(sequences(docs, packed, ranks_path, length, key, text), order_key, per_shard)
     stride, shards = 2 * length, -(-total // per_shard)
     files, base = _filesystem(path)
     files.create_dir(base, recursive=True)
@@ -178,7 +186,7 @@ def write(docs: DataFrame, path: str, ranks_path: str, order_key: str = "order",
 
     def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _filesystem(path)
-        plain, pad = zstandard.ZstdDecompressor(), END.to_bytes(2, "little")
+        plain, pad = zstandard.ZstdDecompressor(dict_data=_primed(primer)), END.to_bytes(2, "little")
         attempt, shard, out, size = TaskContext.get().taskAttemptId(), None, None, 0
 
         def finish() -> None:
@@ -207,9 +215,10 @@ def write(docs: DataFrame, path: str, ranks_path: str, order_key: str = "order",
 
     kind = docs.schema[key].dataType.simpleString()
     chosen = placed.select("number", "slot", "shard", ((F.col("slot") % per_shard) * stride).alias("byte_offset"), "n_tokens", "docs", "ids")
-    ranged = chosen.repartitionByRange(max(shards, 1), "shard").sortWithinPartitions("slot")
+    ranged = chosen.repartitionById(max(shards, 1), "shard").sortWithinPartitions("slot")  # a shard is a range of slots: no sampling
     rows = ranged.mapInArrow(shards_of, f"number long, slot long, shard int, byte_offset long, n_tokens int, docs array<{kind}>, ids_sha256 string")
     rows.write.mode("overwrite").parquet(f"{path}/manifest")
+    remove(spark, packed)
     return spark.read.parquet(f"{path}/manifest")
 
 
