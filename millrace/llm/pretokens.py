@@ -1,16 +1,14 @@
-"""Byte-level BPE texts cut into pre-tokens and into chunks that can be encoded one by one.
+"""Byte-level BPE texts cut into pre-tokens.
 
 A pre-token is what the merges of the vocabulary never cross. A space before a character that isn't white space always starts
-one, so a text whose white space is single spaces and line breaks falls apart at its spaces; few distinct chunks
-come up again and again, and what is known of a chunk needs no second look. Texts in which a space stands between white space
-are cut by the full pattern instead.
+one, so a text whose white space is single spaces and line breaks falls apart at its spaces; a word that comes up again
+needs no second look. Texts in which a space stands between white space are cut by the full pattern instead.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterable
 from functools import cache
 
@@ -48,21 +46,14 @@ def specials_of(names: Iterable[str]) -> re.Pattern | None:
     return re.compile("|".join(map(re.escape, known))) if known else None
 
 
-def chunks(text: str) -> list[str]:
-    """Chunks in order; joined they are the text, and their pre-tokens are those of the text."""
+def words(text: str) -> tuple[list[str], list[str]]:
+    """A text as pre-tokens and as words that a space stands before; the pre-tokens of a word w are those of ``" " + w``."""
     if GAP.search(text):
-        return cut(text)
+        return cut(text), []
     first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + w for w in rest]
+    return cut(first) if first else [], rest
 
 
-def counted(text: str) -> Counter:
-    """Chunks with how often each occurs."""
-    if GAP.search(text):
-        return Counter(cut(text))
-    first, *rest = text.split(" ")
-    found = Counter(rest)
-    found = Counter({" " + w: n for w, n in found.items()})
-    if first:
-        found[first] += 1
-    return found
+def of_word(word: str) -> list[str]:
+    """Pre-tokens of a word with the space before it."""
+    return [f" {word}"] if word.isalpha() else cut(f" {word}")

@@ -26,7 +26,7 @@ from . import pretokens
 from ._common import frequent, work_path
 
 #: Pre-tokens joined by broadcast at most, and entries after which a task hands on what it has counted or forgets what it knows.
-HEAD, HOLD = 1 << 18, 1 << 19
+HEAD, HOLD = 1 << 17, 1 << 17
 #: Rows of a batch that a task hands on.
 ROWS = 1 << 14
 
@@ -50,30 +50,40 @@ def _cut_out(text: str, specials) -> tuple[list[str], int]:
 
 
 def _frequencies(specials) -> callable:
-    """Batches of texts to batches of (pretoken, n) of the task."""
-    def pretokens_of(found: Counter) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        for chunk, n in found.items():
-            for p in pretokens.cut(chunk):
-                total[p] += n
-        names, counts = list(total), list(total.values())
-        for k in range(0, len(names), ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array(names[k : k + ROWS], pa.string()), pa.array(counts[k : k + ROWS], pa.int64())], names=["pretoken", "n"])
+    """Batches of texts to batches of (pretoken, n); a pre-token may come several times."""
+    def pretokens_of(found: Counter, words: Counter) -> Iterator[pa.RecordBatch]:
+        names, counts = list(found), list(found.values())
+        for word, n in words.items():
+            own = pretokens.of_word(word)
+            names += own
+            counts += [n] * len(own)
+            if len(names) >= ROWS:
+                yield _batch(names, counts)
+                names, counts = [], []
+        yield _batch(names, counts)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
+        words: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for part in _cut_out(text, specials)[0]:
-                    found.update(pretokens.counted(part))
-                if len(found) >= HOLD:
-                    yield from pretokens_of(found)
+                    whole, rest = pretokens.words(part)
+                    found.update(whole)
+                    words.update(rest)
+                if len(found) + len(words) >= HOLD:
+                    yield from pretokens_of(found, words)
                     found.clear()
-        yield from pretokens_of(found)
+                    words.clear()
+        yield from pretokens_of(found, words)
 
     return frequencies
 
 
+def _batch(names: list[str], counts: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["pretoken", "n"])
+
+
 def _pieces(path: str) -> callable:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -82,8 +92,8 @@ def _pieces(path: str) -> callable:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         for batch in batches:
-            encoded = tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(e) for e in encoded], pa.int64())], names=["pretoken", "n", "pieces"])
+            lengths = [len(tokenizer.encode(p, add_special_tokens=False)) for p in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lengths, pa.int64())], names=["pretoken", "n", "pieces"])
 
     return pieces
 
@@ -95,6 +105,11 @@ def dictionary(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return counts.groupBy("pretoken").agg(F.sum("n").alias("n")).mapInArrow(_pieces(path), "pretoken string, n long, pieces long")
 
 
+def _rows(rows: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "pretoken", "n", "head", "doc"])
+
+
 def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """One row per document: doc_id, n_bytes and n_tokens."""
     spark = docs.sparkSession
@@ -105,7 +120,18 @@ def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", h
     known = spark.sparkContext.broadcast(dict(map(tuple, words.where(common).select("pretoken", "pieces").collect())))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, seen = known.value, {}
+        pieces = known.value
+        seen: dict[str, int | tuple[int, list[str]]] = {}  # pieces of a word; with the pre-tokens that aren't known, if any
+
+        def look(word: str) -> int | tuple[int, list[str]]:
+            if len(seen) >= HOLD:
+                seen.clear()
+            own = pretokens.of_word(word)
+            others = [p for p in own if p not in pieces]
+            here = sum(pieces.get(p, 0) for p in own)
+            out = seen[word] = (here, others) if others else here
+            return out
+
         for batch in batches:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), batch.column(2).type]
             rows: list[tuple] = []
@@ -113,21 +139,28 @@ def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", h
                 parts, total = _cut_out(text or "", specials)
                 rest: Counter = Counter()
                 for part in parts:
-                    for chunk, n in pretokens.counted(part).items():
-                        if chunk not in seen:
-                            if len(seen) >= HOLD:
-                                seen.clear()
-                            cut = pretokens.cut(chunk)
-                            seen[chunk] = sum(pieces.get(p, 0) for p in cut), [p for p in cut if p not in pieces]
-                        here, others = seen[chunk]
-                        total += here * n
-                        for p in others:
-                            rest[p] += n
+                    whole, words = pretokens.words(part)
+                    for p in whole:
+                        if p in pieces:
+                            total += pieces[p]
+                        else:
+                            rest[p] += 1
+                    for word, n in Counter(words).items():
+                        found = seen.get(word)
+                        if found is None:
+                            found = look(word)
+                        if found.__class__ is int:
+                            total += found * n
+                        else:
+                            total += found[0] * n
+                            for p in found[1]:
+                                rest[p] += n
                 rows.append((row, f"\0{row}", 0, total, doc))  # no pre-token has a digit after another character: this one joins nothing
                 rows += [(row, p, n, 0, None) for p, n in rest.items()]
-            for k in range(0, len(rows), ROWS):
-                part = rows[k : k + ROWS]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], kinds[i]) for i in range(5)], names=["row", "pretoken", "n", "head", "doc"])
+                if len(rows) >= ROWS:
+                    yield _rows(rows, kinds)
+                    rows = []
+            yield _rows(rows, kinds)
 
     doc = F.struct(F.col(key).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"), doc.alias("doc"))
