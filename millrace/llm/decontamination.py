@@ -16,6 +16,7 @@ repeated rows repeat their result; without items nothing is hit; an output name
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -120,9 +121,12 @@ def _merged(docs: DataFrame, parts: list[str], text: str, out: str) -> DataFrame
             rows = []
             for t, *each in zip(batch.to_pylist(), *(r.to_pylist() for r in results), strict=True):
                 places = [m.span() for m in WORD.finditer(t or "")]
-                hit = sorted({k for k, (s, e) in enumerate(places) for r in each for x in r["spans"] if x["start"] <= s and e <= x["end"]})
-                runs = [k for k in hit if k - 1 not in set(hit)]
-                ends = [k for k in hit if k + 1 not in set(hit)]
+                starts, stops = [s for s, _ in places], [e for _, e in places]
+                spans = [x for r in each for x in r["spans"]]
+                known = {k for x in spans for k in range(bisect_left(starts, x["start"]), bisect_right(stops, x["end"]))}
+                hit = sorted(known)
+                runs = [k for k in hit if k - 1 not in known]
+                ends = [k for k in hit if k + 1 not in known]
                 rows.append({"n_words": len(places), "n_hit": len(hit), "items": sorted({i for r in each for i in r["items"]}), "spans": [{"start": places[a][0], "end": places[b][1]} for a, b in zip(runs, ends, strict=True)]})
             yield pa.array(rows, ARROW_RESULT)
 
