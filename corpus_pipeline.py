@@ -9,22 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, language_id, mixing, simhash, token_output
-from millrace.llm._common import prepare, remove, table, without, work_path
+from millrace.llm._common import numbered, prepare, remove, table, without, work_path
 
 #: Copies of a text that the mix may take.
 REPEATS = 2
+#: Number of a row within a stage: what is decided about a row is joined back by it, as ids may repeat or be missing.
+ROW = "_row"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those that no language explains go."""
-    judged = language_id.fuse(language_id.document_evidence(docs), language_id.fit(docs))
-    return without(docs, judged.where(~F.col("accepted")).select(F.col("id").alias("doc_id")))
+    """Documents in a language; those that no language explains go. Each row is judged by itself, whatever its id."""
+    rows = numbered(docs, ROW)
+    judged = language_id.fuse(language_id.document_evidence(rows, key=ROW), language_id.fit(rows))
+    return without(rows, judged.where(~F.col("accepted")).select(F.col("id").alias(ROW)), ROW).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id."""
-    found = simhash.components(docs)
-    return without(docs, found.where(F.col("doc_id") != F.col("component_id")))
+    """Of each group of linked fingerprints one row: that with the smallest id, without one only if none has an id, and of equal ids the first."""
+    rows = numbered(docs, ROW)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)
+    found = simhash.components(rows.select(place.alias("doc_id"), "text"))
+    return without(rows, found.where(F.col("doc_id")[ROW] != F.col("component_id")[ROW]).select(F.col("doc_id")[ROW].alias(ROW)), ROW).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +39,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; rows that share an id share what they are taken."""
-    mixed = mixing.mix(docs, repeats=REPEATS)
-    taken = mixed.groupBy(F.col("doc_id").alias("taken_id")).agg(F.round(F.avg(mixing.copies(mixed))).cast("int").alias("copies")).where("copies > 0")
-    repeated = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("taken_id"))).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    """Each row as often as the mix takes it; rows are shuffled by their number, so those that share an id or have none are taken one by one."""
+    rows = numbered(docs, ROW)
+    mixed = mixing.mix(rows, key=ROW, repeats=REPEATS)
+    taken = mixed.select(F.col("doc_id").alias(ROW), mixing.copies(mixed).alias("_copies")).where("_copies > 0")
+    repeated = rows.join(taken, ROW).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*docs.columns)
 
 

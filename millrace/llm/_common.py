@@ -88,6 +88,12 @@ def spans_text(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def numbered(docs: DataFrame, out: str) -> DataFrame:
+    """``docs`` with a number for each row, written once so that every reading sees the same numbers."""
+    docs.withColumn(out, F.monotonically_increasing_id()).write.parquet(at := work_path(docs.sparkSession, "numbered"))
+    return docs.sparkSession.read.parquet(at)
+
+
 def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", most: int = 2_000_000) -> DataFrame:
     """``docs`` without the rows of some ``ids``: broadcast when there are no more than ``most``, else joined in a shuffle."""
     ids = cut(ids.select(key).distinct())

@@ -59,3 +59,20 @@ def test_pipeline_without_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SMALL)
         assert out.count() == 0
+
+
+def test_pipeline_rows_without_ids_or_with_shared_ids(spark, odd):
+    docs = odd.select("doc_id", "text", "lang", "source")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()
+    assert Counter((r.doc_id, (r.text or "").lower().strip()[:7]) for r in kept) == Counter([(1, "a b c d"), (3, ""), (None, "x y z"), (5, "lorem i"), (7, "é中\U0001f600 \x00​")])
+    clean = [(None if i % 3 else i % 2, f"the cat {i} sat on the mat by the {i * 7} dogs and looked around " * 3, "en", "s") for i in range(60)]
+    noise = "".join(chr(33 + i * i * 7 % 94) for i in range(900))
+    mixed = spark.createDataFrame([*clean, (None, noise, None, None), (0, noise, None, None)], docs.schema)
+    found = Counter(map(tuple, corpus_pipeline.identify_language(spark, mixed, SMALL).collect()))
+    assert found == Counter(clean)
+    copies = spark.createDataFrame([(None, "x y z", "en", "s")] * 5 + [(4, "x y z", "en", "s"), (4, "x y z", "en", "s"), (4, "p q r s t u v", "en", "s")], docs.schema)
+    assert Counter(map(tuple, corpus_pipeline.drop_near_duplicates(spark, copies, SMALL).collect())) == Counter([(4, "x y z", "en", "s"), (4, "p q r s t u v", "en", "s")])
+    nameless = spark.createDataFrame([(None, "w " * 10 + str(i), "en", s) for s in "ab" for i in range(100)], docs.schema)
+    taken = Counter(r.source for r in corpus_pipeline.mix_sources(spark, nameless, SMALL).collect())
+    assert taken == {"a": 200, "b": 100}
+    assert corpus_pipeline.write_tokens(spark, corpus_pipeline.mix_sources(spark, docs, SMALL), SMALL).count() > 0
