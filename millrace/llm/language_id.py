@@ -3,7 +3,7 @@
 For each language, and for "und" (no language: bytes at random), these are added as logarithms:
 
 * text: likelihood of the byte trigrams of the whole text under a smoothed model of each language with noise, fitted on a
-  bounded sample of labelled rows (``SAMPLE``, chosen by hash of the id). A byte is in three trigrams, so a third of it counts;
+  bounded sample of the rows of each label (together about ``SAMPLE``). A byte is in three trigrams, so a third of it counts;
 * declared language: how often texts that are most likely in a language declare this one;
 * address suffix: how much more often texts most likely in a language have this last label of a host;
 * host prior: the share of languages among a host's texts, smoothed by its domain's, smoothed by all rows'.
@@ -11,6 +11,9 @@ For each language, and for "und" (no language: bytes at random), these are added
 The three latter come from grouped aggregations over all rows, of what the text alone says. Hosts and suffixes join back to
 their rows with heavy ones broadcast, so a host may hold any share of the rows.
 
+Every declared language is counted over all rows. Beyond the ``LANGUAGES`` most frequent ones the others share one model, REST; a
+row that REST or nothing explains is in the language that it declares, if this has no model of its own.
+
 Defined results: an empty or null text is judged by the other evidence; without any evidence the prior decides; a null host,
 suffix or declared language gives no evidence; languages named in other cases or with a region (``EN-us``) count as the language;
 repeated rows repeat their result; an empty table gives an empty table. A row is accepted when the most likely
@@ -29,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ._common import cut, join_groups
 
-#: Labelled rows that the text model is fitted on, about; languages with less than SHARE of them are left out, LANGUAGES kept at most.
-SAMPLE, SHARE, LANGUAGES = 8000, 0.005, 64
+#: Labelled rows that the text model is fitted on, about, dealt evenly to labels; the LANGUAGES most frequent have models, the rest share REST.
+SAMPLE, LANGUAGES, REST = 8000, 64, "other"
 #: Trigram classes, smoothing of their counts, and the part of a text's log-likelihood that counts.
 CLASSES, ALPHA, TEMPER = 1 << 16, 0.1, 1 / 3
 #: Share of a language's trigrams that may be anything, as names, numbers and keys are: a text is "und" only if nearly all of it is.
@@ -54,7 +57,7 @@ def trigrams(text: str) -> Iterator[np.ndarray]:
 
 @dataclass
 class TextModel:
-    """Log-probability of each trigram class in each language; the last is "und", the same for all classes."""
+    """Log-probability of each trigram class in each language, REST among them if there is one; the last is "und", the same for all classes."""
 
     languages: list[str]
     table: np.ndarray
@@ -72,37 +75,41 @@ def language(column) -> F.Column:
     return F.when(code != "", code)
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """Text model from about ``sample`` of the rows with a label. What reaches the driver is bounded by languages x classes."""
-    rows = labelled.select(F.col(key).alias("id"), F.col(text).alias("text"), language(F.col(label)).alias("label")).where("label IS NOT NULL AND text IS NOT NULL")
-    share = min(1.0, sample / max(1, rows.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
+def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE, most: int = LANGUAGES) -> TextModel:
+    """Text model from a part of each label's rows, about ``sample`` together: all of rare labels. Labels are counted over all rows.
+
+    Labels beyond the ``most`` frequent are fitted together. What reaches the driver is bounded by languages x classes.
+    """
+    rows = labelled.select(F.col(text).alias("text"), language(F.col(label)).alias("label")).where("label IS NOT NULL AND text IS NOT NULL")
+    sizes = sorted(((n, x) for x, n in rows.groupBy("label").count().collect()), key=lambda r: (-r[0], r[1]))
+    languages = sorted(x for _, x in sizes[:most])
+    rest = sum(n for n, _ in sizes[most:])
+    names = [*languages, REST] if rest else languages
+    each = sample / max(1, len(names))
+    place = {x: i for i, x in enumerate(languages)}
+
+    def by_label(values: dict, default) -> F.Column:
+        known = [F.lit(v) for pair in values.items() for v in pair]
+        return F.coalesce(F.element_at(F.create_map(*known), F.col("label")), F.lit(default)) if known else F.lit(default)
+
+    part = by_label({x: min(1.0, each / n) for n, x in sizes[:most]}, min(1.0, each / max(1, rest)))
+    chosen = rows.where(F.rand(42) < part).select("text", by_label(place, len(languages)).alias("place"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
+        found: dict[int, np.ndarray] = {}
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if label not in found and len(found) >= 4 * LANGUAGES:
-                    continue
-                own = found.setdefault(label, np.zeros(CLASSES, np.int64))
-                rows[label] = rows.get(label, 0) + 1
+            for text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = found.setdefault(at, np.zeros(CLASSES, np.int64))
                 for block in trigrams(text):
                     own += np.bincount(block, minlength=CLASSES)
-        for label, own in found.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([label] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1)), pa.array(np.append(own[at], rows[label]))], names=["label", "class", "n"])
-
-    sums = chosen.select("text", "label").mapInArrow(count, "label string, class long, n long").groupBy("label", "class").agg(F.sum("n").alias("n"))
-    counts = {(label, c): n for label, c, n in sums.toArrow().to_pandas().itertuples(index=False)}
-    totals = {label: n for (label, c), n in counts.items() if c == -1}
-    languages = sorted(x for x in sorted(totals, key=totals.get, reverse=True)[:LANGUAGES] if totals[x] >= SHARE * sum(totals.values()))
-    table = np.full((CLASSES, len(languages) + 1), ALPHA)
-    place = {x: i for i, x in enumerate(languages)}
-    for (label, c), n in counts.items():
-        if c >= 0 and label in place:
-            table[c, place[label]] += n
-    return TextModel(languages, np.log((1 - NOISE) * table / table.sum(0) + NOISE / CLASSES).astype(np.float32))
+        for at, own in found.items():
+            classes = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(classes), at, np.int32)), pa.array(classes.astype(np.int32)), pa.array(own[classes])], names=["place", "class", "n"])
+
+    sums = chosen.mapInArrow(count, "place int, class int, n long").groupBy("place", "class").agg(F.sum("n").alias("n")).toArrow()
+    table = np.full((CLASSES, len(names) + 1), ALPHA)
+    table[sums["class"].to_numpy(), sums["place"].to_numpy()] += sums["n"].to_numpy()
+    return TextModel(names, np.log((1 - NOISE) * table / table.sum(0) + NOISE / CLASSES).astype(np.float32))
 
 
 def page_evidence(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -141,7 +148,7 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
 
     text_log = evidence.select("id", "declared", "host", "domain", "suffix", F.arrow_udf(likelihood, "array<double>")("text").alias("text_log"))
     best = F.array_position("text_log", F.array_max("text_log")).cast("int") - 1
-    known = F.when(F.col("declared").isin(model.languages), F.col("declared")).when(F.col("declared").isNotNull(), F.lit("other"))
+    known = F.when(F.col("declared").isin(model.languages), F.col("declared")).when(F.col("declared").isNotNull(), F.lit(REST))
     rows = cut(text_log.withColumn("best", best).withColumn("said", known))
 
     everything = _shares(rows, [], k).first()
@@ -179,8 +186,12 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
 
     summed = F.zip_with(F.zip_with("text_log", F.coalesce(declared_log, none), lambda a, b: a + b), F.zip_with("host_log", "suffix_log", lambda a, b: a + b), lambda a, b: a + b)
     judged = placed.withColumn("sum", summed).withColumn("top", F.array_max("sum"))
-    chance = 1 / F.aggregate("sum", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    lang = F.element_at(F.array(*map(F.lit, names)), F.array_position("sum", F.col("top")).cast("int"))
+    share = F.transform("sum", lambda x: F.exp(x - F.col("top")))
+    whole = F.aggregate(share, F.lit(0.0), lambda a, x: a + x)
+    named = F.element_at(F.array(*map(F.lit, names)), F.array_position("sum", F.col("top")).cast("int"))
+    unmodelled = F.coalesce(named.isin(REST, "und") & (F.col("said") == REST), F.lit(False))
+    lang = F.when(unmodelled, F.col("declared")).otherwise(named)
+    chance = F.when(unmodelled, sum(share[i] for i, x in enumerate(names) if x in (REST, "und"))).otherwise(1.0) / whole
     text_lang = F.element_at(F.array(*map(F.lit, names)), F.col("best") + 1)
     return judged.select("id", lang.alias("lang"), chance.alias("confidence"), ((lang != "und") & (chance >= ACCEPT)).alias("accepted"), text_lang.alias("text_lang"))
 

@@ -186,3 +186,27 @@ def test_page_evidence_and_host_prior(spark):
     rows = spark.createDataFrame([(f"{h}{i}", t, None, h, None, None) for h, t in (("h1", "aaa aba"), ("h2", "ccc cdc")) for i in range(30)] + [("q1", "", None, "h1", None, None), ("q2", "", None, "h2", None, None)], "id string, text string, declared string, host string, domain string, suffix string")
     judged = {r.id: r.lang for r in language_id.fuse(rows, language_id.fit(train)).collect()}
     assert (judged["q1"], judged["q2"]) == ("aa", "cc")
+
+
+def test_rare_languages_keep_their_documents(spark):
+    rnd = random.Random(11)
+    words = {"xx": ["foo", "bar", "baz", "qua"], "yy": ["çé", "éa", "ôu", "lé"], "zz": ["плод", "вода", "небо", "лес"], "ww": ["ξένο", "λόγο", "άνεμο"]}
+    data = [(i, " ".join(rnd.choice(words[k]) for _ in range(30)), k, "s") for i, k in enumerate(["xx"] * 1200 + ["yy"] * 800 + ["zz"] * 4 + ["ww"] * 3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    for most, languages in ((language_id.LANGUAGES, ["ww", "xx", "yy", "zz"]), (2, ["xx", "yy", "other"])):
+        model = language_id.fit(df, sample=400, most=most)
+        assert model.languages == languages
+        out = {r.id: r for r in language_id.fuse(language_id.document_evidence(df), model).collect()}
+        assert all(out[i].lang == k and out[i].accepted for i, _, k, _ in data)
+    model = language_id.fit(df.where("lang IN ('xx', 'yy')"))
+    out = {r.id: r for r in language_id.fuse(language_id.document_evidence(df), model).collect()}
+    assert all(out[i].lang == k and out[i].accepted for i, _, k, _ in data)
+
+
+def test_more_languages_than_models(spark):
+    codes = [a + b for a in "abcdefgh" for b in "qrstuvwxyz"]
+    data = [(i * 3 + n, f"{chr(0x4E00 + 40 * i)}{chr(0x4E01 + 40 * i)}{chr(0x4E02 + 40 * i)} " * 20, k, "s") for i, k in enumerate(codes) for n in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    model = language_id.fit(df)
+    assert len(model.languages) == language_id.LANGUAGES + 1
+    assert [(r.id, r.lang) for r in language_id.fuse(language_id.document_evidence(df), model).where("accepted").orderBy("id").collect()] == [(i, k) for i, _, k, _ in data]
