@@ -14,7 +14,7 @@ their rows with heavy ones broadcast, so a host may hold any share of the rows.
 Every declared language is counted over all rows. Beyond the ``LANGUAGES`` most frequent ones the others share one model, REST; a
 row that REST or nothing explains is in the language that it declares, if this has no model of its own.
 
-Defined results: an empty or null text is judged by the other evidence; without any evidence the prior decides; a null host,
+Defined results: a text without trigrams (null, empty, under three bytes) is judged by the other evidence, counts in no share and has a null text_lang; without any evidence the prior decides; a null host,
 suffix or declared language gives no evidence; languages named in other cases or with a region (``EN-us``) count as the language;
 repeated rows repeat their result; an empty table gives an empty table. A row is accepted when the most likely
 language isn't "und" and has at least ``ACCEPT`` of the probability.
@@ -131,8 +131,8 @@ def document_evidence(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def _shares(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """Rows of each group by the language that the text alone makes most likely."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("rows"), *(F.sum((F.col("best") == i).cast("long")).alias(f"n{i}") for i in range(n)))
+    """Rows of each group by the language that the text alone makes most likely; ``size`` counts also those whose text says nothing."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("size"), F.count("best").alias("rows"), *(F.count_if(F.col("best") == i).alias(f"n{i}") for i in range(n)))
 
 
 def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
@@ -147,14 +147,14 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
             yield pa.array([own.of(t or "").tolist() for t in texts.to_pylist()], pa.list_(pa.float64()))
 
     text_log = evidence.select("id", "declared", "host", "domain", "suffix", F.arrow_udf(likelihood, "array<double>")("text").alias("text_log"))
-    best = F.array_position("text_log", F.array_max("text_log")).cast("int") - 1
+    best = F.when(F.array_min("text_log") < 0, F.array_position("text_log", F.array_max("text_log")).cast("int") - 1)
     known = F.when(F.col("declared").isin(model.languages), F.col("declared")).when(F.col("declared").isNotNull(), F.lit(REST))
     rows = cut(text_log.withColumn("best", best).withColumn("said", known))
 
     everything = _shares(rows, [], k).first()
     total = everything["rows"]
     prior = [(1 - UND) * (((everything[f"n{i}"] or 0) + 1) / (total + k)) for i in range(k - 1)] + [UND]
-    said = {r["said"]: r for r in _shares(rows.where("said IS NOT NULL"), ["said"], k).collect()}
+    said = {r["said"]: r for r in _shares(rows.where("said IS NOT NULL AND best IS NOT NULL"), ["said"], k).collect()}
     declared_rows = max(1, sum(r["rows"] for r in said.values()))
     per_language = [sum(r[f"n{i}"] for r in said.values()) for i in range(k)]
 
@@ -175,14 +175,14 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     domains = hosts.where("domain IS NOT NULL").groupBy("domain").agg(F.sum("rows").alias("domain_rows"), *(F.sum(f"n{i}").alias(f"d{i}") for i in range(k)))
     wide = [(F.coalesce(f"d{i}", F.lit(0)) + HOST_WEIGHT * prior[i]) / (F.coalesce("domain_rows", F.lit(0)) + HOST_WEIGHT) for i in range(k)]
     own = [F.log((F.col(f"n{i}") + HOST_WEIGHT * wide[i]) / (F.col("rows") + HOST_WEIGHT)) for i in range(k)]
-    host_priors = cut(hosts.join(domains, "domain", "left").select("host", "rows", F.array(*own).alias("host_log")))
-    placed = _with(rows, host_priors, "host", "rows", logs(prior), "host_log")
+    host_priors = cut(hosts.join(domains, "domain", "left").select("host", "size", F.array(*own).alias("host_log")))
+    placed = _with(rows, host_priors, "host", "size", logs(prior), "host_log")
 
     suffixes = _shares(rows.where("suffix IS NOT NULL"), ["suffix"], k)
-    at_all = max(1, rows.where("suffix IS NOT NULL").count())
+    at_all = max(1, rows.where("suffix IS NOT NULL AND best IS NOT NULL").count())
     lift = [F.log((F.col(f"n{i}") + EVIDENCE_WEIGHT * F.col("rows") / at_all) / (F.lit(float(everything[f"n{i}"] or 0)) + EVIDENCE_WEIGHT)) - F.log(F.col("rows") / at_all) for i in range(k)]
-    suffix_logs = cut(suffixes.select("suffix", "rows", F.array(*lift).alias("suffix_log")))
-    placed = _with(placed, suffix_logs, "suffix", "rows", none, "suffix_log")
+    suffix_logs = cut(suffixes.select("suffix", "size", F.when(F.col("rows") > 0, F.array(*lift)).otherwise(none).alias("suffix_log")))
+    placed = _with(placed, suffix_logs, "suffix", "size", none, "suffix_log")
 
     summed = F.zip_with(F.zip_with("text_log", F.coalesce(declared_log, none), lambda a, b: a + b), F.zip_with("host_log", "suffix_log", lambda a, b: a + b), lambda a, b: a + b)
     judged = placed.withColumn("sum", summed).withColumn("top", F.array_max("sum"))
@@ -192,7 +192,7 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     unmodelled = F.coalesce(named.isin(REST, "und") & (F.col("said") == REST), F.lit(False))
     lang = F.when(unmodelled, F.col("declared")).otherwise(named)
     chance = F.when(unmodelled, sum(share[i] for i, x in enumerate(names) if x in (REST, "und"))).otherwise(1.0) / whole
-    text_lang = F.element_at(F.array(*map(F.lit, names)), F.col("best") + 1)
+    text_lang = F.when(F.col("best").isNotNull(), F.element_at(F.array(*map(F.lit, names)), F.col("best") + 1))
     return judged.select("id", lang.alias("lang"), chance.alias("confidence"), ((lang != "und") & (chance >= ACCEPT)).alias("accepted"), text_lang.alias("text_lang"))
 
 

@@ -210,3 +210,16 @@ def test_more_languages_than_models(spark):
     model = language_id.fit(df)
     assert len(model.languages) == language_id.LANGUAGES + 1
     assert [(r.id, r.lang) for r in language_id.fuse(language_id.document_evidence(df), model).where("accepted").orderBy("id").collect()] == [(i, k) for i, _, k, _ in data]
+
+
+def test_texts_without_trigrams_are_no_evidence(spark):
+    train = spark.createDataFrame([(i, t, k) for i in range(20) for t, k in (("aaa aba", "aa"), ("ccc cdc", "cc"))], "doc_id long, text string, lang string")
+    kind = "id string, text string, declared string, host string, domain string, suffix string"
+    full = [(f"c{i}", "ccc cdc", "cc", "h1", "d1", "x") for i in range(30)]
+    blank = [(f"e{i}", (None, "", "c")[i % 3], "cc", "h1", "d1", "x") for i in range(90)] + [("only", "", "dd", "h2", None, "y"), ("none", None, None, None, None, None)]
+    model = language_id.fit(train)
+    out = {r.id: r for r in language_id.fuse(spark.createDataFrame(full + blank, kind), model).collect()}
+    alone = {r.id: r for r in language_id.fuse(spark.createDataFrame(full, kind), model).collect()}
+    assert len(out) == len(full) + len(blank) and all(r.confidence is not None for r in out.values())
+    assert all(out[i].confidence == alone[i].confidence and out[i].text_lang == "cc" for i, *_ in full)
+    assert all(out[i].lang == "cc" and out[i].text_lang is None for i, *_ in blank)
