@@ -3,7 +3,9 @@
 A candidate is a run of secret-like characters. Two zstandard frames are measured with a dictionary primed with common
 identifiers: the text around the candidate without it, and with it. The difference, its marginal bytes over its length, is
 its novelty: words, repeated strings and identifiers cost little, random strings nearly the entropy of their alphabet.
-Novel candidates close after a sensitive word are reported as ``novel``.
+Novel candidates are reported as ``novel`` if any part of them is within ``REACH`` characters before or after a sensitive word.
+Every run of 12 characters or more is measured. Common words prime the dictionary, and runs without digits, which may be
+words and names, must be more novel than others: see ``NOVEL_WORD``.
 
 Base kinds (leftmost, non-overlapping per kind; a match that fails its test is dropped, not retried): ``assign``
 (a password, secret, token or key name, ``:`` or ``=`` and a value of at least 12 characters; the span is the whole
@@ -17,6 +19,7 @@ name that the input already has is replaced; an empty table gives an empty table
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,11 +37,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 SENSITIVE = re.compile(r"passw|passwd|passphrase|pwd|secret|token|credential|api[_ -]?key|private[_ -]?key|access[_ -]?key|client[_ -]?id|auth|bearer|session|signature|login", re.ASCII | re.IGNORECASE)
 REACH = 64
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{12,}", re.ASCII)
-CHARACTER, RUN = re.compile(r"[A-Za-z0-9+/_=~-]"), re.compile(r"[A-Za-z0-9+/_=~-]*")
+DIGIT = re.compile(r"[0-9]")
 #: Characters of surrounding text that a candidate is measured against, on each side; and the longest piece measured at once.
 AROUND, PIECE = 256, 4096
 #: Marginal bytes per character from which a candidate is novel. Random hex digits cost about 0.5, base64 about 0.75.
 NOVEL = 0.45
+#: The same for runs without digits. Random letters cost over 0.65, in lower case not all that are short; most words cost less.
+NOVEL_WORD = 0.65
 #: Identifiers that prime the dictionary; a caller may give those of its own code base.
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key private_key client_id client_secret authorization bearer session_id "
@@ -46,6 +51,18 @@ IDENTIFIERS = (
     "string integer boolean return function class import export const public static void null true false self this request "
     "response header content-type application/json http https www.example.com index version description license copyright"
 ).split()
+#: Long words that often stand near sensitive ones.
+COMMON = (
+    "authentication authenticated authenticator authoritative administrator administration application applications architecture availability "
+    "certificate certification communication communications compatibility configuration configurations confidential consideration "
+    "cryptographic customization decryption deployment description development directory distribution documentation encryption "
+    "environment established expiration following functionality identification implementation implementations independent individual "
+    "information infrastructure initialization installation instructions integration international investigation management "
+    "manufacturer microservices multi-factor notification opportunities organization organizations participants particularly "
+    "performance permissions professional publication recommendation registration relationship representative representatives repository "
+    "requirements responsibilities responsibility signatures significant significantly specification specifications subscription "
+    "successfully synchronization technologies transaction transactions transformation understanding unfortunately universities verification"
+).split()
 RESULT = "array<struct<kind:string,start:int,end:int,novelty:double>>"
 ARROW_RESULT = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.float64())]))
 
@@ -54,7 +71,7 @@ class Novelty:
     """Marginal compressed bytes per character under a primed dictionary."""
 
     def __init__(self, identifiers: tuple[str, ...] | list[str]):
-        primed = zstandard.ZstdCompressionDict(" ".join(identifiers).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primed = zstandard.ZstdCompressionDict(" ".join([*COMMON, *identifiers]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.frame = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
 
     def size(self, text: str) -> int:
@@ -86,27 +103,23 @@ def scan(text: str, novelty: Novelty, least: float = NOVEL) -> list[dict]:
     spans = base(text)
     covered = sorted((s, e) for s, _, _, e in spans)
     scores = {(s, e): novelty.of(text, s, e) for s, e in covered}
-    seen = 0
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(seen, word.end()), min(len(text), word.end() + REACH)):
-            start, end = m.start(), m.end()
-            while start > seen and CHARACTER.match(text, start - 1):  # the reach may have begun within the run
-                start -= 1
-            end = RUN.match(text, m.end()).end()  # or ended within it
-            seen = end
-            if not any(s < end and start < e for s, e in covered) and varied(text[start:end]):
-                score = novelty.of(text, start, end)
-                if score >= least:
-                    spans.append((start, 3, "novel", end))
-                    scores[start, end] = score
+    words = list(SENSITIVE.finditer(text))
+    ends, taken = [w.end() for w in words], 0
+    for m in CANDIDATE.finditer(text) if words else ():
+        start, end = m.span()
+        near = bisect_right(ends, start - REACH)  # the first word that reaches the run from the left, or stands after it
+        if near == len(words) or words[near].start() - REACH >= end:
+            continue
+        while taken < len(covered) and covered[taken][1] <= start:
+            taken += 1
+        if not any(s < end for s, _ in covered[taken:taken + 1]):
+            score = novelty.of(text, start, end)
+            if score >= (least if DIGIT.search(m[0]) else max(least, NOVEL_WORD)):
+                spans.append((start, 3, "novel", end))
+                scores[start, end] = score
     return [{"kind": k, "start": s, "end": e, "novelty": round(scores[s, e], 6)} for s, _, k, e in sorted(spans)]
 
 
-def varied(run: str) -> bool:
-    """Digits among letters: what tells keys from words, which are long in some languages."""
-    return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
-
-
 def annotate(docs: DataFrame, text: str = "text", out: str = "secrets", identifiers: tuple[str, ...] | list[str] = tuple(IDENTIFIERS), least: float = NOVEL) -> DataFrame:
     """``docs`` with an array of (kind, start, end, novelty), in code points, sorted by start and then by kind."""
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -90,6 +90,24 @@ def test_secret_novelty():
     assert S.scan("token zzzzzzzz1zzzzzzzzzzzzzzzzzzzzzzzzzzzzzz", NOVELTY) == []
 
 
+def test_secrets_without_digits_at_the_edge_and_before_the_word():
+    def novel(text: str) -> list[str]:
+        return [text[f["start"] : f["end"]] for f in S.scan(text, NOVELTY) if f["kind"] == "novel"]
+
+    letters, mixed = "qXvRtZkWpLsNbHdJ", "q7XvR2tZkW9pLsNb"
+    assert novel(f"passphrase {letters} is set") == [letters] and novel(f"bearer {letters.lower()} is set") == [letters.lower()]
+    for n in (0, 40, 55, 60):
+        assert novel("passphrase" + " " * (n + 1) + mixed) == [mixed]
+        assert novel(mixed + " " * (n + 1) + "# api key") == [mixed]
+    assert novel("passphrase" + " " * 64 + mixed) == novel(mixed + " " * 64 + "api key") == []
+    assert novel("login: see authentication and documentation of the configuration, ------------------------ api key management responsibilities") == []
+    assert novel(f"token={mixed} api key") == []  # within a base span
+    rnd = random.Random(5)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rnd.choice(alphabet) for _ in range(n)) for n in (12, 20, 40) for _ in range(100)]
+    assert sum(novel(f"the private key is {k} for now") == [k] for k in keys) >= 295
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
