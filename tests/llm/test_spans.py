@@ -154,6 +154,20 @@ def test_overlap_operator(spark, odd, empty):
     assert D.annotate(odd, items.where("false")).where("overlap.n_hit > 0").count() == 0 and D.annotate(empty, items).count() == 0
 
 
+def test_blocks_are_bounded_by_the_automaton(spark, odd, monkeypatch):
+    rnd = random.Random(6)
+    vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(500)]
+    texts = [[rnd.choice(vocabulary) for _ in range(60)] for _ in range(20)]
+    items = spark.createDataFrame([(i % 15, " ".join(t)) for i, t in enumerate(texts)], "item_id long, text string")
+    docs = spark.createDataFrame([(i // 2, " , ".join([*t[:40], "x", *texts[(i + 7) % 20][20:]]).upper()) for i, t in enumerate(texts)] + [(None, None), (None, "x")], "doc_id long, text string")
+    built, whole = [], D._write_hits
+    monkeypatch.setattr(D, "_write_hits", lambda rows, pairs, at: built.append(len(pairs)) or whole(rows, pairs, at))
+    expected = sorted(map(repr, D.annotate(docs, items).collect()))
+    assert not built
+    found = sorted(map(repr, D.annotate(docs, items, block_bytes=300_000).collect()))
+    assert found == expected and sum(built) == 20 * 48 and max(built) * (13 * D.NODE + D.PAIR) < 400_000
+
+
 def test_share_of_hit_words(spark):
     items = spark.createDataFrame([(1, "q")], "item_id long, text string")
     docs = spark.createDataFrame([(n, "q " + "x " * (n - 1)) for n in (19, 20, 21, 140)] + [(141, "q " * 7 + "x " * 133)], "doc_id long, text string")
