@@ -7,8 +7,8 @@ sides and validates what it finds.
 Base kinds (leftmost, non-overlapping per kind; a match that fails its test is dropped, not retried):
 ``email``, ``ip`` (each part at most 255), ``card`` (12 to 19 digits passing Luhn), ``phone`` (9 to 15 digits).
 Added kinds: ``url`` (a scheme or ``www.`` up to white space, quotes or brackets, closing punctuation left off)
-and ``account`` (a cue such as ``iban`` or ``account no`` followed by an identifier with at least 6 digits;
-an IBAN must pass its mod-97 test).
+and ``account`` (a cue such as ``iban`` or ``account no``, in any case of A-Z, followed by an identifier: the longest run of
+parts with digits, joined by single blanks, of at least 6 digits and at most 34 characters; an IBAN must pass its mod-97 test).
 
 Defined results: a null text counts as empty and has no spans; rows are judged one by one, so repeated rows and
 ties repeat their result; an output name that the input already has is replaced; an empty table gives an empty table.
@@ -37,9 +37,10 @@ DIGITS = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 URL = re.compile(r"[^\s\"'<>()\[\]{}|\\^`]+")
-ACCOUNT = re.compile(r"(?:[ ]?(?:no|nr|number|id)\b\.?)?[ ]?[:#=]?[ ]?([A-Za-z0-9](?:[ -]?[A-Za-z0-9]){0,45})", re.ASCII | re.IGNORECASE)
+ACCOUNT = re.compile(r"(?:[ ]*+(?:no|nr|number|id)\b\.?)?+[ ]*+[:#=]?+[ ]*+([A-Za-z0-9](?:[ -]?[A-Za-z0-9]){0,45})", re.ASCII | re.IGNORECASE)
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+UPPER = re.compile(r"[A-Z]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -56,7 +57,7 @@ def iban(word: str) -> bool:
 
 
 def automaton() -> ahocorasick.Automaton:
-    """Anchors with what they announce; cues and schemes in lower, upper and title case."""
+    """Anchors with what they announce; cues and schemes in lower case."""
     found = ahocorasick.Automaton()
     for digit in "0123456789":
         found.add_word(digit, ("digit", 1))
@@ -64,12 +65,16 @@ def automaton() -> ahocorasick.Automaton:
     found.add_word("+", ("plus", 1))
     for what, words in (("url", SCHEMES), ("cue", CUES)):
         for word in words:
-            for form in (word, word.upper(), word.capitalize()):
-                found.add_word(form, (what, len(form)))
+            found.add_word(word, (what, len(word)))
     found.make_automaton()
     return found
 
 
+def lowered(text: str) -> str:
+    """The text with A-Z in lower case, at the same offsets."""
+    return text.lower() if text.isascii() else UPPER.sub(lambda m: m[0].lower(), text)
+
+
 def scan(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str, int]]:
     """Spans as (start, order of kind, kind, end), sorted."""
     spans = []
@@ -80,7 +85,7 @@ def scan(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str,
         if valid:
             spans.append((start, KINDS.index(kind), kind, end))
 
-    for last, (what, length) in anchors.iter(text):
+    for last, (what, length) in anchors.iter(lowered(text)):
         at = last - length + 1
         if what == "digit":
             if at >= free["ip"]:
@@ -122,8 +127,15 @@ def account_word(run: str) -> str:
     for n in range(len(words), 0, -2):  # the longest run of blank-separated parts that is an IBAN
         if n <= 19 and iban("".join(words[:n])):
             return "".join(words[:n])
-    first = words[0]
-    return first if sum(c in "0123456789" for c in first) >= 6 and len(first) <= 34 and not re.match(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$", first) else ""
+    found = ""
+    for part in words[::2]:  # else the longest run of parts with digits
+        longer = f"{found} {part}" if found else part
+        if len(longer) > 34 or not DIGITS.search(part):
+            break
+        found = longer
+    if sum(c in "0123456789" for c in found) < 6 or re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", found.replace(" ", "")):
+        return ""
+    return found
 
 
 def _scan_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
