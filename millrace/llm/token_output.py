@@ -7,8 +7,8 @@ use, permutes these numbers: every sequence gets a global slot of its own and th
 Range partitions of the slots write shards of ``per_shard`` sequences; every sequence takes the same number of bytes, so slot s
 is found by arithmetic and a training run reads on from any slot, shard after shard.
 
-A shard is written under a temporary name and renamed when it is whole, so a lost task leaves nothing half-written,
-and its repetition or a resumed job finds finished shards and leaves them. Ids are little-endian 16-bit.
+A shard is written under a temporary name and renamed when it is whole, so a lost task leaves nothing half-written. Its
+repetition and a repeated job write all their shards again over the old ones. Ids are little-endian 16-bit.
 
 Defined results: a null text counts as empty and gives only its end-of-text id; repeated rows give repeated tokens; an empty
 table gives no shards; sequences carry the ids of their documents in order, null ids included; other columns are left out.
