@@ -9,10 +9,13 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import lm_scoring, pretokens, token_counts, token_output
-from millrace.llm._common import work_path
+from millrace.llm._common import table, work_path
+
+from .conftest import LONG
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -49,8 +52,9 @@ def test_words_hold_the_pretokens(texts):
         assert whole + [p for w in rest for p in pretokens.of_word(w)] == pretokens.cut(text or "")
 
 
-@pytest.mark.parametrize("head", [1 << 20, 30, 0])
-def test_scores(spark, head):
+@pytest.mark.parametrize("share", [0, 0.02, 2])
+def test_scores(spark, share, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "AT_ONCE", 40)
     rnd = random.Random(10)
     data = [(i, " ".join(rnd.choice(["red", "green", "blue", "zq"]) for _ in range(rnd.randint(1, 12)))) for i in range(60)] + [(70, None), (71, ""), (72, "unheard"), (1, "red red"), (1, "red red")]
     encoder = token_output.Encoder(RANKS)
@@ -76,13 +80,30 @@ def test_scores(spark, head):
         return out
 
     expected = sorted((d, len(x), round(score(x), 6)) for (d, _), x in zip(data, pairs, strict=True))
-    found = lm_scoring.score(spark.createDataFrame(data, "doc_id long, text string"), RANKS, head=head).collect()
+    found = lm_scoring.score(spark.createDataFrame(data, "doc_id long, text string"), RANKS, share=share).collect()
     assert sorted((r.doc_id, r.n_tokens, round(r.log10_prob, 6)) for r in found) == expected
     assert all((r.score is None) == (r.n_tokens == 0) for r in found)
 
 
-def test_scores_of_no_rows(docs):
+def test_scores_of_no_rows_and_odd_rows(docs, odd):
     assert lm_scoring.score(docs.where("false"), RANKS).count() == 0
+    out = lm_scoring.score(odd, RANKS).collect()
+    of = {r.doc_id: r for r in out}
+    assert len(out) == 10 and of[3].score is None and of[4].n_tokens == 0 and of[5].n_tokens == len(token_output.Encoder(RANKS).encode(LONG)) and of[1] == of[2].__class__(1, *of[2][1:])
+
+
+def test_heavy_bigrams_are_bounded_and_others_are_joined(spark, tmp_path):
+    """Bigrams of less than the share meet the table in a join, and on the benchmark table there are more of these than documents."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    ids = lm_scoring.encoded(docs, RANKS, f"{tmp_path}/ids")
+    grams = lm_scoring.counts(ids).cache()
+    total = grams.agg(F.sum("n")).first()[0]
+    heavy = sorted((r.gram, r.n) for r in grams.where(F.col("n") >= lm_scoring.SHARE * total).collect())
+    assert len(heavy) <= 1 / lm_scoring.SHARE
+    few = [h for h in heavy if h[1] >= 1e-4 * total]
+    first, second = (lm_scoring._by_token(grams, c) for c in (F.shiftright("gram", 16), F.col("gram").bitwiseAND(0xFFFF)))
+    parts = lm_scoring.exploded(ids, first, second, np.array([g for g, _ in few]), np.array([n for _, n in few]))
+    assert parts.where("gram >= 0").join(grams, "gram").count() == parts.where("gram >= 0").count() > docs.count()
 
 
 @pytest.mark.parametrize("domain", [1, 2, 3, 5, 64, 1000, 4097])
