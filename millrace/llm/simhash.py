@@ -4,15 +4,15 @@ A text's fingerprint has a bit where more than half of the XXH64 hashes of its w
 texts that differ little differ in few bits. Fingerprints within ``RADIUS`` bits are linked, and links make components.
 
 Fingerprints are cut into four 16-bit blocks. Two within two bits agree in at least two whole blocks, so each pair of blocks
-with its value names a shard, and linked fingerprints share one. A shard's distinct fingerprints stream, sorted, into
-the task that holds its BK-tree, whose children are keyed by their integer Hamming distance to the parent: a search follows
-only the edges within the radius. Each fingerprint is searched and then added, and of the links found, those are given
-out that join sets not joined before in the shard, so fewer than the shard has members. The trees go to the tasks with the
-shuffle: together they grow with the corpus, so a broadcast of them would have no bound.
+with its value names a shard, and linked fingerprints share one. A shard of more than ``CAP`` distinct fingerprints (very many near
+copies of one text) is cut again by the same rule: the bits that its members don't share make four blocks, and pairs of these with
+their value name smaller shards. At the third cut eight bits are left, so no shard has more than the larger of ``CAP`` and 256 members.
 
-A shard of more than ``CAP`` distinct fingerprints (very many near copies of one text) is left to an exact rule instead:
-two fingerprints are within two bits when both are within one bit of some third. Each member is dealt to the 65 values
-within one bit, of which none can have more than 65 members, and all members of a value are linked.
+A shard's fingerprints stream, sorted, into the task that holds its BK-tree, whose children are keyed by their integer Hamming
+distance to the parent: a search follows only the edges within the radius, and ends when it has met every component of the shard. Each fingerprint
+is searched and then added, and of the links found, those are given out that join sets not joined before in the shard, so fewer
+than the shard has members. The trees are small, but together they hold the corpus' fingerprints several times, so a broadcast of them would
+have no bound: they go to the tasks with the shuffle.
 
 Defined results: null texts and texts without words have fingerprint zero, which links like any other; equal fingerprints are
 linked; the component of a row with a null id is the smallest id that is not null, or null if there is none; repeated rows
@@ -63,17 +63,17 @@ class BKTree:
     def __init__(self):
         self.root = None
 
-    def near(self, value: int, radius: int) -> list[int]:
-        found, todo = [], [self.root] if self.root else []
+    def near(self, value: int, radius: int) -> Iterator[int]:
+        """Members within the radius, closest branches first."""
+        todo = [self.root] if self.root else []
         while todo:
             own, children = todo.pop()
             distance = (own ^ value).bit_count()
             if distance <= radius:
-                found.append(own)
-            for d in range(max(1, distance - radius), distance + radius + 1):
+                yield own
+            for d in range(distance + radius, max(0, distance - radius - 1), -1):
                 if d in children:
                     todo.append(children[d])
-        return found
 
     def add(self, value: int) -> None:
         node = self.root
@@ -97,17 +97,23 @@ def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", width
     return docs.withColumn(out, F.arrow_udf(found, "long")(F.col(text)))
 
 
-def _shards(prints: DataFrame) -> DataFrame:
-    """(shard, fp): a shard is the number of a pair of blocks and their value."""
-    width = 64 // BLOCKS
-    block = [F.shiftrightunsigned("fp", width * k).bitwiseAND((1 << width) - 1) for k in range(BLOCKS)]
-    keys = [F.shiftleft(F.lit(n).cast("long"), 2 * width) + F.shiftleft(block[a], width) + block[b] for n, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
-    return prints.select(F.explode(F.array(*keys)).alias("shard"), "fp")
+def _shards(rows: DataFrame, bits: int) -> DataFrame:
+    """(shard, fp, rest) of rows (shard, fp, rest): each becomes a row for every pair of blocks of its ``bits`` in ``rest``.
+
+    The new shard is a hash of the one before, the pair's number and its value (different shards of one hash only make a tree larger), the new rest holds the two other blocks.
+    """
+    width = bits // BLOCKS
+    block = [F.shiftrightunsigned("rest", width * k).bitwiseAND((1 << width) - 1) for k in range(BLOCKS)]
+    cuts = []
+    for n, (a, b) in enumerate(combinations(range(BLOCKS), 2)):
+        c, d = (k for k in range(BLOCKS) if k not in (a, b))
+        cuts.append(F.struct(F.xxhash64("shard", F.lit(n), block[a], block[b]).alias("shard"), (F.shiftleft(block[c], width) + block[d]).alias("rest")))
+    return rows.select("fp", F.explode(F.array(*cuts)).alias("cut")).select("cut.shard", "fp", "cut.rest")
 
 
 def _tree_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of shards whose rows follow each other."""
-    shard, tree, parent = None, BKTree(), {}
+    shard, tree, parent, parts = None, BKTree(), {}, 0
 
     def top(x: int) -> int:
         while parent[x] != x:
@@ -118,13 +124,20 @@ def _tree_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = []
         for key, signed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if key != shard:
-                shard, tree, parent = key, BKTree(), {}
+                shard, tree, parent, parts = key, BKTree(), {}, 0
             value = signed & ALL
+            if value in parent:
+                continue
             parent[value] = value
+            left = parts  # components that the value isn't linked to yet
+            parts += 1
             for other in tree.near(value, RADIUS):
                 if (a := top(value)) != (b := top(other)):
                     parent[a] = b
                     links.append((value, other))
+                    left, parts = left - 1, parts - 1
+                    if not left:
+                        break
             tree.add(value)
         a, b = (pa.array(np.array([x[i] for x in links], np.uint64).view(np.int64)) for i in range(2))
         yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
@@ -132,14 +145,21 @@ def _tree_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(prints: DataFrame, cap: int = CAP) -> DataFrame:
     """Links (a, b) that connect all of the distinct ``fp`` within RADIUS bits of each other."""
-    shards = cut(_shards(prints))
-    sizes = cut(shards.groupBy("shard").agg(F.count("*").alias("members")).where("members > 1"))
-    shared = cut(join_groups(shards, sizes, "shard", "members", shards.count()))
-    treed = shared.where(F.col("members") <= cap).select("shard", "fp").repartition("shard").sortWithinPartitions("shard", "fp")
-    one_off = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(v if v < 1 << 63 else v - (1 << 64)).cast("long")) for v in (1 << k for k in range(64))]
-    around = shared.where(F.col("members") > cap).select("fp").distinct().select("fp", F.explode(F.array(*one_off)).alias("value"))
-    stars = around.groupBy("value").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return treed.mapInArrow(_tree_links, "a long, b long").unionByName(stars.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")))
+    rows, bits, treed = prints.select(F.lit(0).cast("long").alias("shard"), "fp", F.col("fp").alias("rest")), 64, []
+    while True:
+        shards = cut(_shards(rows, bits))
+        sizes = cut(shards.groupBy("shard").agg(F.count("*").alias("members")).where("members > 1"))
+        shared = cut(join_groups(shards, sizes, "shard", "members", shards.count()))
+        bits //= 2
+        last = bits <= 2 * BLOCKS or sizes.where(F.col("members") > cap).isEmpty()
+        treed.append((shared if last else shared.where(F.col("members") <= cap)).select("shard", "fp"))
+        if last:
+            break
+        rows = shared.where(F.col("members") > cap).select("shard", "fp", "rest")
+    whole = treed[0]
+    for more in treed[1:]:
+        whole = whole.unionByName(more)
+    return whole.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(_tree_links, "a long, b long")
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42, cap: int = CAP) -> DataFrame:
