@@ -58,6 +58,29 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file in any store that Spark reaches; None if there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return None
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in any store that Spark reaches."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute once, into the shared folder: what follows survives lost executors and doesn't repeat the work above."""
     spark = df.sparkSession
@@ -94,10 +117,11 @@ def numbered(docs: DataFrame, out: str) -> DataFrame:
     return docs.sparkSession.read.parquet(at)
 
 
-def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", most: int = 2_000_000) -> DataFrame:
-    """``docs`` without the rows of some ``ids``: broadcast when there are no more than ``most``, else joined in a shuffle."""
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", most: int = 8 << 20) -> DataFrame:
+    """``docs`` without the rows of some ``ids``: broadcast when these take no more than ``most`` bytes, else joined in a shuffle."""
     ids = cut(ids.select(key).distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= most else ids, key, "left_anti")
+    size = ids.agg(F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 16), F.lit(0))).first()[0]
+    return docs.join(F.broadcast(ids) if size <= most else ids.hint("merge"), key, "left_anti")
 
 
 def octave(n: str) -> F.Column:

@@ -1,64 +1,94 @@
 """Exact deduplication against a persistent digest index, bucketed and sorted by hash.
 
-The index is a Parquet table of SHA-256 digests (binary) and the id that stays for each. Its files are
+The index is a Parquet table of SHA-256 digests (binary), the id that stays for each, and the batch that brought it. Its files are
 bucketed and sorted by digest, so both sides of the anti-join that finds unseen digests, and of the joins that follow, meet
 without moving the index. A batch is deduplicated within itself (per digest the row with the largest id stays) and
-against the index (digests already there keep the row that came first), and what is new is appended.
+against the index (digests already there keep the row that came first), and what is new is appended. The number of buckets is kept
+beside the data; opening the index with another one is refused. A batch that is ingested again under its name adds nothing and gives the same rows.
 
 Grouped sizes and ids are aggregated before they are shuffled. Groups of a thousandth of all rows or more are joined by
 broadcast, of which there can be a thousand at most, so a text that fills a third of the rows loads no single task.
 
 Defined results: a null text counts as empty; empty texts are equal to each other; of equal ids with equal texts (repeated
-rows) one row counts as the one that stays in ``group_size`` but all carry ``kept`` true, as they are the same document; a
-null id sorts before every other id; an empty table gives an empty table; other columns are left out.
+rows) one row has ``kept`` true; a null id sorts before every other id; an empty table gives an empty table; other columns are left out.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import cut, join_groups
+from ._common import cut, join_groups, read_text, write_text
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return docs.select(F.col(key).alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).alias("digest"))
+    """(doc_id, digest, row), the last a number that tells repeated rows apart."""
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    return docs.select(F.col(key).alias("doc_id"), digest.alias("digest"), F.monotonically_increasing_id().alias("row"))
 
 
 class DigestIndex:
     """A bucketed, sorted digest table below ``path``; opened again from the same path in any later session."""
 
-    COLUMNS = "digest BINARY, keep_id BIGINT"
+    COLUMNS, LAYOUT, BUCKETS = "digest BINARY, keep_id BIGINT, batch STRING", "_index.json", 64
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path, buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        known = read_text(spark, f"{path}/{self.LAYOUT}")
+        there = json.loads(known)["buckets"] if known else None
+        if there and buckets not in (None, there):
+            raise ValueError(f"the index in {path} has {there} buckets, not {buckets}")
+        self.spark, self.path, self.buckets = spark, path, there or buckets or self.BUCKETS
         self.table = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({self.COLUMNS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
+        if not there:
+            write_text(spark, f"{path}/{self.LAYOUT}", json.dumps({"buckets": self.buckets}))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({self.COLUMNS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def append(self, groups: DataFrame) -> DataFrame:
+    def append(self, groups: DataFrame, batch: str) -> DataFrame:
         """Add the digests that the index doesn't hold and return it as it is then.
 
         ``groups`` has one row per digest. An append that was lost half-way leaves no committed files, so it can be repeated.
         """
         new = groups.select("digest", "keep_id").hint("merge").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-        new.repartition(self.buckets, "digest").write.insertInto(self.table)
+        new.withColumn("batch", F.lit(batch)).repartition(self.buckets, "digest").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
         return self.rows()
 
 
-def ingest(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
+def ingest(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text", batch: str | None = None) -> DataFrame:
     """Deduplicate a batch of documents against itself and the index, and append its new digests.
 
     One row per document: the id that stays for its text, the size of its group in the batch, whether this row is the one that stays, and the digest.
     """
+    batch = batch or uuid.uuid4().hex
     rows = cut(digests(docs, key, text))
-    groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    kept = index.append(groups)
-    batch = cut(groups.select("digest", "group_size").hint("merge").join(kept.hint("merge"), "digest"))
-    found = join_groups(rows, batch, "digest", "group_size", rows.count())
-    return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    best = F.max(F.struct("doc_id", F.negate("row").alias("row")))
+    groups = rows.groupBy("digest").agg(best["doc_id"].alias("keep_id"), (-best["row"]).alias("keep_row"), F.count("*").alias("group_size"))
+    known = index.append(groups, batch).hint("merge")
+    own = F.when(F.col("batch") == batch, F.col("keep_row"))
+    held = cut(groups.select("digest", "keep_row", "group_size").hint("merge").join(known, "digest").select("digest", "keep_id", "group_size", own.alias("keep_row")))
+    found = join_groups(rows, held, "digest", "group_size", rows.count())
+    return found.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def ingest_all(docs: DataFrame, index: DigestIndex, bounds: list, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents in batches by id, the largest ids first, each deduplicated against what the ones before left in the index.
+
+    ``bounds`` are ids in falling order, each the least one of its batch; the last batch has all others and rows without id. So the row with the
+    largest id of all stays for its text, and ``group_size`` counts its group in all batches.
+    """
+    whole, before = [], F.lit(True)
+    for bound in [*bounds, None]:
+        own = F.lit(True) if bound is None else F.coalesce(F.col(key) >= F.lit(bound), F.lit(False))
+        whole.append(cut(ingest(docs.where(before & own), index, key, text)))
+        before = before & ~own
+    rows = whole[0]
+    for more in whole[1:]:
+        rows = rows.unionByName(more)
+    sizes = cut(rows.groupBy("text_sha256").agg(F.count("*").alias("all")))
+    return join_groups(rows.drop("group_size"), sizes, "text_sha256", "all", rows.count()).select("doc_id", "keep_id", F.col("all").alias("group_size"), "kept", "text_sha256")
