@@ -1,7 +1,7 @@
 """Secret scans by dictionary-primed zstandard novelty.
 
-A candidate is a run of secret-like characters. Two zstandard frames are measured with a dictionary primed with common
-identifiers: the text around the candidate without it, and with it. The difference, its marginal bytes over its length, is
+A candidate is a run of secret-like characters. Two zstandard frames are measured with a dictionary primed with the
+identifiers of the corpus, which a grouped aggregation counts over all texts: the text around the candidate without it, and with it. The difference, its marginal bytes over its length, is
 its novelty: words, repeated strings and identifiers cost little, random strings nearly the entropy of their alphabet.
 Novel candidates are reported as ``novel`` if any part of them is within ``REACH`` characters before or after a sensitive word.
 Every run of 12 characters or more is measured. Common words prime the dictionary, and runs without digits, which may be
@@ -44,7 +44,11 @@ AROUND, PIECE = 256, 4096
 NOVEL = 0.45
 #: The same for runs without digits. Random letters cost over 0.65, in lower case not all that are short; most words cost less.
 NOVEL_WORD = 0.65
-#: Identifiers that prime the dictionary; a caller may give those of its own code base.
+#: Words of identifiers: runs of letters beside what joins or follows names in code. They are shorter than any candidate, so no secret becomes one.
+IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z]{3,11}(?=[_=:(]|\.[A-Za-z])|(?<=[_]|[A-Za-z]\.)[A-Za-z]{3,11}(?![A-Za-z0-9])"
+#: The most frequent of them prime the dictionary, this many.
+MOST = 4000
+#: Identifiers that prime the dictionary where no corpus is at hand.
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key private_key client_id client_secret authorization bearer session_id "
     "username user_name email config settings environment production development database connection localhost default value "
@@ -70,8 +74,9 @@ ARROW_RESULT = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
 class Novelty:
     """Marginal compressed bytes per character under a primed dictionary."""
 
-    def __init__(self, identifiers: tuple[str, ...] | list[str]):
-        primed = zstandard.ZstdCompressionDict(" ".join([*COMMON, *identifiers]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def __init__(self, known: tuple[str, ...] | list[str]):
+        primed = zstandard.ZstdCompressionDict(" ".join([*COMMON, *known]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primed.precompute_compress(level=3)
         self.frame = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
 
     def size(self, text: str) -> int:
@@ -88,6 +93,13 @@ class Novelty:
         return cost / (end - start)
 
 
+def identifiers(docs: DataFrame, text: str = "text", most: int = MOST) -> list[str]:
+    """The ``most`` frequent words of identifiers in all texts, in lower case, the most frequent last; of equal counts the first in the alphabet."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(IDENTIFIER), F.lit(0))).alias("word"))
+    ranked = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    return [r.word for r in reversed(ranked.collect())]
+
+
 def base(text: str) -> list[tuple[int, int, str, int]]:
     """Base spans as (start, order of kind, kind, end), sorted."""
     spans = [(m.start(), 2, "hex", m.end()) for m in HEX.finditer(text)]
@@ -120,10 +132,10 @@ def scan(text: str, novelty: Novelty, least: float = NOVEL) -> list[dict]:
     return [{"kind": k, "start": s, "end": e, "novelty": round(scores[s, e], 6)} for s, _, k, e in sorted(spans)]
 
 
-def annotate(docs: DataFrame, text: str = "text", out: str = "secrets", identifiers: tuple[str, ...] | list[str] = tuple(IDENTIFIERS), least: float = NOVEL) -> DataFrame:
-    """``docs`` with an array of (kind, start, end, novelty), in code points, sorted by start and then by kind."""
+def annotate(docs: DataFrame, text: str = "text", out: str = "secrets", known: tuple[str, ...] | list[str] = tuple(IDENTIFIERS), least: float = NOVEL) -> DataFrame:
+    """``docs`` with an array of (kind, start, end, novelty), in code points, sorted by start and then by kind; ``known`` are identifiers."""
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        novelty = Novelty(identifiers)
+        novelty = Novelty(known)
         for texts in batches:
             yield pa.array([scan(t, novelty, least) if t else [] for t in texts.to_pylist()], ARROW_RESULT)
 
