@@ -6,10 +6,12 @@ For each language, and for "und" (no language: bytes at random), these are added
   bounded sample of the rows of each label (together about ``SAMPLE``). A byte is in three trigrams, so a third of it counts;
 * declared language: how often texts that are most likely in a language declare this one;
 * address suffix: how much more often texts most likely in a language have this last label of a host;
-* host prior: the share of languages among a host's texts, smoothed by its domain's, smoothed by all rows'.
+* host prior: the share of languages among a host's other texts, smoothed by its domain's, smoothed by all rows'. A row's own vote is taken off
+  its host's and domain's counts, so no text speaks for itself twice.
 
 The three latter come from grouped aggregations over all rows, of what the text alone says. Hosts and suffixes join back to
-their rows with heavy ones broadcast, so a host may hold any share of the rows.
+their rows, and domains to their hosts, with heavy ones broadcast, so a host may hold any share of the rows and a domain of the hosts. A domain is the
+last two labels of a host, or three where the last two are a country's and a short one of its own (``co.uk``).
 
 Every declared language is counted over all rows. Beyond the ``LANGUAGES`` most frequent ones the others share one model, REST; a
 row that REST or nothing explains is in the language that it declares, if this has no model of its own.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import cut, join_groups
@@ -41,6 +43,8 @@ NOISE = 0.5
 #: Weight of a wider level's shares in a narrower one, in rows; of declared languages and suffixes in rows; prior of "und".
 HOST_WEIGHT, EVIDENCE_WEIGHT, UND = 10.0, 5.0, 0.001
 ACCEPT = 0.5
+#: What isn't text in a page: scripts, styles and comments, to the end of the page where they aren't closed, tags and entities. Each part is read once.
+MARKUP = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|&[a-z0-9#]{1,8};"
 #: Characters of a text whose trigrams are looked up at once.
 AT_ONCE = 1 << 20
 
@@ -69,7 +73,7 @@ class TextModel:
         return total * TEMPER
 
 
-def language(column) -> F.Column:
+def language(column) -> Column:
     """Two- or three-letter code in lower case, or null."""
     code = F.lower(F.regexp_extract(F.trim(column), r"^([A-Za-z]{2,3})(?:[-_].*)?$", 1))
     return F.when(code != "", code)
@@ -88,7 +92,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample: in
     each = sample / max(1, len(names))
     place = {x: i for i, x in enumerate(languages)}
 
-    def by_label(values: dict, default) -> F.Column:
+    def by_label(values: dict, default) -> Column:
         known = [F.lit(v) for pair in values.items() for v in pair]
         return F.coalesce(F.element_at(F.create_map(*known), F.col("label")), F.lit(default)) if known else F.lit(default)
 
@@ -115,12 +119,14 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample: in
 def page_evidence(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Web pages as evidence rows: id, text without markup, declared language, host, domain and suffix."""
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^<>]*>|&[a-z0-9#]{1,8};", " ")
-    declared = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
+    text = F.regexp_replace(F.coalesce(html, F.lit("")), MARKUP, " ")
+    declared = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?i)<html[^<>]*\blang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
     named = F.when(host != "", host)
+    last, before = F.substring_index(named, ".", -1), F.substring_index(F.substring_index(named, ".", -2), ".", 1)
+    shared = (F.length(last) == 2) & (F.length(before) <= 3) & (F.size(F.split(named, r"\.")) > 2)
     return pages.select(
         F.col(key).alias("id"), text.alias("text"), language(declared).alias("declared"), named.alias("host"),
-        F.substring_index(named, ".", -2).alias("domain"), F.substring_index(named, ".", -1).alias("suffix"),
+        F.when(shared, F.substring_index(named, ".", -3)).otherwise(F.substring_index(named, ".", -2)).alias("domain"), last.alias("suffix"),
     )
 
 
@@ -163,7 +169,7 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
         r = said[name]
         return (r[f"n{i}"] + EVIDENCE_WEIGHT * r["rows"] / declared_rows) / (per_language[i] + EVIDENCE_WEIGHT)
 
-    def logs(values) -> F.Column:
+    def logs(values) -> Column:
         return F.array(*(F.lit(float(np.log(v))) for v in values))
 
     declared_log = F.lit(None).cast("array<double>")
@@ -172,11 +178,23 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
 
     none = logs([1.0] * k)
     hosts = _shares(rows.where("host IS NOT NULL"), ["host", "domain"], k)
-    domains = hosts.where("domain IS NOT NULL").groupBy("domain").agg(F.sum("rows").alias("domain_rows"), *(F.sum(f"n{i}").alias(f"d{i}") for i in range(k)))
-    wide = [(F.coalesce(f"d{i}", F.lit(0)) + HOST_WEIGHT * prior[i]) / (F.coalesce("domain_rows", F.lit(0)) + HOST_WEIGHT) for i in range(k)]
-    own = [F.log((F.col(f"n{i}") + HOST_WEIGHT * wide[i]) / (F.col("rows") + HOST_WEIGHT)) for i in range(k)]
-    host_priors = cut(hosts.join(domains, "domain", "left").select("host", "size", F.array(*own).alias("host_log")))
-    placed = _with(rows, host_priors, "host", "size", logs(prior), "host_log")
+    hosts = cut(hosts.select("host", "domain", "size", "rows", F.array(*(f"n{i}" for i in range(k))).alias("n")))
+    wide = [F.sum(F.get("n", F.lit(i))) for i in range(k)]
+    domains = hosts.where("domain IS NOT NULL").groupBy("domain").agg(F.count("*").alias("hosts"), F.sum("rows").alias("domain_rows"), F.array(*wide).alias("d"))
+    stats = _with(hosts, cut(domains.select("domain", "hosts", F.struct("domain_rows", "d").alias("wide"))), "domain", "hosts", F.lit(None), "wide")
+    counts = cut(stats.select("host", "size", F.struct("rows", "n", "wide.domain_rows", "wide.d").alias("counts")))
+    placed = _with(rows, counts, "host", "size", F.lit(None), "counts")
+    c = F.col("counts")
+    votes = F.when(F.col("best").isNull(), 0).otherwise(1)
+    domain_rows = F.when(c["domain_rows"].isNull(), 0).otherwise(c["domain_rows"] - votes)
+
+    def host_log(i: Column) -> Column:
+        own = F.when(F.col("best") == i, 1).otherwise(0)
+        of_domain = F.when(c["d"].isNull(), 0).otherwise(F.get(c["d"], i) - own)
+        smooth = (of_domain + HOST_WEIGHT * F.get(F.array(*map(F.lit, prior)), i)) / (domain_rows + HOST_WEIGHT)
+        return F.log((F.get(c["n"], i) - own + HOST_WEIGHT * smooth) / (c["rows"] - votes + HOST_WEIGHT))
+
+    placed = placed.withColumn("host_log", F.when(c.isNull(), logs(prior)).otherwise(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), host_log)))
 
     suffixes = _shares(rows.where("suffix IS NOT NULL"), ["suffix"], k)
     at_all = max(1, rows.where("suffix IS NOT NULL AND best IS NOT NULL").count())
@@ -197,7 +215,7 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
 
 
 def _with(rows: DataFrame, groups: DataFrame, key: str, size: str, default, column: str) -> DataFrame:
-    """Rows with the column of their group, and the default where the key is null."""
+    """Rows with the column of their group, and the default where the key is null. ``size`` counts the rows of a group."""
     named = rows.where(F.col(key).isNotNull())
     found = join_groups(named, groups, key, size, named.count()).drop(size)
-    return found.unionByName(rows.where(F.col(key).isNull()).withColumn(column, default))
+    return found.unionByName(rows.where(F.col(key).isNull()).withColumn(column, default.cast(groups.schema[column].dataType)))
