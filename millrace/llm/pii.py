@@ -7,7 +7,7 @@ sides and validates what it finds.
 Base kinds (leftmost, non-overlapping per kind; a match that fails its test is dropped, not retried):
 ``email``, ``ip`` (each part at most 255), ``card`` (12 to 19 digits passing Luhn), ``phone`` (9 to 15 digits).
 Added kinds: ``url`` (a scheme or ``www.`` up to white space, quotes or brackets, closing punctuation left off)
-and ``account`` (a cue such as ``iban`` or ``account no``, in any case of A-Z, followed by an identifier: the longest run of
+and ``account`` (a cue such as ``iban`` or ``account no``, a word of its own in any case of A-Z, followed by an identifier: the longest run of
 parts with digits, joined by single blanks, of at least 6 digits and at most 34 characters; an IBAN must pass its mod-97 test).
 
 Defined results: a null text counts as empty and has no spans; rows are judged one by one, so repeated rows and
@@ -113,7 +113,7 @@ def scan(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str,
                 end = last + 1 + len(m[0].rstrip(".,;:!?"))
                 if end > last + 1:
                     found("url", at, end, True)
-        elif at >= free["account"] and (at == 0 or not text[at - 1].isalnum()) and (m := ACCOUNT.match(text, last + 1)):
+        elif at >= free["account"] and (at == 0 or not text[at - 1].isalnum()) and not text[last + 1 : last + 2].isalpha() and (m := ACCOUNT.match(text, last + 1)):
             word = account_word(m[1])
             if word:
                 found("account", m.start(1), m.start(1) + len(word), True)
