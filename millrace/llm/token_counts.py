@@ -2,7 +2,7 @@
 
 Pieces are counted once per distinct pre-token: the corpus' pre-tokens are counted (in each task first), and the tokenizer is
 asked for the number of pieces of each distinct one. Documents then need only their pre-token frequencies, joined to these
-numbers and summed. Pre-tokens that make up most of the text, no more than ``HEAD`` of them, are joined by broadcast as
+numbers and summed. Pre-tokens that make up most of the text, no more than ``HEAD`` of them and none longer than ``HEAD_LENGTH``, are joined by broadcast as
 soon as a document is cut; the frequencies of all the others meet their piece counts in a shuffle join.
 
 Works for tokenizers files with a byte-level pre-tokenizer and no normaliser; others are refused. Added special
@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,10 +26,12 @@ from pyspark.sql import functions as F
 from . import pretokens
 from ._common import frequent, work_path
 
-#: Pre-tokens joined by broadcast at most, and entries after which a task hands on what it has counted or forgets what it knows.
-HEAD, HOLD = 1 << 17, 1 << 17
-#: Rows of a batch that a task hands on.
-ROWS = 1 << 14
+#: Pre-tokens joined by broadcast at most, and the characters that they may have.
+HEAD, HEAD_LENGTH = 1 << 17, 64
+#: Entries and characters after which a task hands on what it has counted or forgets what it knows.
+HOLD, HOLD_LENGTH = 1 << 17, 1 << 26
+#: Rows of a batch that a task hands on, and characters.
+ROWS, LENGTH = 1 << 14, 1 << 23
 
 
 def special_tokens(path: str) -> list[str]:
@@ -49,32 +52,35 @@ def _cut_out(text: str, specials) -> tuple[list[str], int]:
     return parts, len(parts) - 1
 
 
-def _frequencies(specials) -> callable:
+def _frequencies(specials) -> Callable:
     """Batches of texts to batches of (pretoken, n); a pre-token may come several times."""
     def pretokens_of(found: Counter, words: Counter) -> Iterator[pa.RecordBatch]:
-        names, counts = list(found), list(found.values())
-        for word, n in words.items():
-            own = pretokens.of_word(word)
+        names, counts, size = [], [], 0
+        for own, n in chain((((p,), n) for p, n in found.items()), ((pretokens.of_word(w), n) for w, n in words.items())):
             names += own
             counts += [n] * len(own)
-            if len(names) >= ROWS:
+            size += sum(map(len, own))
+            if len(names) >= ROWS or size >= LENGTH:
                 yield _batch(names, counts)
-                names, counts = [], []
+                names, counts, size = [], [], 0
         yield _batch(names, counts)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         words: Counter = Counter()
+        size = 0  # characters of the texts, which no entries exceed
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for part in _cut_out(text, specials)[0]:
                     whole, rest = pretokens.words(part)
                     found.update(whole)
                     words.update(rest)
-                if len(found) + len(words) >= HOLD:
+                size += len(text)
+                if len(found) + len(words) >= HOLD or size >= HOLD_LENGTH:
                     yield from pretokens_of(found, words)
                     found.clear()
                     words.clear()
+                    size = 0
         yield from pretokens_of(found, words)
 
     return frequencies
@@ -84,7 +90,7 @@ def _batch(names: list[str], counts: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["pretoken", "n"])
 
 
-def _pieces(path: str) -> callable:
+def _pieces(path: str) -> Callable:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
@@ -116,16 +122,20 @@ def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", h
     specials = pretokens.specials_of(special_tokens(path))
     dictionary(docs, path, text).write.parquet(at := work_path(spark, "pretokens"))
     words = spark.read.parquet(at)
-    common = frequent(words, "n", head)
+    common = frequent(words, "n", head) & (F.char_length("pretoken") <= HEAD_LENGTH)
     known = spark.sparkContext.broadcast(dict(map(tuple, words.where(common).select("pretoken", "pieces").collect())))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = known.value
         seen: dict[str, int | tuple[int, list[str]]] = {}  # pieces of a word; with the pre-tokens that aren't known, if any
+        held = 0
 
         def look(word: str) -> int | tuple[int, list[str]]:
-            if len(seen) >= HOLD:
+            nonlocal held
+            held += len(word)
+            if len(seen) >= HOLD or held >= HOLD_LENGTH:
                 seen.clear()
+                held = len(word)
             own = pretokens.of_word(word)
             others = [p for p in own if p not in pieces]
             here = sum(pieces.get(p, 0) for p in own)
@@ -135,6 +145,7 @@ def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", h
         for batch in batches:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), batch.column(2).type]
             rows: list[tuple] = []
+            size = 0
             for row, text, doc in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 parts, total = _cut_out(text or "", specials)
                 rest: Counter = Counter()
@@ -157,9 +168,10 @@ def count(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", h
                                 rest[p] += n
                 rows.append((row, f"\0{row}", 0, total, doc))  # no pre-token has a digit after another character: this one joins nothing
                 rows += [(row, p, n, 0, None) for p, n in rest.items()]
-                if len(rows) >= ROWS:
+                size += sum(map(len, rest))
+                if len(rows) >= ROWS or size >= LENGTH:
                     yield _rows(rows, kinds)
-                    rows = []
+                    rows, size = [], 0
             yield _rows(rows, kinds)
 
     doc = F.struct(F.col(key).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
