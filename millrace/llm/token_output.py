@@ -7,8 +7,10 @@ use, permutes these numbers: every sequence gets a global slot of its own and th
 Range partitions of the slots write shards of ``per_shard`` sequences; every sequence takes the same number of bytes, so slot s
 is found by arithmetic and a training run reads on from any slot, shard after shard.
 
-A shard is written under a temporary name and renamed when it is whole, so a lost task leaves nothing half-written. Its
-repetition and a repeated job write all their shards again over the old ones. Ids are little-endian 16-bit.
+A shard is written under a temporary name and renamed when it is whole, so a lost task leaves nothing half-written. A task that is
+repeated, and a job that is run again, compare each shard with the file that is there while they make it: one that is the same stays as it is, else
+what was the same is copied and the rest written, so nothing stale is ever kept. What lost tasks left is deleted at the end.
+A partition writes one shard, or several that follow each other where there would be more than ``PARTITIONS``. Ids are little-endian 16-bit.
 
 Defined results: a null text counts as empty and gives only its end-of-text id; repeated rows give repeated tokens; an empty
 table gives no shards; sequences carry the ids of their documents in order, null ids included; other columns are left out.
@@ -36,6 +38,8 @@ from . import pretokens
 from ._common import remove, work_path
 
 LENGTH, PER_SHARD, ROUNDS = 1024, 4096, 6
+#: Range partitions that write shards, at most.
+PARTITIONS = 50_000
 END = 50256
 #: How the table of sequences is written: ids are large and repeat each other, so pages are compressed well.
 TABLE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary#ids": "false", "parquet.page.size": str(8 << 20)}
@@ -170,7 +174,69 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
-def write(docs: DataFrame, path: str, ranks_path: str, order_key: str = "order", length: int = LENGTH, per_shard: int = PER_SHARD, key: str = "doc_id", text: str = "text") -> DataFrame:
+class ShardWriter:
+    """One shard after another; a shard that is there with the same bytes isn't written again."""
+
+    def __init__(self, path: str, attempt: int):
+        self.files, self.base = _filesystem(path)
+        self.attempt, self.shard, self.size, self.old, self.out = attempt, None, 0, None, None
+
+    def begin(self, shard: int) -> None:
+        self.shard, self.size, self.out = shard, 0, None
+        self.at = f"{self.base}/{shard_name(shard)}"
+        there = self.files.get_file_info(self.at)
+        self.length = there.size if there.type == pafs.FileType.File else None
+        self.old = None if self.length is None else self.files.open_input_stream(self.at)
+
+    def add(self, ids: bytes) -> None:
+        if self.out is None and (self.old is None or self.old.read(len(ids)) != ids):
+            self._rewrite()
+        if self.out is not None:
+            self.out.write(ids)
+        self.size += len(ids)
+
+    def _rewrite(self) -> None:
+        """From here on the shard isn't what is there: write a new one, which begins as the old one does."""
+        self._close()
+        self.out = self.files.open_output_stream(f"{self.at}.{self.attempt}")
+        if self.size:
+            with self.files.open_input_stream(self.at) as same:
+                left = self.size
+                while left:
+                    part = same.read(min(left, 1 << 20))
+                    self.out.write(part)
+                    left -= len(part)
+
+    def _close(self) -> None:
+        if self.old is not None:
+            self.old.close()
+            self.old = None
+
+    def finish(self, want: int) -> bool:
+        """Whether the shard had to be written."""
+        if self.size != want:
+            raise ValueError(f"{shard_name(self.shard)} has {self.size} bytes instead of {want}")
+        if self.out is None and self.length != want:
+            self._rewrite()
+        self._close()
+        if self.out is None:
+            return False
+        self.out.close()
+        if self.length is not None:
+            self.files.delete_file(self.at)  # not every store replaces a file by renaming another
+        self.files.move(f"{self.at}.{self.attempt}", self.at)
+        return True
+
+
+def _tidy(files: pafs.FileSystem, base: str, shards: int) -> None:
+    """Delete what lost tasks left, and shards beyond the last one."""
+    for info in files.get_file_info(pafs.FileSelector(base)):
+        m = re.fullmatch(r"shard-(\d{6,})\.bin(\.\d+)?", info.base_name)
+        if m and (m[2] or int(m[1]) >= shards):
+            files.delete_file(info.path)
+
+
+def write(docs: DataFrame, path: str, ranks_path: str, order_key: str = "order", length: int = LENGTH, per_shard: int = PER_SHARD, key: str = "doc_id", text: str = "text", partitions: int = PARTITIONS) -> DataFrame:
     """Write the shards of ``docs`` below ``path`` (a URI that all executors share) and return one row per sequence.
 
     Columns: number, slot, shard, byte_offset in its shard, n_tokens without padding, docs, ids_sha256 of the padded ids.
@@ -185,39 +251,35 @@ def write(docs: DataFrame, path: str, ranks_path: str, order_key: str = "order",
         out.write(json.dumps({"sequences": total, "length": length, "per_shard": per_shard, "dtype": "<u2", "order_key": order_key}).encode())
 
     def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, base = _filesystem(path)
         plain, pad = zstandard.ZstdDecompressor(dict_data=_primed(primer)), END.to_bytes(2, "little")
-        attempt, shard, out, size = TaskContext.get().taskAttemptId(), None, None, 0
+        writer = ShardWriter(path, TaskContext.get().taskAttemptId())
 
         def finish() -> None:
-            out.close()
-            want = stride * (min(total, (shard + 1) * per_shard) - shard * per_shard)
-            if size != want:
-                raise ValueError(f"{shard_name(shard)} has {size} bytes instead of {want}")
-            files.move(f"{base}/{shard_name(shard)}.{attempt}", f"{base}/{shard_name(shard)}")
+            writer.finish(stride * (min(total, (writer.shard + 1) * per_shard) - writer.shard * per_shard))
 
         for batch in batches:
             digests = []
             for own, packed in zip(batch.column(2).to_pylist(), batch.column(6).to_pylist(), strict=True):
-                if own != shard:
-                    if shard is not None:
+                if own != writer.shard:
+                    if writer.shard is not None:
                         finish()
-                    shard, size = own, 0
-                    out = files.open_output_stream(f"{base}/{shard_name(shard)}.{attempt}")
+                    writer.begin(own)
                 ids = plain.decompress(packed)
                 ids += pad * ((stride - len(ids)) // 2)
-                out.write(ids)
-                size += stride
+                writer.add(ids)
                 digests.append(hashlib.sha256(ids).hexdigest())
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(digests, pa.string())], names=[*batch.schema.names[:6], "ids_sha256"])
-        if shard is not None:
+        if writer.shard is not None:
             finish()
 
     kind = docs.schema[key].dataType.simpleString()
     chosen = placed.select("number", "slot", "shard", ((F.col("slot") % per_shard) * stride).alias("byte_offset"), "n_tokens", "docs", "ids")
-    ranged = chosen.repartitionById(max(shards, 1), "shard").sortWithinPartitions("slot")  # a shard is a range of slots: no sampling
+    each = -(-shards // partitions) or 1
+    at = F.floor(F.col("shard") / each).cast("int")
+    ranged = chosen.repartitionById(max(-(-shards // each), 1), at).sortWithinPartitions("slot")  # a shard is a range of slots: no sampling
     rows = ranged.mapInArrow(shards_of, f"number long, slot long, shard int, byte_offset long, n_tokens int, docs array<{kind}>, ids_sha256 string")
     rows.write.mode("overwrite").parquet(f"{path}/manifest")
+    _tidy(files, base, shards)
     remove(spark, packed)
     return spark.read.parquet(f"{path}/manifest")
 
