@@ -46,7 +46,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS rank FROM s),
@@ -60,12 +60,16 @@ t AS (
   SELECT source, source_size, CASE WHEN x.level IS NULL OR full_at <= x.level THEN CAST(lim AS DOUBLE) ELSE CAST(weight AS DOUBLE) * x.level END AS target
   FROM f LEFT JOIN x ON true),
 q AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS finish
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  SELECT d.doc_id, d.source, d.place, d.size, t.source_size, t.target, CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS finish
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT source, place, doc_id, size, n, CAST(n * source_size + finish AS DOUBLE) / target AS copy_finish FROM q, (SELECT unnest([0, 1]) AS n) WHERE size > 0 AND target > 0),
+m AS (SELECT copy_finish, sum(size) OVER (ORDER BY copy_finish, encode(source) NULLS FIRST, place, doc_id NULLS FIRST, n ROWS UNBOUNDED PRECEDING) AS words FROM k),
+e AS (SELECT min(copy_finish) AS until FROM m WHERE words >= 1.5 * (SELECT sum(size) FROM d)),
+g AS (SELECT *, CASE WHEN until IS NULL THEN 2 * source_size ELSE floor(target * until) END AS given FROM q, e)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST(greatest(0, least(size, floor(target) - (finish - size))) + greatest(0, least(size, floor(target) - (source_size + finish - size))) AS BIGINT) AS taken,
+  CAST(greatest(0, least(size, given - (finish - size))) + greatest(0, least(size, given - (source_size + finish - size))) AS BIGINT) AS taken,
   CASE WHEN target > 0 THEN CAST(finish AS DOUBLE) / target END AS virtual_finish
-FROM q
+FROM g
 """
 
 
@@ -75,12 +79,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the upper half of the ids first, so that the second one meets the index that the first one left."""
     docs = table(spark, sf_dir, "documents")
-    return exact_dedup.ingest(docs, exact_dedup.DigestIndex(spark, work_path(spark, "digest-index")))
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    return exact_dedup.ingest_all(docs, exact_dedup.DigestIndex(spark, work_path(spark, "digest-index")), [] if middle is None else [middle])
 
 
 OP6_SQL = """
-SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
@@ -91,7 +97,8 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.annotate(docs, known=secret_scan.identifiers(docs))
     s = F.col("secrets")
     return found.select("doc_id", *(_count(s, k) for k in secret_scan.BASE), _digest(s, secret_scan.BASE).alias("base_sha256"), spans_text(s).alias("spans"), F.array_max(s["novelty"]).alias("max_novelty"))
 

@@ -78,6 +78,7 @@ def test_pii_accounts_in_parts_and_any_case():
         ("account 123456789012 345678901234 5678901234", "123456789012 345678901234"),
     ]:
         assert accounts(text) == [account], text
+    assert accounts("accounts12345678") == accounts("ssnx123456") == accounts("myaccount 12345678") == [] and accounts("ssn123456") == accounts("account123456") == ["123456"]
     assert accounts("IBAN DE89 3704 0044 0532 0130 01") == [] == accounts("account 12 of 3456")
     assert accounts("iban DE89 3704 0044 0532 0130 00 today") == ["DE89 3704 0044 0532 0130 00"]
     pii.scan("account" + " " * 300_000 + "account", ANCHORS)
@@ -123,6 +124,49 @@ def test_secrets_without_digits_at_the_edge_and_before_the_word():
     assert sum(novel(f"the private key is {k} for now") == [k] for k in keys) >= 295
 
 
+def test_identifiers_of_a_corpus(spark, empty):
+    texts = ["max_retries = get_value(config.path)", "max_retries: 3; MAX_items", "the words of a sentence. And more", None, "qXvRtZkWpLsNbHdJ_x"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert S.identifiers(docs) == ["value", "path", "items", "get", "config", "retries", "max"]
+    assert S.identifiers(docs, most=1) == ["max"] and S.identifiers(empty) == []
+    name = "subscription_reconciler_manager"
+    alone, known = (S.Novelty(x).of(f"the token {name} is", 10, 10 + len(name)) for x in ([], ["subscription", "reconciler", "manager"]))
+    assert known < alone - 0.1
+
+
+def brute_novelty(text: str, start: int, end: int, known: list[str]) -> float:
+    """Bytes that a frame takes more for the candidate, in a compressor of its own."""
+    import zstandard
+
+    def size(x: str) -> int:
+        words = zstandard.ZstdCompressionDict(" ".join([*S.COMMON, *known]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        words.precompute_compress(level=3)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False).compress(x.encode()))
+
+    around = text[max(0, start - 256) : start] + text[end : end + 256]
+    return (size(around + text[start:end]) - size(around)) / (end - start)
+
+
+def test_novel_spans_against_brute_force():
+    """Every run of 12 characters whose nearest edge is within 64 of a sensitive word, outside base spans, that costs enough."""
+    rnd = random.Random(21)
+    pieces = ["password", "bearer ", "api key", " ", "\n", "word ", "configuration ", "x" * 70 + " ", "=", "deadbeefdeadbeef01 ", "token=abcdefabcdef99 "]
+    for _ in range(150):
+        parts = [rnd.choice([*pieces, "".join(rnd.choice("abcXYZ0189qwe") for _ in range(rnd.randint(10, 30))) + " "]) for _ in range(rnd.randint(2, 12))]
+        text = "".join(parts)
+        covered = [(s, e) for s, _, _, e in S.base(text)]
+        words = [m.span() for m in S.SENSITIVE.finditer(text)]
+        expected = []
+        for m in S.CANDIDATE.finditer(text):
+            s, e = m.span()
+            near = any(s - S.REACH < b and a - S.REACH < e for a, b in words)
+            if near and not any(a < e and s < b for a, b in covered):
+                score = brute_novelty(text, s, e, S.IDENTIFIERS)
+                if score >= (S.NOVEL if re.search("[0-9]", m[0]) else S.NOVEL_WORD):
+                    expected.append((s, e, round(score, 6)))
+        assert [(f["start"], f["end"], f["novelty"]) for f in S.scan(text, NOVELTY) if f["kind"] == "novel"] == expected, text
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

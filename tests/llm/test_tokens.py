@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -53,8 +55,7 @@ def test_words_hold_the_pretokens(texts):
 
 
 @pytest.mark.parametrize("share", [0, 0.02, 2])
-def test_scores(spark, share, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "AT_ONCE", 40)
+def test_scores(spark, share):
     rnd = random.Random(10)
     data = [(i, " ".join(rnd.choice(["red", "green", "blue", "zq"]) for _ in range(rnd.randint(1, 12)))) for i in range(60)] + [(70, None), (71, ""), (72, "unheard"), (1, "red red"), (1, "red red")]
     encoder = token_output.Encoder(RANKS)
@@ -92,6 +93,12 @@ def test_scores_of_no_rows_and_odd_rows(docs, odd):
     assert len(out) == 10 and of[3].score is None and of[4].n_tokens == 0 and of[5].n_tokens == len(token_output.Encoder(RANKS).encode(LONG)) and of[1] == of[2].__class__(1, *of[2][1:])
 
 
+def test_texts_are_scored_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "AT_ONCE", 40)
+    texts = [b"\0" * 2 * n for n in (0, 10, 30, 1, 0, 90, 5, 40)]
+    assert list(lm_scoring._parts(texts)) == [(0, 3), (3, 5), (5, 6), (6, 7), (7, 8)] and list(lm_scoring._parts([])) == []
+
+
 def test_heavy_bigrams_are_bounded_and_others_are_joined(spark, tmp_path):
     """Bigrams of less than the share meet the table in a join, and on the benchmark table there are more of these than documents."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
@@ -132,6 +139,39 @@ def test_shards_round_trip(spark, docs, texts):
     assert token_output.manifest(spark, path).count() == len(out)
 
 
+def test_a_repeated_job_leaves_whole_shards_and_mends_others(spark, docs):
+    path = work_path(spark, "shards")
+    some, base = docs.repartition(3, "doc_id").persist(), path.removeprefix("file://")
+
+    def state() -> dict[str, tuple[bytes, int]]:
+        return {p.name: (p.read_bytes(), p.stat().st_mtime_ns) for p in Path(base).glob("shard-*")}
+
+    first = token_output.write(some, path, RANKS, length=16, per_shard=40).orderBy("slot").collect()
+    before = state()
+    whole, names = {n: b for n, (b, _) in before.items()}, sorted(before)
+    assert len(names) > 8
+    Path(base, names[1]).write_bytes(whole[names[1]][:100])
+    Path(base, names[2]).write_bytes(whole[names[2]][:64] + b"xx" + whole[names[2]][66:])
+    Path(base, names[3]).write_bytes(whole[names[3]] + b"more")
+    Path(base, names[4]).unlink()
+    Path(base, f"{names[5]}.77").write_bytes(b"left")
+    Path(base, "shard-999999.bin").write_bytes(b"of a larger job")
+    assert token_output.write(some, path, RANKS, length=16, per_shard=40, partitions=4).orderBy("slot").collect() == first
+    after = state()
+    assert {n: b for n, (b, _) in after.items()} == whole
+    assert [n for n in names if after[n][1] == before[n][1]] == [n for i, n in enumerate(names) if i not in (1, 2, 3, 4)]
+    other = token_output.write(some, path, RANKS, "another order", length=16, per_shard=40).orderBy("slot").collect()
+    assert {n: b for n, (b, _) in state().items()} != whole and [r.ids_sha256 for r in other] != [r.ids_sha256 for r in first]
+    assert [hashlib.sha256(x.tobytes()).hexdigest() for x in token_output.Reader(path).read()] == [r.ids_sha256 for r in other]
+
+
+def test_shards_of_odd_rows(spark, odd):
+    path = work_path(spark, "shards")
+    out = token_output.write(odd, path, RANKS, length=64, per_shard=8).collect()
+    encoder = token_output.Encoder(RANKS)
+    assert sum(r.n_tokens for r in out) == sum(len(encoder.encode(r.text or "")) + 1 for r in odd.collect()) and {d for r in out for d in r.docs} == {1, 2, 3, 4, 5, 6, 7, 8, None}
+
+
 def test_shards_of_no_rows(spark, docs):
     path = work_path(spark, "shards")
     assert token_output.write(docs.where("false"), path, RANKS).count() == 0 and list(token_output.Reader(path).read()) == []
