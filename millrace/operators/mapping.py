@@ -1,15 +1,25 @@
 """Lookups of mapping rules in reference data.
 
-Keys and outputs at the root are a left join, broadcast while the table's size is within the limit. Where either is in an array,
-the row carries the part of the table that it may need as a map and the lookup is an expression in the array, so arrays
-are neither exploded nor put together again: a table of at most ``MAP_ROWS`` rows travels as one broadcast row; of a larger one each
-distinct set of keys gets its own entries by joins on the key and on the set.
+Keys and outputs at the root are a left join, broadcast while the table's measured size is within the limit. Where either is in an array,
+the row carries the part of the table that it may need as small maps and the lookup is an expression in the array, so arrays
+are neither exploded nor put together again:
+
+* a table of at most ``MAP_ROWS`` rows travels as one broadcast row of ``BUCKETS`` maps, of which a key is looked up in one;
+* a larger one within the limit is broadcast once to each Python worker, which gives every row the entries of its own keys in Arrow batches. Only
+  the rows' keys go there, nothing is shuffled, and it works on streams;
+* of one beyond the limit each distinct set of keys gets its own entries by joins on the key and on the set. Rows without keys take no part, and
+  sets or keys that many rows share are left to adaptive skew joins. Such a table can't be used on a stream.
+
+What is chosen from a table (by filter, keys and targets) is aggregated once and kept with the table, with its rows, bytes and repeated keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +29,8 @@ from millrace.functions.paths import Reader
 
 from .rules import Mapping, RuleError
 
-#: Rows of a table that is sent along as one map, since a map is searched from its start.
-MAP_ROWS = 256
+#: Rows of a table that is sent along with every row, and the maps that it is dealt to, since a map is searched from its start.
+MAP_ROWS, BUCKETS = 256, 64
 #: Bytes of a table that is broadcast.
 BROADCAST_BYTES = 10 << 20
 
@@ -34,10 +44,40 @@ class Table:
     own_filter: object | None = None
     #: What to do about rows with the same key: "fail", or "largest" to take the largest values.
     duplicates: str = "fail"
+    #: What was chosen from it so far.
+    chosen: dict[tuple, Chosen] = field(default_factory=dict, repr=False, compare=False)
+
+
+@dataclass
+class Chosen:
+    """Keys k0.. and a struct ``v`` of the targets, one row for each key; how many rows and bytes."""
+
+    rows: DataFrame
+    count: int
+    size: int
 
 
-def _selected(rule: Mapping, table: Table) -> DataFrame:
-    """Keys k0.. and a struct ``v`` of the targets, one row for each key."""
+def _size(column: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, T.StructType):
+        return sum((_size(column.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
+    if isinstance(kind, T.ArrayType | T.MapType):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column.alias("x")))), F.lit(0)) + 8
+    return F.lit(16)
+
+
+def _selected(rule: Mapping, table: Table) -> Chosen:
+    """What the rule looks up in the table, kept with it for other rules that choose the same."""
+    override = rule.override_own_filter and rule.filter is not None
+    wanted = (repr(rule.filter), override, tuple(k for k, _ in rule.keys), tuple(rule.targets.values()), rule.null_safe, table.duplicates)
+    if wanted not in table.chosen:
+        table.chosen[wanted] = _chosen(rule, table)
+    return table.chosen[wanted]
+
+
+def _chosen(rule: Mapping, table: Table) -> Chosen:
     rows = table.rows
     if table.own_filter is not None and not (rule.override_own_filter and rule.filter is not None):
         rows = rows.where(table.own_filter.condition())
@@ -56,9 +96,16 @@ def _selected(rule: Mapping, table: Table) -> DataFrame:
         for n in names:
             chosen = chosen.where(F.col(n).isNotNull())
     grouped = chosen.groupBy(*names).agg(F.max("v").alias("v"), F.count("*").alias("n"))
-    if table.duplicates == "fail" and (twice := grouped.where("n > 1").select(*names).first()) is not None:
-        raise RuleError(f"rule {rule.order}: {rule.table} has several rows for the key {tuple(twice)}")
-    return grouped.drop("n")
+    size = sum((_size(F.col(f.name), f.dataType) for f in grouped.schema.fields if f.name != "n"), F.lit(0))
+    twice = F.max_by(F.to_json(F.struct(*names)) if names else F.lit("{}"), F.when(F.col("n") > 1, F.col("n")))
+    seen = grouped.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.max("n").alias("most"), twice.alias("key")).first()
+    if table.duplicates == "fail" and (seen.most or 0) > 1:
+        raise RuleError(f"rule {rule.order}: {rule.table} has several rows for the key {seen.key}")
+    return Chosen(grouped.drop("n"), seen.rows, seen.bytes)
+
+
+def _has_default(table: Table, target: str) -> bool:
+    return target in table.defaults or "*" in table.defaults
 
 
 def _default(rule: Mapping, table: Table, target: str, kind: T.DataType) -> Column:
@@ -85,22 +132,22 @@ def apply(df: DataFrame, rule: Mapping, table: Table, broadcast_bytes: int = BRO
     nested = any(paths.arrays_of(schema, p) for p in [*rule.inputs, *rule.outputs])
     if not nested:
         return _joined(df, rule, table, chosen, kinds, broadcast_bytes)
-    return _looked_up(df, rule, table, chosen, kinds, map_rows)
+    return _looked_up(df, rule, table, chosen, kinds, broadcast_bytes, map_rows)
 
 
 def _errors(rule: Mapping, keys: list[Column]) -> Column:
     return errors.error(errors.CONF_MAP, ",".join(rule.outputs), keys, rule.keys)
 
 
-def _joined(df: DataFrame, rule: Mapping, table: Table, chosen: DataFrame, kinds: list[T.DataType], broadcast_bytes: int) -> DataFrame:
+def _joined(df: DataFrame, rule: Mapping, table: Table, chosen: Chosen, kinds: list[T.DataType], broadcast_bytes: int) -> DataFrame:
     """All keys and outputs are outside arrays."""
     read = paths.reader({})
-    right = chosen.select(*(F.col(f"k{i}").alias(f"__k{i}") for i in range(len(rule.keys))), F.col("v").alias("__v"))
-    if _bytes(right) <= broadcast_bytes:
+    right = chosen.rows.select(*(F.col(f"k{i}").alias(f"__k{i}") for i in range(len(rule.keys))), F.col("v").alias("__v"))
+    if chosen.size <= broadcast_bytes:
         right = F.broadcast(right)
     condition = F.lit(True)
     for i, (_, column) in enumerate(rule.keys):
-        mine, theirs = read(column).cast(chosen.schema[f"k{i}"].dataType), F.col(f"__k{i}")
+        mine, theirs = read(column).cast(chosen.rows.schema[f"k{i}"].dataType), F.col(f"__k{i}")
         condition = condition & (mine.eqNullSafe(theirs) if rule.null_safe else mine == theirs)
     found = df.join(right, condition, "left")
     missing = F.col("__v").isNull()
@@ -114,64 +161,92 @@ def _joined(df: DataFrame, rule: Mapping, table: Table, chosen: DataFrame, kinds
     return found.withColumns(columns).drop("__v", *(f"__k{i}" for i in range(len(rule.keys))))
 
 
-def _bytes(df: DataFrame) -> int:
-    """Size of a frame as the optimizer estimates it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def _reachable(rule: Mapping, schema: T.StructType) -> bool:
     """Whether every key is an element of an array around the output, or outside of arrays."""
     around = set(paths.arrays_of(schema, rule.output))
     return all(set(paths.arrays_of(schema, p)) <= around for p in rule.inputs)
 
 
-def _looked_up(df: DataFrame, rule: Mapping, table: Table, chosen: DataFrame, kinds: list[T.DataType], map_rows: int) -> DataFrame:
+def _looked_up(df: DataFrame, rule: Mapping, table: Table, chosen: Chosen, kinds: list[T.DataType], broadcast_bytes: int, map_rows: int) -> DataFrame:
     schema = df.schema
     if not _reachable(rule, schema):
         return _never_found(df, rule, table, kinds)
-    names = [f"k{i}" for i in range(len(rule.keys))]
-    entry = F.struct(F.struct(*names) if names else F.struct(F.lit(0).alias("k")), F.col("v"))
-    few = chosen.limit(map_rows + 1).count() <= map_rows
-    key_kind = T.StructType([T.StructField(n, chosen.schema[n].dataType) for n in names]) if names else T.StructType([T.StructField("k", T.IntegerType())])
+    names, rows = [f"k{i}" for i in range(len(rule.keys))], chosen.rows
+    key_kind = T.StructType([T.StructField(n, rows.schema[n].dataType) for n in names]) if names else T.StructType([T.StructField("k", T.IntegerType())])
+    entries = rows.select(F.struct(*(names or [F.lit(0).alias("k")])).cast(key_kind.simpleString()).alias("key"), "v")
+    map_kind = T.MapType(key_kind, rows.schema["v"].dataType)
 
     def key(read: Reader) -> Column:
-        columns = [read(c).cast(chosen.schema[f"k{i}"].dataType).alias(f"k{i}") for i, (_, c) in enumerate(rule.keys)]
+        columns = [read(c).cast(rows.schema[f"k{i}"].dataType).alias(f"k{i}") for i, (_, c) in enumerate(rule.keys)]
         return F.struct(*columns).cast(key_kind.simpleString()) if columns else F.struct(F.lit(0).alias("k"))
 
-    if few:
-        whole = chosen.agg(F.map_from_entries(F.collect_list(entry)).alias("__map"))
-        carried = df.crossJoin(F.broadcast(whole))
+    def wanted() -> Column:
+        return F.array_sort(F.array_distinct(paths.gather(schema, rule.output, key, F.array().cast(T.ArrayType(key_kind).simpleString()))))
+
+    if chosen.count <= map_rows:
+        dealt = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.map_from_entries(F.filter("all", lambda e: _bucket(e["key"]) == b)))
+        carried = df.crossJoin(F.broadcast(entries.agg(F.collect_list(F.struct("key", "v")).alias("all")).select(dealt.alias("__map"))))
+        at = lambda read: F.get(F.col("__map"), _bucket(key(read)).cast("int"))
+    elif df.isStreaming or chosen.size <= broadcast_bytes:
+        if chosen.size > broadcast_bytes:
+            raise RuleError(f"rule {rule.order}: {rule.table} takes {chosen.size} bytes, too many for a lookup in arrays of a stream")
+        carried = df.withColumn("__map", _own_entries(entries, map_kind)(wanted()))
+        at = lambda read: F.col("__map")
     else:
-        no_keys = F.array().cast(T.ArrayType(key_kind).simpleString())
-        wanted = F.array_sort(F.array_distinct(paths.gather(schema, rule.output, key, no_keys)))
-        keyed = df.withColumn("__keys", wanted)
-        sets = keyed.select("__keys").distinct()
-        known = chosen.select(F.struct(*names).cast(key_kind.simpleString()).alias("known"), "v")
-        pairs = sets.select("__keys", F.explode("__keys").alias("key")).join(known, F.col("key").eqNullSafe(F.col("known")))
-        maps = pairs.groupBy(F.col("__keys").alias("__set")).agg(F.map_from_entries(F.collect_list(F.struct("key", "v"))).alias("__map"))
-        carried = keyed.join(maps, F.col("__keys") == F.col("__set"), "left").drop("__set", "__keys")
-    nothing = F.create_map().cast(T.MapType(key_kind, chosen.schema["v"].dataType).simpleString())
-    carried = carried.withColumn("__map", F.coalesce("__map", nothing))
-
-    def found(read: Reader) -> Column:
-        has = F.map_contains_key(F.col("__map"), key(read))
-        if not rule.null_safe:
-            for _, c in rule.keys:
-                has = has & read(c).isNotNull()
-        return F.coalesce(has, F.lit(False))
+        carried = _by_sets(df.withColumn("__keys", wanted()), entries, map_kind)
+        at = lambda read: F.col("__map")
+
+    def hit(read: Reader) -> Column:
+        """The table's values for a key, null where it has none."""
+        value = F.try_element_at(at(read), key(read))
+        for _, c in () if rule.null_safe else rule.keys:
+            value = F.when(read(c).isNotNull(), value)
+        return value
 
     columns: dict[str, Column] = {}
     for i, (output, target) in enumerate(rule.targets.items()):
         def value(read: Reader, i: int = i, target: str = target) -> Column:
-            return F.when(found(read), F.try_element_at(F.col("__map"), key(read)).getField(f"t{i}")).otherwise(_default(rule, table, target, kinds[i]))
+            default = _default(rule, table, target, kinds[i])
+            if _has_default(table, target):
+                return F.when(hit(read).isNull(), default).otherwise(hit(read).getField(f"t{i}"))
+            return hit(read).getField(f"t{i}")
 
         root = output.split(".")[0]
         columns[root] = paths.write(schema, output, value, columns.get(root))
-    problems = paths.gather(schema, rule.output, lambda read: F.when(~found(read), _errors(rule, [read(c) for _, c in rule.keys])), errors.none())
+    problems = paths.gather(schema, rule.output, lambda read: F.when(hit(read).isNull(), _errors(rule, [read(c) for _, c in rule.keys])), errors.none())
     columns[errors.ERRORS] = errors.joined(F.col(errors.ERRORS), problems)
     return carried.withColumns(columns).drop("__map")
 
 
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
+def _own_entries(entries: DataFrame, kind: T.MapType) -> Callable[[Column], Column]:
+    """A function of an array of keys that gives a map of the table's entries for them. The table's size was checked before."""
+    sent = entries.sparkSession.sparkContext.broadcast(entries.toArrow())
+
+    def own(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = sent.value
+        place = {tuple(k.values()): i for i, k in enumerate(table["key"].to_pylist())}
+        known, found = table["key"].combine_chunks(), table["v"].combine_chunks()
+        for keys in batches:
+            hits = [[i for k in row or () if (i := place.get(tuple(k.values()))) is not None] for row in keys.to_pylist()]
+            at, ends = pa.array([i for row in hits for i in row], pa.int64()), list(accumulate(map(len, hits), initial=0))
+            yield pa.MapArray.from_arrays(pa.array(ends, pa.int32()), known.take(at), found.take(at))
+
+    return F.arrow_udf(own, kind)
+
+
+def _by_sets(keyed: DataFrame, entries: DataFrame, kind: T.MapType) -> DataFrame:
+    """Each distinct set of keys gets its own entries; rows without keys need none."""
+    some, none = keyed.where(F.size("__keys") > 0), keyed.where(F.size("__keys") <= 0)
+    pairs = some.select("__keys").distinct().select("__keys", F.explode("__keys").alias("__key")).join(entries, F.col("__key").eqNullSafe(F.col("key")))
+    maps = pairs.groupBy(F.col("__keys").alias("__set")).agg(F.map_from_entries(F.collect_list(F.struct("key", "v"))).alias("__map"))
+    joined = some.join(maps, F.col("__keys") == F.col("__set"), "left").drop("__set")
+    return joined.unionByName(none.withColumn("__map", F.lit(None).cast(kind))).drop("__keys")
+
+
 def _never_found(df: DataFrame, rule: Mapping, table: Table, kinds: list[T.DataType]) -> DataFrame:
     """A key in an array that isn't around the output has no single value: no row is found."""
     columns: dict[str, Column] = {}

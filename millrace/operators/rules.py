@@ -76,11 +76,25 @@ class Literal(Rule):
         return typed_literal(self.text)
 
 
+def double_text(text: str) -> bool:
+    """Whether the text is what a double prints as on the JVM: plain between 0.001 and 10,000,000, else as ``1.0E10``."""
+    if text in ("NaN", "Infinity", "-Infinity"):
+        return True
+    if not re.fullmatch(r"-?[0-9]+\.[0-9]+(E-?[0-9]+)?", text):
+        return False
+    value = float(text)
+    if value == 0 or 1e-3 <= abs(value) < 1e7:
+        return repr(value) == text
+    shortest = next(d for n in range(17) if float(d := f"{value:.{max(n, 1)}e}") == value or n == 16)
+    digits, _, power = shortest.partition("e")
+    return f"{digits}E{int(power)}" == text
+
+
 def typed_literal(text: str) -> Column:
     """The strictest of int, long, double, boolean that prints as the text, else a string."""
     if re.fullmatch(r"-?[0-9]{1,19}", text) and str(int(text)) == text and -(1 << 63) <= int(text) < 1 << 63:
         return F.lit(int(text)).cast("int" if -(1 << 31) <= int(text) < 1 << 31 else "long")
-    if re.fullmatch(r"-?[0-9]+\.[0-9]+", text) and repr(float(text)) == text:
+    if double_text(text):
         return F.lit(float(text))
     if text.lower() in ("true", "false"):
         return F.lit(text.lower() == "true")
@@ -231,7 +245,11 @@ class FillNulls(_OneInput):
             raise RuleError(f"rule {self.order}: nulls of type {kind.simpleString()} can't be filled")
 
     def value(self, spark: SparkSession, schema: T.StructType, read: Reader) -> Column:
-        return F.coalesce(read(self.input), F.lit(self.text).cast(inner(type_at(schema, self.input))))
+        kind = inner(type_at(schema, self.input))
+        filled = spark.createDataFrame([(self.text,)], "text string").select(F.trim("text").cast(kind)).first()[0]  # of a local row, so no job runs
+        if filled is None:
+            raise RuleError(f"rule {self.order}: '{self.text}' is not of the type {kind.simpleString()} of '{self.input}'")
+        return F.coalesce(read(self.input), F.lit(self.text) if isinstance(kind, T.StringType) else F.trim(F.lit(self.text)).cast(kind))
 
 
 @dataclass(frozen=True, kw_only=True)

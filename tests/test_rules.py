@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,10 +42,10 @@ def country(**more):
     return R.Mapping(**{"order": 1, "table": "country", "keys": (("code", "legs.conditions.country"),), "target": "name", "output": "legs.conditions.conformed"} | more)
 
 
-@pytest.mark.parametrize("map_rows", [256, 0])
-def test_mapping_in_nested_arrays(trades, tables, map_rows):
+@pytest.mark.parametrize("options", [Options(), Options(map_rows=0), Options(map_rows=0, broadcast_bytes=0)])
+def test_mapping_in_nested_arrays(trades, tables, options):
     currency = R.Mapping(order=2, table="currency", keys=(("code", "legs.conditions.currency"),), target="name", output="legs.conditions.money")
-    found = {r["id"]: r for r in rows(conform(trades, [currency, country()], tables, Options(map_rows=map_rows)))}
+    found = {r["id"]: r for r in rows(conform(trades, [currency, country()], tables, options))}
     values = [c for leg in found[2]["legs"] for c in leg["conditions"]]
     assert [(c["conformed"], c["money"]) for c in values] == [(None, "SEK"), ("South Africa", "Unknown")]
     assert [(e["errCode"], e["errCol"], e["rawValues"]) for e in found[2]["errCol"]] == [("E00001", "legs.conditions.conformed", ["SWE"]), ("E00001", "legs.conditions.money", ["Dummy"])]
@@ -64,6 +65,25 @@ def test_key_of_another_array_is_never_found(spark, tables):
     assert out["b"] == [{"n": 1, "name": None}] and len(out["errCol"]) == 1
 
 
+@pytest.mark.parametrize("options", [Options(), Options(map_rows=0), Options(map_rows=0, broadcast_bytes=0)])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_lookups_in_arrays_agree(spark, options, null_safe):
+    """Two keys, one of them outside the array, null keys, null and empty arrays, a target that is null."""
+    rnd = random.Random(3)
+    data = [(i, rnd.choice(["a", "b", None]), rnd.choice([None, [], [(rnd.choice([1, 2, 3, None]),) for _ in range(rnd.randint(1, 4))]])) for i in range(60)]
+    df = spark.createDataFrame(data, "id long, g string, l array<struct<k:int>>")
+    known = {("a", 1): "x", ("a", 2): None, ("b", 1): "y", (None, 3): "z", ("b", None): "w"}
+    table = Table(spark.createDataFrame([(*k, v) for k, v in known.items()], "tg string, tk int, v string"))
+    rule = R.Mapping(order=1, table="t", keys=(("tg", "g"), ("tk", "l.k")), target="v", output="l.v", null_safe=null_safe)
+    out = {r["id"]: r for r in rows(conform(df, [rule], {"t": table}, options))}
+    for i, g, l in data:
+        found = [(g, k) in known and (null_safe or None not in (g, k)) for (k,) in l or []]
+        assert out[i]["l"] == (None if l is None else [{"k": k, "v": known[g, k] if f else None} for (k,), f in zip(l, found, strict=True)])
+        assert sorted({(e["rawValues"][0], e["rawValues"][1]) for e in out[i]["errCol"]}, key=str) == sorted({(g, None if k is None else str(k)) for (k,), f in zip(l or [], found, strict=True) if not f}, key=str)
+    again = conform(df, [rule], {"t": table}, options)
+    assert len(table.chosen) == 1 and again.count() == 60
+
+
 def test_repeated_mapping_keys_are_refused(spark, trades):
     twice = spark.createDataFrame([("CZE", "a"), ("CZE", "b")], "code string, name string")
     with pytest.raises(R.RuleError, match="several rows"):
@@ -109,8 +129,24 @@ def test_casting_reports_null_results(spark):
 
 
 def test_literal_types(spark):
-    out = conform(spark.range(1), [R.Literal(order=i, output=f"c{i}", text=t) for i, t in enumerate(["12", "012", "3000000000", "1.5", "TRUE", "x"])])
-    assert [f.dataType.simpleString() for f in out.schema.fields[2:]] == ["int", "string", "bigint", "double", "boolean", "string"]
+    out = conform(spark.range(1), [R.Literal(order=i, output=f"c{i}", text=t) for i, t in enumerate(["12", "012", "3000000000", "1.5", "TRUE", "x", "1.0E10", "NaN", "-Infinity", "1.234E-5", "1E10", "1.50E10", "10000000.0", "0.001"])])
+    assert [f.dataType.simpleString() for f in out.schema.fields[2:]] == ["int", "string", "bigint", "double", "boolean", "string", "double", "double", "double", "double", "string", "string", "string", "double"]
+
+
+def test_doubles_as_the_jvm_prints_them(spark):
+    rnd = random.Random(1)
+    values = [rnd.random() * 10 ** rnd.randint(-12, 12) for _ in range(200)] + [1e7, 9999999.0, 1e-3, 0.00099, 123456789012.0, 5e-324, 1.7976931348623157e308]
+    for r in spark.createDataFrame([(v,) for v in values], "v double").selectExpr("cast(v as string) t").collect():
+        assert R.double_text(r.t), r.t
+
+
+def test_fill_nulls_needs_a_value_of_the_type(spark):
+    df = spark.createDataFrame([(1, None, None)], "a int, d date, s string").selectExpr("nullif(a, 1) a", "d", "s")
+    out = conform(df, [R.FillNulls(order=1, input="a", text=" 7", output="x"), R.FillNulls(order=2, input="d", text="2024-01-02", output="y"), R.FillNulls(order=3, input="s", text=" q", output="z")]).first()
+    assert (out.x, str(out.y), out.z) == (7, "2024-01-02", " q")
+    for column, value in (("a", "abc"), ("a", "1.5x"), ("d", "soon")):
+        with pytest.raises(R.RuleError, match="is not of the type"):
+            conform(df, [R.FillNulls(order=1, input=column, text=value, output="x")])
 
 
 def test_order_and_columns(spark):
