@@ -64,15 +64,19 @@ def with_nullability(df: DataFrame, nullable: bool | None) -> DataFrame:
     if nullable in (None, df.schema[ERRORS].nullable):
         return df
     kinds = [T.StructField(f.name, f.dataType, nullable, f.metadata) if f.name == ERRORS else f for f in df.schema.fields]
-    value = F.col(ERRORS) if nullable else F.coalesce(ERRORS, none())
+    value = F.when(F.col(ERRORS).isNotNull(), F.col(ERRORS)) if nullable else F.coalesce(ERRORS, none())
     return df.withColumn(ERRORS, value).to(T.StructType(kinds))
 
 
+def counted() -> dict[str, Column]:
+    """Aggregates: records, records with and without errors, and all errors."""
+    n = F.greatest(F.coalesce(F.size(F.col(ERRORS)), F.lit(0)), F.lit(0))
+    return {"records": F.count("*"), "failed": F.count_if(n > 0), "succeeded": F.count_if(n == 0), "errors": F.coalesce(F.sum(n), F.lit(0))}
+
+
 def statistics(df: DataFrame) -> DataFrame:
-    """One row: records, records with and without errors, and all errors."""
-    n = F.coalesce(F.size(F.col(ERRORS)), F.lit(0))
-    n = F.greatest(n, F.lit(0))
-    return df.agg(F.count("*").alias("records"), F.count_if(n > 0).alias("failed"), F.count_if(n == 0).alias("succeeded"), F.coalesce(F.sum(n), F.lit(0)).alias("errors"))
+    """One row of the counts."""
+    return df.agg(*(v.alias(k) for k, v in counted().items()))
 
 
 def exploded(df: DataFrame, *columns: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Versioned documents (datasets, schemas, mapping tables, properties) in an append-only table, and what is checked about them.
 
 Every change appends a row; the state of an entity is its latest row for each version. Nothing is rewritten, so
-readers need no locks and history is kept.
+readers need no locks and history is kept. Each change of an entity has a number, claimed by a file that only one writer can make: of two
+changes that were made against the same state, the second is a conflict.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import paths
 from millrace.operators import rules as R
+from millrace.sources import layout
 
 from . import runs
 
@@ -60,6 +63,9 @@ class Catalog:
         return row.v or 0, row.c or 0, bool(row.l), bool(row.d)
 
     def _append(self, rows: list[tuple]) -> None:
+        for kind, name, change in {(r[0], r[1], r[3]) for r in rows}:
+            if not layout.claim(self.spark, f"{self.path.rstrip('/')}/_changes/{kind}/{quote(name, safe='')}/{change}"):
+                raise Conflict(f"{kind} {name} was changed by another writer")
         self.spark.createDataFrame(rows, SCHEMA.replace(", at timestamp", "")).withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path)
 
     def create(self, kind: str, name: str, doc: Mapping[str, Any]) -> int:

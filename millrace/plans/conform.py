@@ -20,8 +20,8 @@ from millrace.operators.rules import Custom, Drop, Rule, RuleError
 from millrace.operators.rules import Mapping as MappingRule
 from millrace.session import lenient_casts
 
-#: Called before and after a rule that asks for a checkpoint, with its name and the frame.
-OnCheckpoint = Callable[[str, DataFrame], None]
+#: Called before and after a rule that asks for a checkpoint, with its name and the frame; may give another frame to go on with, as one that observes itself.
+OnCheckpoint = Callable[[str, DataFrame], DataFrame | None]
 
 
 @dataclass
@@ -78,7 +78,7 @@ def conform(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, lookups.T
             if separate or any(pending.touches(p) for p in [*rule.inputs, rule.output.rpartition(".")[0] or rule.output]):
                 df, pending = _flush(df, pending), _Pending()
             if rule.checkpoint and options.on_checkpoint:
-                options.on_checkpoint(f"{rule.order} {rule.kind} before", df)
+                df = _measured(options, f"{rule.order} {rule.kind} before", df)
             if isinstance(rule, MappingRule):
                 rule.check(df.schema)
                 if rule.table not in (tables or {}):
@@ -92,10 +92,15 @@ def conform(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, lookups.T
                 _add(df, rule, pending, options)
             if rule.checkpoint and options.on_checkpoint:
                 df, pending = _flush(df, pending), _Pending()
-                options.on_checkpoint(f"{rule.order} {rule.kind} after", df)
+                df = _measured(options, f"{rule.order} {rule.kind} after", df)
         return errors.with_nullability(_flush(df, pending), options.errors_nullable)
 
 
+def _measured(options: Options, name: str, df: DataFrame) -> DataFrame:
+    other = options.on_checkpoint(name, df)
+    return df if other is None else other
+
+
 def _add(df: DataFrame, rule: Rule, pending: _Pending, options: Options) -> None:
     schema = df.schema
     known = paths.type_at(schema, rule.output) is not None

@@ -12,19 +12,20 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import errors
 from millrace.operators import rules as R
 from millrace.operators.mapping import Table
-from millrace.session import prepare
+from millrace.session import prepare, settings
 from millrace.sources import layout, readers
 
 from . import conform as C
 from . import measures as M
 from . import standardize as S
+from .lifecycle import Run, RunLog, counts
 
 PostProcessor = Callable[[DataFrame, Mapping[str, Any]], DataFrame | None]
 
@@ -56,6 +57,9 @@ class Job:
     checkpoint_listeners: Sequence[Callable[[M.Measures], None]] = ()
     post_processors: Sequence[PostProcessor] = ()
     on_status: Callable[[str, str], None] | None = None
+    #: Folder of the run log, and how a conformed frame is kept while it is written and measured (a name of Spark's storage levels).
+    run_log: str | None = None
+    persist: str | None = None
 
 
 def _measures(spark: SparkSession, job: Job, folder: str) -> M.Measures:
@@ -67,82 +71,101 @@ def _measures(spark: SparkSession, job: Job, folder: str) -> M.Measures:
     return found
 
 
-def sized(df: DataFrame, partition_bytes: int | None) -> DataFrame:
-    """``df`` in files of about a size, which the optimizer deals out when it has seen the data."""
+def write_sized(df: DataFrame, path: str, partition_bytes: int | None) -> None:
+    """Write ``df`` where nothing is yet, in files of about a size, which the optimizer deals out when it has seen the data."""
     if partition_bytes is None:
-        return df
-    df.sparkSession.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
-    return df.hint("rebalance")
-
-
-def _finish(spark: SparkSession, job: Job, measures: M.Measures, name: str, path: str, started: float, source: DataFrame) -> DataFrame:
-    """Checkpoint, statistics and metadata of what was written; post-processors get it as it is read again."""
-    written = spark.read.parquet(path)
-    M.check_not_empty(written, measures)
-    measures.checkpoint(f"{name} - End", written)
-    stats = errors.statistics(written).first().asDict() if errors.ERRORS in written.columns else {}
-    measures.metadata |= {f"{name.lower()}_{k}": v for k, v in stats.items()} | {f"{name.lower()}_elapsed_seconds": round(time.time() - started, 1), f"{name.lower()}_columns": len(written.columns), "dataset": job.dataset, "dataset_version": job.version}
-    measures.write(spark, path)
-    for process in job.post_processors:
-        out = process(written, {"dataset": job.dataset, "version": job.version, "stage": name, "date": job.date})
-        written = out if isinstance(out, DataFrame) else written
-    return written
-
-
-def _said(job: Job, stage: str, status: str) -> None:
-    if job.on_status:
-        try:
-            job.on_status(stage, status)
-        except Exception as e:  # noqa: BLE001 a listener must not end the job
-            warnings.warn(f"a status listener failed: {e}", stacklevel=2)
-
-
-def standardize(spark: SparkSession, job: Job) -> DataFrame:
+        layout.write_new(df, path)
+        return
+    with settings(df.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes)}):
+        layout.write_new(df.hint("rebalance"), path)
+
+
+class _Stage:
+    """One stage of a job: tells listeners and the run log how it goes."""
+
+    def __init__(self, spark: SparkSession, job: Job, name: str, run: Run | None, last: str):
+        self.spark, self.job, self.name, self.run, self.last, self.started = spark, job, name, run, last, time.time()
+        self.log = RunLog(spark, job.run_log) if job.run_log else None
+
+    def __enter__(self) -> _Stage:
+        if self.log and self.run is None:
+            self.run = self.log.start(self.job.dataset, self.job.version, self.job.date, self.job.report_version)
+        self.tell("running")
+        return self
+
+    def tell(self, status: str) -> None:
+        if self.job.on_status:
+            try:
+                self.job.on_status(self.name, status)
+            except Exception as e:  # noqa: BLE001 a listener must not end the job
+                warnings.warn(f"a status listener failed: {e}", stacklevel=2)
+
+    def log_status(self, status: str, measures: M.Measures | None = None, report_version: int | None = None) -> None:
+        if self.log:
+            about = {**measures.metadata, **counts(measures.checkpoints), "checkpoints": measures.checkpoints} if measures else None
+            self.log.add(self.run, time.time_ns(), status, about, report_version)
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is not None:
+            self.log_status("failed")
+        self.tell("failed" if kind is not None else self.last)
+
+    def finish(self, measures: M.Measures, path: str, read_bytes: int, report_version: int | None = None) -> DataFrame:
+        """Checkpoint, statistics and metadata of what was written, in one pass over it; post-processors get it as it is read again."""
+        spark, job = self.spark, self.job
+        written = spark.read.parquet(path)
+        measures.settle()
+        M.check_not_empty(written, measures)
+        stats = measures.finish(f"{self.name} - End", written)
+        made = layout.size(spark, path)
+        about = {"elapsed_seconds": round(time.time() - self.started, 1), "columns": len(written.columns), "input_bytes": read_bytes, "output_bytes": made, "size_ratio": round(made / read_bytes, 4) if read_bytes else None, "executors": max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)}
+        measures.metadata |= {f"{self.name.lower()}_{k}": v for k, v in {**stats, **about}.items()} | {"dataset": job.dataset, "dataset_version": job.version, "records": stats["records"], "errors": stats["errors"]}
+        measures.write(spark, path)
+        for process in job.post_processors:
+            out = process(written, {"dataset": job.dataset, "version": job.version, "stage": self.name, "date": job.date, "run": self.run})
+            written = out if isinstance(out, DataFrame) else written
+        self.log_status(self.last, measures, report_version)
+        return written
+
+
+def standardize(spark: SparkSession, job: Job, run: Run | None = None) -> DataFrame:
     """Raw data to the standardized path."""
     prepare(spark)
-    _said(job, "Standardization", "running")
-    started = time.time()
-    try:
+    with _Stage(spark, job, "Standardization", run, "stageSucceeded") as stage:
         folder = layout.raw_path(job.raw_path, job.date, job.report_version or 1, job.prefix)
         measures = _measures(spark, job, folder)
         raw, corrupt = readers.read(spark, job.format, folder, job.schema, **job.format_options)
         raw = readers.spread(raw, layout.children(spark, folder))
         M.check_counts(measures, job.count_validation)
         out = S.standardize(raw, job.schema, S.Options(fail_fast=job.fail_fast, record_id=job.record_id, corrupt_column=corrupt))
-        layout.write_new(sized(out, job.partition_bytes), job.standardized_path)
-        written = _finish(spark, job, measures, "Standardization", job.standardized_path, started, raw)
-    except Exception:
-        _said(job, "Standardization", "failed")
-        raise
-    _said(job, "Standardization", "stageSucceeded")
-    return written
+        write_sized(out, job.standardized_path, job.partition_bytes)
+        return stage.finish(measures, job.standardized_path, layout.size(spark, folder))
 
 
-def conform(spark: SparkSession, job: Job) -> DataFrame:
-    """Standardized data to the published path."""
+def conform(spark: SparkSession, job: Job, run: Run | None = None) -> DataFrame:
+    """Standardized data to the published path, report date and version among its columns."""
     prepare(spark)
-    _said(job, "Conformance", "running")
-    started = time.time()
-    try:
+    with _Stage(spark, job, "Conformance", run, "allSucceeded") as stage:
         version = job.report_version or layout.next_version(spark, job.published_path, job.date, job.prefix)
         source, measures = spark.read.parquet(job.standardized_path), _measures(spark, job, job.standardized_path)
-        out = C.conform(source, job.rules, job.tables, C.Options(on_checkpoint=measures.checkpoint))
+        out = C.conform(source, job.rules, job.tables, C.Options(on_checkpoint=measures.observe))
         out = C.with_info(S.with_record_id(out, job.record_id), F.lit(job.date), F.lit(version))
         path = layout.publish_path(job.published_path, job.date, version, job.prefix)
-        layout.write_new(sized(out.drop("info_date", "info_version"), job.partition_bytes), path)
-        written = _finish(spark, job, measures, "Conformance", path, started, source)
+        kept = out.persist(getattr(StorageLevel, job.persist)) if job.persist else None
+        write_sized(out, path, job.partition_bytes)
+        if kept is not None:
+            kept.unpersist()
+        written = stage.finish(measures, path, layout.size(spark, job.standardized_path), version)
         if job.clean_standardized:
             layout.delete(spark, job.standardized_path)
-    except Exception:
-        _said(job, "Conformance", "failed")
-        raise
-    _said(job, "Conformance", "allSucceeded")
-    return written
+        return written
 
 
 def both(spark: SparkSession, job: Job) -> DataFrame:
-    standardize(spark, job)
-    return conform(spark, job)
+    """Both stages as one run."""
+    run = RunLog(spark, job.run_log).start(job.dataset, job.version, job.date, job.report_version) if job.run_log else None
+    standardize(spark, job, run)
+    return conform(spark, job, run)
 
 
 def plugins(conf: Mapping[str, str], key: str) -> list[Any]:
@@ -169,19 +192,23 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--partition-bytes", type=int)
     out.add_argument("--auto-clean", action="store_true")
     out.add_argument("--strict", action="store_true", help="fail where a shape doesn't fit")
+    out.add_argument("--run-log", help="folder of the run log")
+    out.add_argument("--persist", help="storage level of the conformed data while it is written, as MEMORY_AND_DISK")
     return out
 
 
 def from_arguments(spark: SparkSession, argv: Sequence[str]) -> tuple[str, Job]:
     args = parser().parse_args(argv)
     doc = json.loads("\n".join(r.value for r in spark.read.text(args.dataset_file).collect()))
-    tables = {t["name"]: Table(layout.mapping_table(spark, t["path"], args.report_date), {d["columnName"]: d["value"] for d in t.get("defaultMappingValue", [])}, R.filters.from_json(t.get("filter"))) for t in doc.get("mappingTables", [])}
+    reference = layout.MappingTables(spark, args.report_date)
+    tables = {t["name"]: Table(reference.get(t["path"]), {d["columnName"]: d["value"] for d in t.get("defaultMappingValue", [])}, R.filters.from_json(t.get("filter"))) for t in doc.get("mappingTables", [])}
     options = dict(o.split("=", 1) for o in args.option)
     return args.stage, Job(
         doc["name"], doc["version"], args.report_date, T.StructType.fromJson(doc["schema"]), doc["rawPath"], doc["standardizedPath"], doc["publishedPath"],
         args.report_version, [R.from_json(r) for r in doc.get("conformance", [])], tables, args.raw_format, options, args.folder_prefix, args.record_id,
         count_validation=args.count_validation, partition_bytes=args.partition_bytes, clean_standardized=args.auto_clean, fail_fast=args.strict,
         checkpoint_listeners=plugins(doc, "checkpointPlugin"), post_processors=plugins(doc, "postProcessor"),
+        run_log=args.run_log, persist=args.persist,
     )
 
 

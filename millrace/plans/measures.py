@@ -42,7 +42,7 @@ def measured(df: DataFrame, controls: Sequence[Control]) -> DataFrame:
 def observed(df: DataFrame, name: str, controls: Sequence[Control]) -> tuple[DataFrame, Observation]:
     """``df`` that measures its controls when it is written, without a pass of its own; distinct counts can't be taken so."""
     seen = Observation(name)
-    return df.observe(seen, *(c.expression().alias(c.name) for c in controls if c.kind != "distinctCount")), seen
+    return df.observe(seen, F.count("*").alias("__rows"), *(c.expression().alias(c.name) for c in controls if c.kind != "distinctCount")), seen
 
 
 @dataclass
@@ -53,11 +53,46 @@ class Measures:
     controls: tuple[Control, ...] = (Control("recordCount", "count"),)
     checkpoints: list[dict[str, Any]] = field(default_factory=list)
     listeners: list = field(default_factory=list)
+    #: Checkpoints that are measured when what they observe is written: name, controls, observation, values known before.
+    pending: list[tuple[str, list[Control], Observation, dict[str, Any]]] = field(default_factory=list)
+
+    def _there(self, df: DataFrame) -> list[Control]:
+        """Controls whose column a frame has."""
+        return [c for c in self.controls if c.column == "*" or c.column in df.columns]
 
     def checkpoint(self, name: str, df: DataFrame) -> dict[str, Any]:
-        """Measure a frame; controls whose column it doesn't have are left out. Failing listeners are only warned about."""
-        there = [c for c in self.controls if c.column == "*" or c.column in df.columns]
-        row = measured(df, there).first()
+        """Measure a frame in a pass of its own; controls whose column it doesn't have are left out."""
+        there = self._there(df)
+        return self._add(name, there, measured(df, there).first().asDict())
+
+    def finish(self, name: str, df: DataFrame) -> dict[str, int]:
+        """Checkpoint of written data and its error statistics, in one pass."""
+        there = self._there(df)
+        stats = errors.counted() if errors.ERRORS in df.columns else {"records": F.count("*")}
+        row = df.agg(*(c.expression().alias(f"c{i}") for i, c in enumerate(there)), *(v.alias(k) for k, v in stats.items())).first()
+        self._add(name, there, {c.name: row[f"c{i}"] for i, c in enumerate(there)})
+        return {"records": 0, "failed": 0, "succeeded": 0, "errors": 0} | {k: row[k] for k in stats}
+
+    def observe(self, name: str, df: DataFrame) -> DataFrame:
+        """The frame with a checkpoint that measures itself in the pass that writes it; ``settle`` adds it then.
+
+        Distinct counts can't be observed: only where there are such controls, these take a pass of their own.
+        """
+        there = self._there(df)
+        apart = [c for c in there if c.kind == "distinctCount"]
+        known = measured(df, apart).first().asDict() if apart else {}
+        out, seen = observed(df, f"{len(self.checkpoints) + len(self.pending)} {name}", there)
+        self.pending.append((name, there, seen, known))
+        return out
+
+    def settle(self) -> None:
+        """Add the observed checkpoints, in order, after the write."""
+        for name, there, seen, known in self.pending:
+            self._add(name, there, {**seen.get, **known})
+        self.pending = []
+
+    def _add(self, name: str, there: list[Control], row: dict[str, Any]) -> dict[str, Any]:
+        """Failing listeners are only warned about."""
         point = {"name": name, "order": len(self.checkpoints) + 1, "controls": [{"controlName": c.name, "controlType": c.kind, "controlCol": c.column, "controlValue": _text(row[c.name])} for c in there]}
         self.checkpoints.append(point)
         for listener in self.listeners:
@@ -129,7 +164,7 @@ def check_counts(measures: Measures, how: str = "strict", first: str = "Source",
 
 def check_not_empty(df: DataFrame, measures: Measures) -> None:
     """No output is an error, unless every count so far is 0."""
-    counts = [int(c["controlValue"]) for p in measures.checkpoints for c in p["controls"] if c["controlType"] == "count"]
+    counts = [int(c["controlValue"]) for p in measures.checkpoints for c in p["controls"] if c["controlType"].lower().removeprefix("controltype.") == "count"]
     if df.isEmpty() and (not counts or any(counts)):
         raise ValueError("there are no output records")
 
@@ -137,7 +172,3 @@ def check_not_empty(df: DataFrame, measures: Measures) -> None:
 def unequal(checkpoints: DataFrame) -> DataFrame:
     """Of rows (run, checkpoint, control, value): runs and controls whose values differ between checkpoints."""
     return checkpoints.groupBy("run", "control").agg(F.min("value").alias("least"), F.max("value").alias("most")).where("least <> most").select("run", "control")
-
-
-def error_statistics(df: DataFrame) -> DataFrame:
-    return errors.statistics(df)

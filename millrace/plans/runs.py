@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STATUSES = ("running", "stageSucceeded", "allSucceeded", "failed")
@@ -32,16 +32,18 @@ def latest_runs(runs: DataFrame) -> DataFrame:
     return latest(runs, ["dataset"], ["version", "run_id"])
 
 
-def latest_of_each(runs: DataFrame, dataset: str | None = None, start_date: Column | None = None, unique_id: str | None = None, offset: int = 0, limit: int = 20) -> DataFrame:
-    """The latest run of each dataset and version, by name and version; at most one of the filters may be given."""
-    if sum(x is not None for x in (dataset, start_date, unique_id)) > 1:
-        raise ValueError("give one of dataset, start_date and unique_id")
-    if dataset is not None:
-        runs = runs.where(F.col("dataset") == dataset)
+def latest_of_each(runs: DataFrame, dataset: str | None = None, version: int | None = None, start_date: Column | None = None, app_id: str | None = None, unique_id: str | None = None, offset: int = 0, limit: int = 20) -> DataFrame:
+    """The latest run of each dataset and version, by name and version.
+
+    Dataset and version may be given with any other filter; of start date, application and unique id at most one.
+    """
+    if sum(x is not None for x in (start_date, app_id, unique_id)) > 1:
+        raise ValueError("give one of start_date, app_id and unique_id")
+    for column, value in (("dataset", dataset), ("version", version), ("app_id", app_id), ("unique_id", unique_id)):
+        if value is not None:
+            runs = runs.where(F.col(column) == value)
     if start_date is not None:
         runs = runs.where(F.to_date(started_at()) >= start_date)
-    if unique_id is not None:
-        runs = runs.where(F.col("unique_id") == unique_id)
     return page(latest(runs, ["dataset", "version"], ["run_id"]), ["dataset", "version"], offset, limit)
 
 
@@ -130,8 +132,3 @@ def property_statistics(datasets: DataFrame, definitions: DataFrame) -> DataFram
 def landing_totals(statistics: DataFrame) -> DataFrame:
     """Sums of missing mandatory and recommended properties."""
     return statistics.agg(*(F.coalesce(F.sum(F.when(F.col("essentiality") == e, F.col("missing"))), F.lit(0)).alias(f"missing_{e.lower()}") for e in ("Mandatory", "Recommended")))
-
-
-def ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each group."""
-    return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("__rank") <= n).drop("__rank")

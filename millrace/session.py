@@ -21,14 +21,26 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def lenient_casts(spark: SparkSession) -> Iterator[None]:
-    """Casts built inside give null instead of failing; what was set before is set again, plans keep what they were built with."""
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Settings that hold inside; what was set before is set again."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+@contextmanager
+def lenient_casts(spark: SparkSession) -> Iterator[None]:
+    """Casts built inside give null instead of failing; plans keep what they were built with."""
+    with settings(spark, {"spark.sql.ansi.enabled": "false"}):
+        yield
 
 
 def shared_path(spark: SparkSession, what: str) -> str:

@@ -26,6 +26,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if there is one, so of several writers only one gets True."""
+    files, at = _hadoop(spark, path)
+    return files.createNewFile(at)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path; 0 if there is nothing."""
+    files, at = _hadoop(spark, path)
+    return files.getContentSummary(at).getLength() if files.exists(at) else 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the visible files and folders in a folder; none if there is no such folder."""
     files, at = _hadoop(spark, path)
@@ -56,3 +68,15 @@ def mapping_table(spark: SparkSession, base: str, date: dt.date, pattern: str =
     if not any(n.endswith(".parquet") for n in children(spark, path)):
         raise FileNotFoundError(f"there is no Parquet data for the mapping table in {path}")
     return spark.read.parquet(path)
+
+
+class MappingTables:
+    """Reference data of one report date, each path read and listed once however many rules use it."""
+
+    def __init__(self, spark: SparkSession, date: dt.date):
+        self.spark, self.date, self.known = spark, date, {}
+
+    def get(self, base: str, pattern: str = "reportDate={0:%Y-%m-%d}") -> DataFrame:
+        if (base, pattern) not in self.known:
+            self.known[base, pattern] = mapping_table(self.spark, base, self.date, pattern)
+        return self.known[base, pattern]

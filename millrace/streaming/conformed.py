@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamReader
 
 from millrace.functions import paths
 from millrace.operators.mapping import Table
@@ -80,7 +79,3 @@ def conformed(stream: DataFrame, rules: Sequence[Rule], tables: Mapping[str, Tab
         text = F.coalesce(F.date_format(date, "yyyy-MM-dd"), F.lit(""))
         p = settings.prefix
         return out.withColumns({f"{p}_date": F.coalesce(date, F.current_date()), f"{p}_date_string": text, f"{p}_version": version})
-
-
-def read_parquet_stream(reader: DataStreamReader, schema: T.StructType, path: str) -> DataFrame:
-    return reader.schema(schema).parquet(path)
