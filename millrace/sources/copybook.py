@@ -1,4 +1,8 @@
-"""Mainframe records described by a copybook: fields of fixed width in ASCII or EBCDIC."""
+"""Mainframe records described by a copybook: fields of fixed width in ASCII or EBCDIC.
+
+Records of fixed length and lines are read by many tasks. A file with length words has to be read from its start, so each such file is
+one task's, and none may be larger than 2 GB.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 TRIMMING = ("none", "left", "right", "both")
-CLAUSE = re.compile(r"^(\d{2})\s+([A-Za-z0-9-]+)(?:\s+PIC\s+(\S+))?(?:\s+(?:USAGE\s+)?(COMP-3|COMP))?\s*$", re.IGNORECASE)
 _EBCDIC = "cp037"
 
 
@@ -25,37 +28,116 @@ class Item:
     scale: int
     digits: int
     packing: str
+    #: Times that the item follows itself, None if it isn't an array.
+    occurs: int | None = None
+    #: Where a sign of its own stands: "leading", "trailing" or nowhere.
+    sign: str = ""
 
     @property
-    def type(self) -> T.DataType:
+    def element(self) -> T.DataType:
         if not self.numeric:
             return T.StringType()
         if self.scale:
             return T.DecimalType(self.digits, self.scale)
         return T.IntegerType() if self.digits <= 9 else T.LongType() if self.digits <= 18 else T.DecimalType(self.digits, 0)
 
+    @property
+    def type(self) -> T.DataType:
+        return T.ArrayType(self.element) if self.occurs else self.element
+
+
+@dataclass
+class _Clause:
+    """One entry of a copybook by its words."""
+
+    level: int
+    name: str
+    picture: str = ""
+    packing: str = ""
+    redefines: str = ""
+    occurs: int | None = None
+    sign: str = ""
+
+
+def _clause(text: str) -> _Clause:
+    words = text.upper().split()
+    if len(words) < 2 or not re.fullmatch(r"\d{2}", words[0]) or not re.fullmatch(r"[A-Z0-9-]+", words[1]):
+        raise ValueError(f"can't read the copybook at {text!r}")
+    out, at = _Clause(int(words[0]), text.split()[1]), 2
+
+    def after(*optional: str) -> str:
+        nonlocal at
+        at += 1
+        while at < len(words) and words[at] in optional:
+            at += 1
+        if at >= len(words):
+            raise ValueError(f"can't read the copybook at {text!r}")
+        return words[at]
+
+    while at < len(words):
+        word = words[at]
+        if word in ("PIC", "PICTURE"):
+            out.picture = after("IS")
+        elif word == "REDEFINES":
+            out.redefines = after()
+        elif word == "OCCURS":
+            out.occurs = int(after())
+        elif word == "SIGN":
+            out.sign = after("IS").lower()
+        elif word == "SEPARATE" and out.sign:
+            out.sign += "!"
+        elif word in ("COMP", "COMP-3", "COMPUTATIONAL", "COMPUTATIONAL-3", "PACKED-DECIMAL", "BINARY"):
+            out.packing = "COMP-3" if word.endswith("-3") or word == "PACKED-DECIMAL" else "COMP"
+        elif word not in ("USAGE", "IS", "DISPLAY", "TIMES", "CHARACTER"):
+            raise ValueError(f"can't read the copybook at {text!r}")
+        at += 1
+    out.sign = out.sign.removesuffix("!") if out.sign.endswith("!") else ""  # a sign within a digit takes no place
+    return out
+
 
 def parse(text: str) -> list[Item]:
-    """Elementary items with PIC X or 9 in DISPLAY, COMP or COMP-3; groups only hold them together."""
-    items, at = [], 0
+    """Elementary items with PIC X or 9 in DISPLAY, COMP or COMP-3; groups only hold them together.
+
+    REDEFINES gives an item or group the place of an earlier one, OCCURS makes an elementary item an array, SIGN ... SEPARATE gives the sign a place of its own.
+    """
     clean = " ".join(line[6:72] if re.match(r"^.{6}[ *]", line) and len(line) > 7 else line for line in text.splitlines() if not line[6:7] == "*")
-    for clause in (c.strip() for c in re.split(r"\.(?:\s|$)", clean) if c.strip()):
-        m = CLAUSE.match(re.sub(r"\s+", " ", clause))
-        if not m:
-            raise ValueError(f"can't read the copybook at {clause!r}")
-        if not m[3]:
+    items, at, end = [], 0, 0
+    places: dict[str, int] = {}
+    within: list[tuple[int, int | None]] = []  # levels of open groups, and where to go on after a group that redefines
+    for clause in map(_clause, (c.strip() for c in re.split(r"\.(?:\s|$)", clean) if c.strip())):
+        while within and within[-1][0] >= clause.level:
+            _, back = within.pop()
+            if back is not None:
+                at = max(at, back)
+        if clause.redefines:
+            if clause.redefines not in places:
+                raise ValueError(f"{clause.name} redefines {clause.redefines}, which isn't there")
+            back, at = at, places[clause.redefines]
+        else:
+            back = None
+        places[clause.name.upper()] = at
+        if not clause.picture:
+            if clause.occurs:
+                raise ValueError(f"{clause.name}: repeated groups are not supported")
+            within.append((clause.level, back))
             continue
-        picture = re.sub(r"(.)\((\d+)\)", lambda r: r[1] * int(r[2]), m[3].upper())
+        picture = re.sub(r"(.)\((\d+)\)", lambda r: r[1] * int(r[2]), clause.picture)
         numeric = "9" in picture and "X" not in picture and "A" not in picture
         whole, _, part = picture.replace("S", "").partition("V")
         digits = whole.count("9") + part.count("9") if numeric else 0
-        packing = (m[4] or "").upper()
-        width = digits // 2 + 1 if packing == "COMP-3" else (2 if digits <= 4 else 4 if digits <= 9 else 8) if packing == "COMP" else len(whole) + len(part)
-        items.append(Item(m[2].replace("-", "_"), at, width, numeric, part.count("9") if numeric else 0, digits, packing))
-        at += width
+        width = digits // 2 + 1 if clause.packing == "COMP-3" else (2 if digits <= 4 else 4 if digits <= 9 else 8) if clause.packing == "COMP" else len(whole) + len(part) + bool(clause.sign)
+        items.append(Item(clause.name.replace("-", "_"), at, width, numeric, part.count("9") if numeric else 0, digits, clause.packing, clause.occurs, clause.sign))
+        at += width * (clause.occurs or 1)
+        if back is not None:
+            at = max(at, back)
+        end = max(end, at)
     return items
 
 
+def length_of(items: list[Item]) -> int:
+    return max((i.start + i.width * (i.occurs or 1) for i in items), default=0)
+
+
 def _number(item: Item, raw: bytes, encoding: str) -> Decimal | None:
     if item.packing == "COMP-3":
         nibbles = raw.hex()
@@ -66,6 +148,8 @@ def _number(item: Item, raw: bytes, encoding: str) -> Decimal | None:
         value = Decimal(int.from_bytes(raw, "big", signed=True))
     else:
         text = raw.decode(encoding, "replace").strip()
+        if item.sign == "trailing":
+            text = text[-1:] + text[:-1]
         if not re.fullmatch(r"[+-]?[0-9]+", text):
             return None
         value = Decimal(text)
@@ -75,14 +159,16 @@ def _number(item: Item, raw: bytes, encoding: str) -> Decimal | None:
 def _decoded(items: list[Item], records: list[bytes], encoding: str, trimming: str) -> list[list]:
     strip = {"none": str, "left": str.lstrip, "right": str.rstrip, "both": str.strip}[trimming]
     columns: list[list] = [[] for _ in items]
+    def value(item: Item, raw: bytes):
+        if not item.numeric:
+            return strip(raw.decode(encoding, "replace")) if raw else None
+        number = _number(item, raw, encoding) if len(raw) == item.width else None
+        return number if number is None or isinstance(item.element, T.DecimalType) else int(number)
+
     for record in records:
         for item, column in zip(items, columns, strict=True):
-            raw = record[item.start : item.start + item.width]
-            if not item.numeric:
-                column.append(strip(raw.decode(encoding, "replace")) if raw else None)
-                continue
-            value = _number(item, raw, encoding) if len(raw) == item.width else None
-            column.append(value if value is None or isinstance(item.type, T.DecimalType) else int(value))
+            each = [value(item, record[at : at + item.width]) for at in range(item.start, item.start + item.width * (item.occurs or 1), item.width)]
+            column.append(each if item.occurs else each[0])
     return columns
 
 
@@ -98,7 +184,7 @@ def read(spark: SparkSession, path: str, copybook: str, encoding: str = "ebcdic"
     except LookupError:
         raise ValueError(f"unknown charset {charset}") from None
     items = parse(copybook)
-    length = sum(i.width for i in items)
+    length = length_of(items)
     schema = T.StructType([T.StructField(i.name, i.type, True) for i in items])
     if is_text:
         raw = spark.read.text(path).selectExpr("encode(value, 'ISO-8859-1') AS record") if codec == "latin-1" else spark.read.text(path).selectExpr("encode(value, 'UTF-8') AS record")

@@ -131,6 +131,29 @@ def test_copybook(spark, tmp_path):
             copybook.read(spark, str(tmp_path / "r.bin"), BOOK, **wrong)
 
 
+def test_copybook_clauses(spark, tmp_path):
+    book = """
+       01 R.
+          05 KEY PIC 9(2).
+          05 G.
+             10 A PIC X(2).
+             10 B PIC X(2).
+          05 H REDEFINES G PIC X(4).
+          05 L PIC S9(2) SIGN LEADING SEPARATE CHARACTER.
+          05 T PIC S9(2) SIGN IS TRAILING SEPARATE.
+          05 C PIC 9(1) OCCURS 3 TIMES.
+    """
+    (tmp_path / "r.txt").write_text("07abcd-12+3345x6\n08\n")
+    out = rows(copybook.read(spark, str(tmp_path / "r.txt"), book, encoding="ascii", is_text=True))
+    assert out[0] == {"KEY": 7, "A": "ab", "B": "cd", "H": "abcd", "L": -12, "T": None, "C": [4, 5, None]}
+    assert out[1]["KEY"] == 8 and out[1]["C"] == [None] * 3
+    (tmp_path / "s.txt").write_text("07abcd+1233-4567\n")
+    assert rows(copybook.read(spark, str(tmp_path / "s.txt"), book, encoding="ascii", is_text=True))[0] == {"KEY": 7, "A": "ab", "B": "cd", "H": "abcd", "L": 12, "T": -33, "C": [4, 5, 6]}
+    for wrong in ("05 A PIC X(1). 05 B REDEFINES Z PIC X.", "05 A OCCURS 2 TIMES. 10 B PIC X.", "05 A VALUE 3.", "A PIC X."):
+        with pytest.raises(ValueError):
+            copybook.parse(wrong)
+
+
 def test_paths_and_versions(spark, tmp_path):
     day = dt.date(2024, 3, 5)
     assert layout.raw_path("/d/x/", day, 2, "p") == "/d/x/p/2024/03/05/v2"
