@@ -129,8 +129,14 @@ def map_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_MAPPED_LINES)
 def map_array_large_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a table that is too large to send along as one map."""
-    return _mapped_lines(spark, sf_dir, Options(map_rows=1))
+    """The same with a table that is too large to travel with every row: each row gets the entries of its own keys."""
+    return _mapped_lines(spark, sf_dir, Options(map_rows=0))
+
+
+@query(_MAPPED_LINES)
+def map_array_beyond_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a table that is too large to broadcast: sets of keys are joined to it."""
+    return _mapped_lines(spark, sf_dir, Options(map_rows=0, broadcast_bytes=0))
 
 
 @query("""

@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import registry
-from millrace.functions import arrays
+from millrace import registry, registry_io  # noqa: F401 registers further queries
+from millrace.functions import arrays, text
 from millrace.functions.paths import PathError
 from millrace.operators import rules as R
-from millrace.plans import catalog, job, measures, runs
+from millrace.plans import catalog, job, lifecycle, measures, runs
 from millrace.streaming.conformed import Settings, check_settings, conformed
 
 from .conftest import SMALL, rows
@@ -78,7 +78,7 @@ def test_paging_and_filters(spark):
     with pytest.raises(ValueError):
         runs.page(spark.range(3), ["id"], -1)
     with pytest.raises(ValueError):
-        runs.latest_of_each(spark.range(1), dataset="a", unique_id="u")
+        runs.latest_of_each(spark.range(1), dataset="a", unique_id="u", app_id="x")
     names = spark.createDataFrame([("a.B",), ("aXb",)], "name string")
     assert [r.name for r in runs.search(names, "name", "A.b").collect()] == ["a.B"]
 
@@ -141,10 +141,63 @@ def test_jobs(spark, tmp_path):
     assert said == [("Standardization", "running"), ("Standardization", "stageSucceeded"), ("Conformance", "running"), ("Conformance", "allSucceeded")]
     assert sent == [("Standardization", 2), ("Conformance", 2)]
     info = measures.Measures.read(spark, f"{tmp_path}/out/info_date=2024-01-02/info_version=1")
+    assert {"info_date", "info_version"} <= set(spark.read.parquet(f"{tmp_path}/out/info_date=2024-01-02/info_version=1").columns) and [c["controls"][0]["controlValue"] for c in info.checkpoints] == ["2"] * 4
     assert [c["name"] for c in info.checkpoints] == ["Standardization - End", "1 UppercaseConformanceRule before", "1 UppercaseConformanceRule after", "Conformance - End"] and info.metadata["conformance_failed"] == 1
     assert job.plugins({"p.1": "math:sqrt", "p.3": "math:pi"}, "p")[0](9) == 3
 
 
+def test_observed_checkpoints_need_no_pass_of_their_own(spark, tmp_path):
+    m = measures.Measures(controls=(measures.Control("n", "count"), measures.Control("sum", "aggregatedTotal", "id")))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = m.observe("b", m.observe("a", spark.range(5)).where("id > 0"))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before and m.checkpoints == []
+    df.write.parquet(f"{tmp_path}/o")
+    m.settle()
+    assert [(c["name"], [x["controlValue"] for x in c["controls"]]) for c in m.checkpoints] == [("a", ["5", "10"]), ("b", ["4", "10"])]
+
+
+def test_run_numbers_and_catalog_changes_are_claimed(spark, tmp_path, monkeypatch):
+    log = lifecycle.RunLog(spark, str(tmp_path / "log"))
+    first, second = (log.start("d", 1, dt.date(2024, 1, 2)) for _ in range(2))
+    assert (first.run_id, second.run_id) == (1, 2) and first.unique_id != second.unique_id
+    log.add(second, 5, "allSucceeded", {"records": 3})
+    assert [(r.run_id, r.status, r.records) for r in log.runs().orderBy("run_id").collect()] == [(1, "running", None), (2, "allSucceeded", 3)]
+    one, other = (catalog.Catalog(spark, str(tmp_path / "c")) for _ in range(2))
+    one.create("schema", "a/b", {})
+    state = other._state("schema", "a/b")
+    monkeypatch.setattr(other, "_state", lambda *_: state)
+    one.update("schema", "a/b", 1, {"x": 1})
+    with pytest.raises(catalog.Conflict, match="another writer"):
+        other.update("schema", "a/b", 1, {"x": 2})
+    assert one.get("schema", "a/b") == {"x": 1, "name": "a/b", "version": 2}
+
+
+def test_settings_of_the_session_are_set_again(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    job.write_sized(spark.range(10), f"{tmp_path}/x", 1 << 20)
+    assert spark.conf.get(key) == before and spark.read.parquet(f"{tmp_path}/x").count() == 10
+
+
+@pytest.mark.parametrize("value", ["", ",", "a", "a,b", 'a,"b,c",d', '"a', 'a,b"c,d', '"x"y,"', ",,a,,", 'é"é,"ü', "a,b,,"])
+def test_lists_with_quotes(spark, value):
+    def even(x: str) -> bool:
+        return x.count('"') % 2 == 0
+
+    parts, last = [], 0
+    for i, c in enumerate(value):
+        if c == "," and even(value[i:]):
+            parts.append(value[last:i])
+            last = i + 1
+    parts.append(value[last:])
+    df = spark.createDataFrame([(value,)], "v string").select(text.split_quoted(F.col("v")).alias("p"), text.split_quoted(F.col("v"), keep_empty_end=True).alias("all"), text.trim_ends(F.col("v"), '"').alias("t"))
+    row = df.first()
+    assert row["all"] == ([] if value == "" else parts)
+    while parts and parts[-1] == "":
+        parts.pop()
+    assert row["p"] == parts and row["t"] == (value[1:-1] if len(value) > 1 and value[0] == value[-1] == '"' else value)
+
+
 def test_arguments():
     args = job.parser().parse_args(["both", "--dataset-file", "f", "--report-date", "2024-01-02", "--raw-format", "csv", "--option", "delimiter=;"])
     assert args.report_date == dt.date(2024, 1, 2) and args.option == ["delimiter=;"]
