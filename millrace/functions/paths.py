@@ -103,6 +103,43 @@ def _written(column: Column, kind: T.DataType, done: list[str], rest: list[str],
     return column.withField(f"`{name}`", _written(column.getField(known.name), known.dataType, [*done, known.name], deeper, value, bound))
 
 
+def write_all(schema: T.StructType, root: str, values: Mapping[str, Column]) -> Column:
+    """The root column with values written at several paths of structs below it (given without the root), each struct changed once."""
+    known = field(schema, root)
+    return _all(F.col(f"`{known.name}`"), known.dataType, {tuple(p.split(".")): v for p, v in values.items()})
+
+
+def _all(column: Column | None, kind: T.DataType | None, values: Mapping[tuple[str, ...], Column]) -> Column:
+    """``column`` is None for a struct that isn't there yet."""
+    fields: dict[str, Column] = {}
+    for name in dict.fromkeys(p[0].lower() for p in values):
+        below = {p: v for p, v in values.items() if p[0].lower() == name}
+        known = field(kind, name) if kind is not None else None
+        said = known.name if known else next(iter(below))[0]
+        own = [v for p, v in below.items() if len(p) == 1]
+        deeper = {p[1:]: v for p, v in below.items() if len(p) > 1}
+        fields[said] = own[-1] if own else _all(column.getField(known.name) if known else None, known.dataType if known else None, deeper)
+    if column is None:
+        return F.struct(*(v.alias(n) for n, v in fields.items()))
+    for name, value in fields.items():
+        column = column.withField(f"`{name}`", value)
+    return column
+
+
+def with_field(schema: T.StructType, path: str, kind: T.DataType, nullable: bool) -> T.StructType:
+    """The schema with a field at a path of structs, in the place of one that is there; missing structs are made."""
+    name, _, rest = path.partition(".")
+    known = field(schema, name)
+    if rest:
+        inside = known.dataType if known is not None else T.StructType([])
+        new = T.StructField(known.name if known else name, with_field(inside, rest, kind, nullable), known.nullable if known else False)
+    else:
+        new = T.StructField(known.name if known else name, kind, nullable)
+    if known is None:
+        return T.StructType([*schema.fields, new])
+    return T.StructType([new if f is known else f for f in schema.fields])
+
+
 def gather(schema: T.StructType, path: str, each: Callable[[Reader], Column], empty: Column) -> Column:
     """One array of what ``each`` gives at every place that ``path`` is written; nothing below null structs and arrays.
 

@@ -1,14 +1,16 @@
 """Applying an ordered list of rules to a DataFrame.
 
 Rules that don't read each other's outputs are fused into one projection, so the plan grows by one node for each dependency and
-not for each rule, and no struct is rebuilt twice. Mapping rules add a join or a lookup of their own.
+not for each rule. What is written into structs stays in a column of its own, from which later rules read it, and goes to its place when all
+are done: a struct that each rule built again from itself would make the optimizer's work double with every rule. Mapping rules add a
+join or a lookup of their own.
 """
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,18 +36,95 @@ class Options:
     on_checkpoint: OnCheckpoint | None = None
 
 
-@dataclass
-class _Pending:
-    """Writes that are to go into one projection."""
+class _Steps:
+    """A frame with the writes that are to go into its next projection, and the fields of structs that are columns of their own for now."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.columns: dict[str, Column] = {}
+        self.problems: list[Column] = []
+        self.written: list[str] = []
+        #: Path to the column that holds its value; how many there have been.
+        self.apart: dict[str, str] = {}
+        self.count = 0
 
-    columns: dict[str, Column] = field(default_factory=dict)
-    problems: list[Column] = field(default_factory=list)
-    written: list[str] = field(default_factory=list)
+    @property
+    def schema(self) -> T.StructType:
+        """As the frame will be when all fields are in their places."""
+        kinds = T.StructType([f for f in self.df.schema.fields if f.name not in self.apart.values()])
+        for path, column in self.apart.items():
+            if column in self.df.columns:
+                kinds = paths.with_field(kinds, path, self.df.schema[column].dataType, self.df.schema[column].nullable)
+        return kinds
 
     def touches(self, path: str) -> bool:
         low = path.lower()
         return any(low == w or low.startswith(f"{w}.") or w.startswith(f"{low}.") for w in self.written)
 
+    def own(self, read: paths.Reader) -> paths.Reader:
+        """A reader that also finds the fields that are apart."""
+        known = {path.lower(): column for path, column in self.apart.items()}
+
+        def find(path: str) -> Column:
+            column = known.get(path.lower())
+            return read(path) if column is None else F.col(column)
+
+        return find
+
+    def within_structs(self, path: str) -> bool:
+        """Whether a path is below a column that is there, through structs only."""
+        parts, kind = path.split("."), self.schema
+        if len(parts) < 2 or paths.field(self.df.schema, parts[0]) is None:
+            return False
+        for part in parts[:-1]:
+            found = paths.field(kind, part)
+            if found is None:
+                return True
+            kind = found.dataType
+            if not isinstance(kind, T.StructType):
+                return False
+        return True
+
+    def parent(self, path: str) -> Column | None:
+        """Whether the struct that a path is written to isn't null; None if it never is."""
+        parts, kind, column, sure = path.split(".")[:-1], self.df.schema, None, True
+        for part in parts:
+            found = paths.field(kind, part)
+            if found is None:
+                break
+            column = F.col(f"`{found.name}`") if column is None else column.getField(found.name)
+            kind, sure = found.dataType, sure and not found.nullable
+        return None if sure else column.isNotNull()
+
+    def put(self, path: str, value: Column) -> None:
+        """A field of a struct as a column of its own."""
+        there = self.parent(path)
+        self.count += 1
+        known = next((p for p in self.apart if p.lower() == path.lower()), path)
+        self.apart[known] = f"__field{self.count}"
+        self.columns[self.apart[known]] = value if there is None else F.when(there, value)
+
+    def flush(self) -> None:
+        """The next projection."""
+        if self.columns:
+            columns = dict(self.columns)
+            if self.problems:
+                columns[errors.ERRORS] = errors.joined(F.col(errors.ERRORS), *self.problems)
+            self.df = self.df.withColumns(columns)
+        self.columns, self.problems, self.written = {}, [], []
+
+    def settle(self) -> DataFrame:
+        """The frame with all fields in their places."""
+        self.flush()
+        if self.apart:
+            by_root: dict[str, dict[str, Column]] = {}
+            for path, column in self.apart.items():
+                root, _, rest = path.partition(".")
+                by_root.setdefault(paths.field(self.df.schema, root).name, {})[rest] = F.col(column)
+            self.df = self.df.withColumns({root: paths.write_all(self.df.schema, root, values) for root, values in by_root.items()}).drop(*(f.name for f in self.df.schema.fields if f.name.startswith("__field")))
+            self.apart = {}
+        return self.df
+
 
 def ordered(rules: Sequence[Rule]) -> list[Rule]:
     """By order; rules of the same order as they are listed."""
@@ -71,29 +150,27 @@ def conform(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, lookups.T
     spark, steps = df.sparkSession, ordered(rules)
     check_originals(df.schema, steps, options.allow_original_changes)
     with lenient_casts(spark):
-        df = errors.with_errors(df, options.errors_nullable)
-        pending = _Pending()
+        state = _Steps(errors.with_errors(df, options.errors_nullable))
         for rule in steps:
-            separate = isinstance(rule, MappingRule | Drop | Custom) or rule.checkpoint and options.on_checkpoint is not None
-            if separate or any(pending.touches(p) for p in [*rule.inputs, rule.output.rpartition(".")[0] or rule.output]):
-                df, pending = _flush(df, pending), _Pending()
-            if rule.checkpoint and options.on_checkpoint:
-                df = _measured(options, f"{rule.order} {rule.kind} before", df)
+            watched = rule.checkpoint and options.on_checkpoint is not None
+            if isinstance(rule, MappingRule | Drop | Custom) or watched:
+                state.settle()
+            if watched:
+                state.df = _measured(options, f"{rule.order} {rule.kind} before", state.df)
             if isinstance(rule, MappingRule):
-                rule.check(df.schema)
+                rule.check(state.df.schema)
                 if rule.table not in (tables or {}):
                     raise RuleError(f"rule {rule.order}: there is no mapping table '{rule.table}'")
-                df = lookups.apply(df, rule, tables[rule.table], options.broadcast_bytes, options.map_rows)
+                state.df = lookups.apply(state.df, rule, tables[rule.table], options.broadcast_bytes, options.map_rows)
             elif isinstance(rule, Drop):
-                df = _drop(df, rule)
+                state.df = _drop(state.df, rule)
             elif isinstance(rule, Custom):
-                df = rule.change(df)
+                state.df = rule.change(state.df)
             else:
-                _add(df, rule, pending, options)
-            if rule.checkpoint and options.on_checkpoint:
-                df, pending = _flush(df, pending), _Pending()
-                df = _measured(options, f"{rule.order} {rule.kind} after", df)
-        return errors.with_nullability(_flush(df, pending), options.errors_nullable)
+                _add(state, rule, options)
+            if watched:
+                state.df = _measured(options, f"{rule.order} {rule.kind} after", state.settle())
+        return errors.with_nullability(state.settle(), options.errors_nullable)
 
 
 def _measured(options: Options, name: str, df: DataFrame) -> DataFrame:
@@ -101,27 +178,32 @@ def _measured(options: Options, name: str, df: DataFrame) -> DataFrame:
     return df if other is None else other
 
 
-def _add(df: DataFrame, rule: Rule, pending: _Pending, options: Options) -> None:
-    schema = df.schema
-    known = paths.type_at(schema, rule.output) is not None
-    if not (known and options.allow_original_changes):
-        rule.check(schema)
+def _add(state: _Steps, rule: Rule, options: Options) -> None:
+    within = state.within_structs(rule.output)
+    around = rule.output if within else rule.output.rpartition(".")[0] or rule.output
+    if any(state.touches(p) for p in [*rule.inputs, around]):
+        state.flush()
     root = rule.output.split(".")[0]
-    found = paths.field(schema, root)
-    name = found.name if found else root
-    pending.columns[name] = paths.write(schema, rule.output, lambda read: rule.value(df.sparkSession, schema, read), pending.columns.get(name))
-    if rule.problem(schema, paths.reader({})) is not None:
-        pending.problems.append(paths.gather(schema, rule.output, lambda read: rule.problem(schema, read), errors.none()))
-    pending.written.append(rule.output.lower())
-
-
-def _flush(df: DataFrame, pending: _Pending) -> DataFrame:
-    if not pending.columns:
-        return df
-    columns = dict(pending.columns)
-    if pending.problems:
-        columns[errors.ERRORS] = errors.joined(F.col(errors.ERRORS), *pending.problems)
-    return df.withColumns(columns)
+    if not within and any(p.lower().startswith(f"{root.lower()}.") for p in state.apart):
+        state.settle()
+    schema, spark = state.schema, state.df.sparkSession
+    if not (options.allow_original_changes and paths.type_at(schema, rule.output) is not None):
+        rule.check(schema)
+    read = state.own(paths.reader({}))
+    fails = rule.problem(schema, read) is not None
+    if within:
+        there = state.parent(rule.output)
+        if fails:
+            problem = F.array(rule.problem(schema, read))
+            state.problems.append(problem if there is None else F.when(there, problem).otherwise(errors.none()))
+        state.put(rule.output, rule.value(spark, schema, read))
+    else:
+        found = paths.field(schema, root)
+        name = found.name if found else root
+        state.columns[name] = paths.write(schema, rule.output, lambda r: rule.value(spark, schema, state.own(r)), state.columns.get(name))
+        if fails:
+            state.problems.append(paths.gather(schema, rule.output, lambda r: rule.problem(schema, state.own(r)), errors.none()))
+    state.written.append(rule.output.lower())
 
 
 def _drop(df: DataFrame, rule: Drop) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,8 +172,6 @@ def test_refused_rules(spark):
 
 
 def test_many_fused_rules_plan_quickly(spark):
-    import time
-
     df = spark.createDataFrame([(1, ((2,),))], "a int, s struct<t:struct<x:int>>")
     times = []
     for n in (10, 50):
@@ -182,6 +181,43 @@ def test_many_fused_rules_plan_quickly(spark):
     assert times[1] < 10 * times[0] + 5
 
 
+def test_chains_in_structs(spark):
+    """Rules on each other's outputs below structs: values, errors, null structs, order of fields, and plans that grow with the number of rules."""
+    df = spark.createDataFrame([(1, (("7",), 1)), (2, (("x",), 2)), (3, (None, 3)), (4, None)], "id int, s struct<t:struct<a:string>,n:int>")
+    steps = [
+        R.Casting(order=1, input="s.t.a", to="integer", output="s.t.b"), R.Casting(order=2, input="S.t.B", to="string", output="s.t.c"), R.Concatenation(order=3, columns=("s.t.a", "s.t.c"), output="s.t.d"),
+        R.Uppercase(order=4, input="s.t.d", output="top"), R.Literal(order=5, output="s.u.v", text="w"), R.Literal(order=6, output="s.t.e", text="1", checkpoint=True), R.Drop(order=7, output="s.t.c"), R.Uppercase(order=8, input="s.u.v", output="s.t.f"),
+    ]
+    out = conform(df, steps)
+    assert out.columns == ["id", "s", "errCol", "top"] and out.schema["s"].dataType.simpleString() == "struct<t:struct<a:string,b:int,d:string,e:int,f:string>,n:int,u:struct<v:string>>"
+    found = {r["id"]: r for r in rows(out)}
+    assert found[1]["s"] == {"t": {"a": "7", "b": 7, "d": "77", "e": 1, "f": "W"}, "n": 1, "u": {"v": "w"}} and found[1]["top"] == "77" and found[1]["errCol"] == []
+    assert found[2]["s"]["t"] == {"a": "x", "b": None, "d": None, "e": 1, "f": "W"} and [(e["errCode"], e["errCol"], e["rawValues"]) for e in found[2]["errCol"]] == [("E00003", "s.t.b", ["x"])]
+    assert found[3]["s"] == {"t": None, "n": 3, "u": {"v": "w"}} and found[3]["errCol"] == [] and found[4]["s"] is None and found[4]["errCol"] == []
+    seen = []
+    again = rows(conform(df, steps, options=Options(on_checkpoint=lambda name, df: seen.append(df.schema["s"].dataType["t"].dataType.names))))
+    assert {r["id"]: r for r in again} == found and seen == [["a", "b", "c", "d"], ["a", "b", "c", "d", "e"]]
+    with pytest.raises(R.RuleError, match="already exists"):
+        conform(df, [*steps[:1], R.Literal(order=9, output="s.t.B", text="1")])
+    with pytest.warns(UserWarning):
+        changed = conform(df, [R.Casting(order=1, input="s.t.a", to="integer", output="s.t.a"), R.Negation(order=2, input="s.t.a", output="s.m")], options=Options(allow_original_changes=True))
+    assert [(r["s"] or {}).get("m") for r in rows(changed)] == [-7, None, None, None] and changed.schema["s"].dataType["t"].dataType["a"].dataType.simpleString() == "int"
+
+
+def test_long_chains_in_structs_plan_quickly(spark):
+    df = spark.createDataFrame([(("x0",),)], "s struct<c0:string>").selectExpr("struct(struct(s.c0 AS c0) AS t) AS s")
+    began = time.time()
+    out = conform(df, [R.Uppercase(order=i, input=f"s.t.c{i - 1}", output=f"s.t.c{i}") for i in range(1, 41)])
+    assert out.first().s.t.c40 == "X0" and time.time() - began < 30
+
+
+def test_smallest_number_in_a_struct_that_is_always_there(spark):
+    kind = T.StructType([T.StructField("s", T.StructType([T.StructField("n", T.IntegerType(), False)]), False)])
+    df = spark.createDataFrame([((-(1 << 31),),), ((5,),)], kind)
+    out = conform(df, [R.Negation(order=1, input="s.n", output="s.m"), R.Negation(order=2, input="s.m", output="s.k")])
+    assert [(r["s"]["m"], r["s"]["k"], len(r["errCol"])) for r in rows(out)] == [(0, 0, 1), (-5, 5, 0)]
+
+
 def test_json_round_trip():
     chosen = (P.Equals("a", "1", "integer") | ~P.IsNull("b")) & P.Differs("c", "x")
     steps = [
