@@ -21,6 +21,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import ahocorasick
 import numpy as np
@@ -81,6 +82,17 @@ class Windows:
         return list(self.found.iter(tuple([number(w, 0) for w in words])))
 
 
+#: The automaton that a Python worker built last, under the name of what it was sent: its next tasks need not build it again.
+_built: dict[str, Windows | None] = {}
+
+
+def built(name: str, pairs: list[tuple[str, str]]) -> Windows | None:
+    if name not in _built:
+        _built.clear()
+        _built[name] = automaton(grouped(pairs))
+    return _built[name]
+
+
 def automaton(windows: dict[str, list[str]]) -> Windows | None:
     if not windows:
         return None
@@ -138,10 +150,10 @@ def _pairs(items: DataFrame, width: int, at: str) -> DataFrame:
 
 def _pass(docs: DataFrame, pairs: list[tuple[str, str]], text: str, out: str) -> DataFrame:
     """All documents with the result of one automaton."""
-    sent = docs.sparkSession.sparkContext.broadcast(pairs)
+    sent, name = docs.sparkSession.sparkContext.broadcast(pairs), uuid4().hex
 
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        windows = automaton(grouped(sent.value))
+        windows = built(name, sent.value)
         for texts in batches:
             yield pa.array([scan(t or "", windows) for t in texts.to_pylist()], ARROW_RESULT)
 
@@ -150,10 +162,10 @@ def _pass(docs: DataFrame, pairs: list[tuple[str, str]], text: str, out: str) ->
 
 def _write_hits(rows: DataFrame, pairs: list[tuple[str, str]], at: str) -> None:
     """Append (row, items, runs) of the documents that a block hits."""
-    sent = rows.sparkSession.sparkContext.broadcast(pairs)
+    sent, name = rows.sparkSession.sparkContext.broadcast(pairs), uuid4().hex
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = automaton(grouped(sent.value))
+        windows = built(name, sent.value)
         for batch in batches:
             out = [(row, *hits(t or "", windows)[1:]) for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             out = [(row, names, [{"a": a, "b": b} for a, b in runs]) for row, names, runs in out if runs]
