@@ -60,6 +60,8 @@ class Job:
     #: Folder of the run log, and how a conformed frame is kept while it is written and measured (a name of Spark's storage levels).
     run_log: str | None = None
     persist: str | None = None
+    #: File that gets the seconds, records and bytes of the last stage.
+    performance_file: str | None = None
 
 
 def _measures(spark: SparkSession, job: Job, folder: str) -> M.Measures:
@@ -121,6 +123,8 @@ class _Stage:
         about = {"elapsed_seconds": round(time.time() - self.started, 1), "columns": len(written.columns), "input_bytes": read_bytes, "output_bytes": made, "size_ratio": round(made / read_bytes, 4) if read_bytes else None, "executors": max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)}
         measures.metadata |= {f"{self.name.lower()}_{k}": v for k, v in {**stats, **about}.items()} | {"dataset": job.dataset, "dataset_version": job.version, "records": stats["records"], "errors": stats["errors"]}
         measures.write(spark, path)
+        if job.performance_file:
+            layout.write_text(spark, job.performance_file, "".join(f"{k}={v}\n" for k, v in {"stage": self.name, **stats, **about}.items()))
         for process in job.post_processors:
             out = process(written, {"dataset": job.dataset, "version": job.version, "stage": self.name, "date": job.date, "run": self.run})
             written = out if isinstance(out, DataFrame) else written
@@ -193,6 +197,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--auto-clean", action="store_true")
     out.add_argument("--strict", action="store_true", help="fail where a shape doesn't fit")
     out.add_argument("--run-log", help="folder of the run log")
+    out.add_argument("--performance-file", help="file that gets seconds, records and bytes")
     out.add_argument("--persist", help="storage level of the conformed data while it is written, as MEMORY_AND_DISK")
     return out
 
@@ -208,7 +213,7 @@ def from_arguments(spark: SparkSession, argv: Sequence[str]) -> tuple[str, Job]:
         args.report_version, [R.from_json(r) for r in doc.get("conformance", [])], tables, args.raw_format, options, args.folder_prefix, args.record_id,
         count_validation=args.count_validation, partition_bytes=args.partition_bytes, clean_standardized=args.auto_clean, fail_fast=args.strict,
         checkpoint_listeners=plugins(doc, "checkpointPlugin"), post_processors=plugins(doc, "postProcessor"),
-        run_log=args.run_log, persist=args.persist,
+        run_log=args.run_log, persist=args.persist, performance_file=args.performance_file,
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import errors
+from millrace.sources import layout
 
 KINDS = ("count", "distinctCount", "aggregatedTotal", "absAggregatedTotal")
 INFO_FILE = "_INFO"
@@ -111,22 +112,11 @@ class Measures:
         return cls(metadata=doc.get("metadata", {}), checkpoints=doc.get("checkpoints", []), **more)
 
     def write(self, spark: SparkSession, folder: str) -> None:
-        files, at = _file(spark, folder)
-        out = files.create(at, True)
-        try:
-            out.write(bytearray(self.to_json(), "utf-8"))
-        finally:
-            out.close()
+        layout.write_text(spark, f"{folder.rstrip('/')}/{INFO_FILE}", self.to_json())
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str, **more: Any) -> Measures:
-        files, at = _file(spark, folder)
-        stream = files.open(at)
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return cls.from_json(text, **more)
+        return cls.from_json(layout.read_text(spark, f"{folder.rstrip('/')}/{INFO_FILE}"), **more)
 
     def count(self, checkpoint: str) -> int | None:
         """The record count of a checkpoint."""
@@ -138,11 +128,6 @@ class Measures:
         return None
 
 
-def _file(spark: SparkSession, folder: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{INFO_FILE}")
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
 def _text(value: Any) -> str:
     text = format(value, "f") if not isinstance(value, int) else str(value)
     return text.rstrip("0").rstrip(".") if "." in text else text

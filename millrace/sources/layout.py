@@ -26,6 +26,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, over one that is there."""
+    files, at = _hadoop(spark, path)
+    out = files.create(at, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    files, at = _hadoop(spark, path)
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def claim(spark: SparkSession, path: str) -> bool:
     """Make an empty file; False if there is one, so of several writers only one gets True."""
     files, at = _hadoop(spark, path)

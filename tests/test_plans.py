@@ -134,13 +134,14 @@ def test_jobs(spark, tmp_path):
     spark.createDataFrame([("1", "a"), ("x", "b")], "id string, v string").write.csv(raw)
     said, sent = [], []
     schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("v", T.StringType())])
-    one = job.Job("d", 1, day, schema, f"{tmp_path}/raw", f"{tmp_path}/std", f"{tmp_path}/out", rules=[R.Uppercase(order=1, input="v", output="loud", checkpoint=True)], format="csv", record_id="stable", clean_standardized=True, partition_bytes=1 << 20,
+    one = job.Job("d", 1, day, schema, f"{tmp_path}/raw", f"{tmp_path}/std", f"{tmp_path}/out", rules=[R.Uppercase(order=1, input="v", output="loud", checkpoint=True)], format="csv", record_id="stable", clean_standardized=True, partition_bytes=1 << 20, performance_file=f"{tmp_path}/performance",
                   on_status=lambda stage, status: said.append((stage, status)), post_processors=[lambda df, what: sent.append((what["stage"], df.count()))])
     out = {r["v"]: r for r in rows(job.both(spark, one))}
     assert (out["a"]["loud"], out["b"]["id"], out["b"]["errCol"][0]["errCode"]) == ("A", 0, "E00000")
     assert said == [("Standardization", "running"), ("Standardization", "stageSucceeded"), ("Conformance", "running"), ("Conformance", "allSucceeded")]
     assert sent == [("Standardization", 2), ("Conformance", 2)]
     info = measures.Measures.read(spark, f"{tmp_path}/out/info_date=2024-01-02/info_version=1")
+    assert {"stage=Conformance", "records=2", "failed=1", "executors=1"} <= set((tmp_path / "performance").read_text().split())
     assert {"info_date", "info_version"} <= set(spark.read.parquet(f"{tmp_path}/out/info_date=2024-01-02/info_version=1").columns) and [c["controls"][0]["controlValue"] for c in info.checkpoints] == ["2"] * 4
     assert [c["name"] for c in info.checkpoints] == ["Standardization - End", "1 UppercaseConformanceRule before", "1 UppercaseConformanceRule after", "Conformance - End"] and info.metadata["conformance_failed"] == 1
     assert job.plugins({"p.1": "math:sqrt", "p.3": "math:pi"}, "p")[0](9) == 3
