@@ -17,9 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -227,17 +228,45 @@ def _own_entries(entries: DataFrame, kind: T.MapType) -> Callable[[Column], Colu
     sent = entries.sparkSession.sparkContext.broadcast(entries.toArrow())
 
     def own(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = sent.value
-        place = {tuple(k.values()): i for i, k in enumerate(table["key"].to_pylist())}
-        known, found = table["key"].combine_chunks(), table["v"].combine_chunks()
+        known, found = (sent.value[name].combine_chunks() for name in ("key", "v"))
+        places = _finder(known)
         for keys in batches:
-            hits = [[i for k in row or () if (i := place.get(tuple(k.values()))) is not None] for row in keys.to_pylist()]
-            at, ends = pa.array([i for row in hits for i in row], pa.int64()), list(accumulate(map(len, hits), initial=0))
-            yield pa.MapArray.from_arrays(pa.array(ends, pa.int32()), known.take(at), found.take(at))
+            sizes = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)
+            at = places(keys.flatten())
+            hits = np.bincount(np.repeat(np.arange(len(keys)), sizes)[at >= 0], minlength=len(keys))
+            ends, taken = np.concatenate(([0], np.cumsum(hits))).astype(np.int32), pa.array(at[at >= 0])
+            yield pa.MapArray.from_arrays(pa.array(ends), known.take(taken), found.take(taken))
 
     return F.arrow_udf(own, kind)
 
 
+def _finder(known: pa.StructArray) -> Callable[[pa.StructArray], np.ndarray]:
+    """A function of keys that gives the places of equal ones among the known, -1 for others. Null equals null.
+
+    Column by column, what was found so far and the next value become one number each, for all keys of a batch at once.
+    """
+    steps: list[tuple[pa.Array, pa.Array]] = []
+    codes = np.zeros(len(known), np.int64)
+    for column in known.flatten():
+        values = pc.unique(column)
+        pairs = codes * max(1, len(values)) + pc.index_in(column, value_set=values, skip_nulls=False).to_numpy(zero_copy_only=False)
+        dense = pc.unique(pa.array(pairs))
+        codes = pc.index_in(pa.array(pairs), value_set=dense).to_numpy(zero_copy_only=False).astype(np.int64)
+        steps.append((values, dense))
+    place = np.full(len(known), -1, np.int64)
+    place[codes] = np.arange(len(known))
+
+    def find(keys: pa.StructArray) -> np.ndarray:
+        here = np.zeros(len(keys), np.int64)
+        for (values, dense), column in zip(steps, keys.flatten(), strict=True):
+            value = pc.fill_null(pc.index_in(column, value_set=values, skip_nulls=False), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            pairs = np.where((here < 0) | (value < 0), -1, here * max(1, len(values)) + value)
+            here = pc.fill_null(pc.index_in(pa.array(pairs), value_set=dense), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return np.where(here < 0, -1, place[here]) if len(place) else np.full(len(keys), -1)
+
+    return find
+
+
 def _by_sets(keyed: DataFrame, entries: DataFrame, kind: T.MapType) -> DataFrame:
     """Each distinct set of keys gets its own entries; rows without keys need none."""
     some, none = keyed.where(F.size("__keys") > 0), keyed.where(F.size("__keys") <= 0)

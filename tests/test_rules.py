@@ -1,15 +1,18 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import errors
 from millrace.operators import filters as P
+from millrace.operators import mapping as lookups
 from millrace.operators import rules as R
 from millrace.operators.mapping import Table
 from millrace.plans.conform import Options, conform, produced, with_info
@@ -66,6 +69,20 @@ def test_key_of_another_array_is_never_found(spark, tables):
     assert out["b"] == [{"n": 1, "name": None}] and len(out["errCol"]) == 1
 
 
+def test_places_of_keys():
+    rnd = random.Random(4)
+    kind = pa.struct([("a", pa.string()), ("b", pa.int64()), ("c", pa.date32())])
+
+    def keys(n: int) -> list[tuple]:
+        return [(rnd.choice(["x", "y", "", None]), rnd.choice([1, 2, -5, None]), rnd.choice([dt.date(2024, 1, 1), None])) for _ in range(n)]
+
+    known = list(dict.fromkeys(keys(25)))
+    wanted = keys(200)
+    find = lookups._finder(pa.array([dict(zip("abc", k, strict=True)) for k in known], kind))
+    assert find(pa.array([dict(zip("abc", k, strict=True)) for k in wanted], kind)).tolist() == [known.index(k) if k in known else -1 for k in wanted]
+    assert find(pa.array([], kind)).tolist() == [] and lookups._finder(pa.array([], kind))(pa.array([{"a": "x", "b": 1, "c": None}], kind)).tolist() == [-1]
+
+
 @pytest.mark.parametrize("options", [Options(), Options(map_rows=0), Options(map_rows=0, broadcast_bytes=0)])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_lookups_in_arrays_agree(spark, options, null_safe):
