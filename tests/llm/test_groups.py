@@ -151,7 +151,7 @@ def test_batches_keep_the_largest_id(spark, bounds):
     rnd = random.Random(12)
     data = [(rnd.choice([None, *range(300)]), rnd.choice("abcdefgh") * rnd.randint(0, 3)) for _ in range(400)]
     docs = spark.createDataFrame(data, "doc_id long, text string")
-    out = exact_dedup.ingest_all(docs, exact_dedup.DigestIndex(spark, work_path(spark, "index"), 4), bounds).collect()
+    out = exact_dedup.ingest(docs, exact_dedup.DigestIndex(spark, work_path(spark, "index"), 4), bounds=bounds).collect()
     groups: dict = {}
     for d, t in data:
         groups.setdefault(hashlib.sha256(t.encode()).hexdigest(), []).append(d)

@@ -68,6 +68,61 @@ def test_pii_added_spans():
     assert not any(k == "url" and v == "www." for k, v in found)
 
 
+def brute_urls(text: str) -> list[tuple[int, int]]:
+    """From the left: a scheme, then all that isn't white space, quotes or brackets, without punctuation at the end."""
+    found, at = [], 0
+    while at < len(text):
+        scheme = next((s for s in sorted(pii.SCHEMES, key=len, reverse=True) if text[at : at + len(s)].lower() == s), None)
+        end = at + len(scheme or "")
+        while scheme and end < len(text) and not text[end].isspace() and text[end] not in "\"'<>()[]{}|\\^`":
+            end += 1
+        while scheme and end > at + len(scheme) and text[end - 1] in ".,;:!?":
+            end -= 1
+        if scheme and end > at + len(scheme):
+            found.append((at, end))
+            at = end
+        else:
+            at += 1
+    return found
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["http://", "HTTPS://", "ftp://", "www.", "a.b/c?d=e", "é", ".", ",", ")", "(", " ", '"', "x@y.z", "+1 555", "w", "htt", "p://"]), max_size=9))
+def test_urls_against_brute_force(parts):
+    text = "".join(parts)
+    assert [(s, e) for s, _, k, e in pii.scan(text, ANCHORS) if k == "url"] == brute_urls(text)
+
+
+def brute_accounts(text: str) -> list[str]:
+    """Accounts of texts whose parts are separate words, told by the words alone."""
+    words, found, at = text.split(" "), [], 0
+    while at < len(words):
+        at += 1
+        if words[at - 1].lower() not in pii.CUES:
+            continue
+        start = at + (at < len(words) and words[at] == "no.")
+        rest = words[start:]
+        iban = next((" ".join(rest[:n]) for n in range(len(rest), 0, -1) if all(w.isalnum() for w in rest[:n]) and pii.iban("".join(rest[:n]))), None)
+        own: list[str] = []
+        for w in rest:
+            if not re.fullmatch(r"[A-Za-z0-9]+(-[A-Za-z0-9]+)*", w) or not re.search("[0-9]", w) or len(" ".join([*own, w])) > 34:
+                break
+            own.append(w)
+        account = iban or (" ".join(own) if len(re.sub("[^0-9]", "", " ".join(own))) >= 6 and not re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", "".join(own)) else None)
+        if account:
+            found.append(account)
+            at = start + account.count(" ") + 1
+    return found
+
+
+def test_accounts_against_brute_force():
+    rnd = random.Random(17)
+    pool = ["account", "IBAN", "Konto", "ssn", "no.", "word", "123456", "12", "3456", "AB-12", "1-2-3", "GB82", "WEST", "1234", "5698", "7654", "32", "DE89370400440532013000", "DE89370400440532013001", "x."]
+    for _ in range(600):
+        text = " ".join(rnd.choice(pool) for _ in range(rnd.randint(1, 9)))
+        assert [text[s:e] for s, _, k, e in pii.scan(text, ANCHORS) if k == "account"] == brute_accounts(text), text
+
+
 def test_pii_accounts_in_parts_and_any_case():
     def accounts(text: str) -> list[str]:
         return [text[s:e] for s, _, k, e in pii.scan(text, ANCHORS) if k == "account"]
