@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,40 +56,33 @@ class DigestIndex:
         ``groups`` has one row per digest. An append that was lost half-way leaves no committed files, so it can be repeated.
         """
         new = groups.select("digest", "keep_id").hint("merge").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-        new.withColumn("batch", F.lit(batch)).repartition(self.buckets, "digest").write.insertInto(self.table)
+        new.withColumn("batch", F.lit(batch)).write.insertInto(self.table)  # the join leaves them dealt out as the buckets are
         self.spark.catalog.refreshTable(self.table)
         return self.rows()
 
 
-def ingest(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text", batch: str | None = None) -> DataFrame:
-    """Deduplicate a batch of documents against itself and the index, and append its new digests.
-
-    One row per document: the id that stays for its text, the size of its group in the batch, whether this row is the one that stays, and the digest.
-    """
-    batch = batch or uuid.uuid4().hex
-    rows = cut(digests(docs, key, text))
+def _groups(rows: DataFrame) -> DataFrame:
+    """For each digest the id and the row that stay, and the number of rows."""
     best = F.max(F.struct("doc_id", F.negate("row").alias("row")))
-    groups = rows.groupBy("digest").agg(best["doc_id"].alias("keep_id"), (-best["row"]).alias("keep_row"), F.count("*").alias("group_size"))
-    known = index.append(groups, batch).hint("merge")
-    own = F.when(F.col("batch") == batch, F.col("keep_row"))
-    held = cut(groups.select("digest", "keep_row", "group_size").hint("merge").join(known, "digest").select("digest", "keep_id", "group_size", own.alias("keep_row")))
-    found = join_groups(rows, held, "digest", "group_size", rows.count())
-    return found.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    return rows.groupBy("digest").agg(best["doc_id"].alias("keep_id"), (-best["row"]).alias("keep_row"), F.count("*").alias("group_size"))
 
 
-def ingest_all(docs: DataFrame, index: DigestIndex, bounds: list, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents in batches by id, the largest ids first, each deduplicated against what the ones before left in the index.
+def ingest(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text", batch: str | None = None, bounds: Sequence = ()) -> DataFrame:
+    """Deduplicate documents against themselves and the index, and append their new digests.
 
-    ``bounds`` are ids in falling order, each the least one of its batch; the last batch has all others and rows without id. So the row with the
-    largest id of all stays for its text, and ``group_size`` counts its group in all batches.
+    One row per document: the id that stays for its text, the size of its group, whether this row is the one that stays, and the digest.
+
+    With ``bounds``, ids in falling order, the documents come in batches, the largest ids first: each bound is the least id of its batch, and the
+    last batch has all others and rows without id. Each batch is deduplicated against what the ones before left in the index.
     """
-    whole, before = [], F.lit(True)
-    for bound in [*bounds, None]:
-        own = F.lit(True) if bound is None else F.coalesce(F.col(key) >= F.lit(bound), F.lit(False))
-        whole.append(cut(ingest(docs.where(before & own), index, key, text)))
-        before = before & ~own
-    rows = whole[0]
-    for more in whole[1:]:
-        rows = rows.unionByName(more)
-    sizes = cut(rows.groupBy("text_sha256").agg(F.count("*").alias("all")))
-    return join_groups(rows.drop("group_size"), sizes, "text_sha256", "all", rows.count()).select("doc_id", "keep_id", F.col("all").alias("group_size"), "kept", "text_sha256")
+    batch = batch or uuid.uuid4().hex
+    rows, left = cut(digests(docs, key, text)), F.lit(True)
+    for n, bound in enumerate([*bounds, None]):
+        own = F.lit(True) if bound is None else F.coalesce(F.col("doc_id") >= F.lit(bound), F.lit(False))
+        index.append(_groups(rows.where(left & own)), f"{batch}-{n}")
+        left = left & ~own
+    ours = F.col("batch").isin([f"{batch}-{n}" for n in range(len(bounds) + 1)])
+    found = _groups(rows).select("digest", "keep_row", "group_size").hint("merge").join(index.rows().hint("merge"), "digest")
+    held = cut(found.select("digest", "keep_id", "group_size", F.when(ours, F.col("keep_row")).alias("keep_row")))
+    each = join_groups(rows, held, "digest", "group_size", rows.count())
+    return each.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))

@@ -82,7 +82,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the upper half of the ids first, so that the second one meets the index that the first one left."""
     docs = table(spark, sf_dir, "documents")
     middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
-    return exact_dedup.ingest_all(docs, exact_dedup.DigestIndex(spark, work_path(spark, "digest-index")), [] if middle is None else [middle])
+    return exact_dedup.ingest(docs, exact_dedup.DigestIndex(spark, work_path(spark, "digest-index")), bounds=[] if middle is None else [middle])
 
 
 OP6_SQL = """
