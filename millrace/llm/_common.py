@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,7 +113,15 @@ def spans_text(spans) -> F.Column:
 
 
 def numbered(docs: DataFrame, out: str) -> DataFrame:
-    """``docs`` with a number for each row, written once so that every reading sees the same numbers."""
+    """``docs`` with a column that tells each row from all others, the same however often it is read.
+
+    For rows of Parquet files that is the file (by hash of its path) and the place in it. Others are written once, with a number.
+    """
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.withColumn(out, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")))
+        except AnalysisException:
+            pass  # not files, or such that have no places
     docs.withColumn(out, F.monotonically_increasing_id()).write.parquet(at := work_path(docs.sparkSession, "numbered"))
     return docs.sparkSession.read.parquet(at)
 

@@ -169,10 +169,10 @@ def _write_hits(rows: DataFrame, pairs: list[tuple[str, str]], at: str) -> None:
         for batch in batches:
             out = [(row, *hits(t or "", windows)[1:]) for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             out = [(row, names, [{"a": a, "b": b} for a, b in runs]) for row, names, runs in out if runs]
-            kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))]
+            kinds = [batch.column(0).type, pa.list_(pa.string()), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["row", "items", "runs"])
 
-    rows.mapInArrow(found, "row long, items array<string>, runs array<struct<a:int,b:int>>").write.mode("append").parquet(at)
+    rows.mapInArrow(found, f"row {rows.schema.fields[0].dataType.simpleString()}, items array<string>, runs array<struct<a:int,b:int>>").write.mode("append").parquet(at)
     sent.destroy()
 
 

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from millrace.llm import queries
-from millrace.llm._common import table
+from millrace.llm._common import numbered, table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -61,6 +61,17 @@ def test_pipeline_without_documents(spark):
         assert out.count() == 0
 
 
+def test_rows_of_files_are_told_apart_without_a_copy(spark, odd, tmp_path):
+    odd.repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for frame, copied in ((docs, False), (docs.where("doc_id > 0"), False), (odd, True)):
+        rows = numbered(frame, "_row")
+        first, again = ({r._row: tuple(r)[:-1] for r in rows.collect()} for _ in range(2))
+        assert first == again and len(first) == frame.count() and (len(rows.inputFiles()) > 0 and "numbered-" in rows.inputFiles()[0]) == copied
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.select("doc_id", "text", "lang", "source"), SMALL)
+    assert kept.count() == 5
+
+
 def test_pipeline_rows_without_ids_or_with_shared_ids(spark, odd):
     docs = odd.select("doc_id", "text", "lang", "source")
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()
