@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -14,9 +16,13 @@ RUNTIME = {"spark.sql.legacy.timeParserPolicy": "LEGACY", "spark.sql.session.tim
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lenient date patterns and UTC, as declared schemas expect."""
+    """Lenient date patterns and UTC, as declared schemas expect; Python workers find this package wherever they are started."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
     return spark
 
 
