@@ -72,14 +72,22 @@ def grouped(pairs: Iterable[tuple[str, str]]) -> dict[str, list[str]]:
 
 @dataclass
 class Windows:
-    """An automaton over numbers of words, 0 standing for words that no window has."""
+    """An automaton over numbers of words, 0 standing for words that no window has, and the words of the shortest window."""
 
     numbers: dict[str, int]
     found: ahocorasick.Automaton
+    least: int
 
     def matches(self, words: list[str]) -> list[tuple[int, tuple[int, list[str]]]]:
+        """Last word and window of each match. All words of a match are known, so only runs of known words that are long enough are walked."""
         number = self.numbers.get
-        return list(self.found.iter(tuple([number(w, 0) for w in words])))
+        numbers = [number(w, 0) for w in words]
+        edges = np.flatnonzero(np.diff(np.array(numbers, np.int64) > 0, prepend=False, append=False))
+        found = []
+        for start, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if end - start >= self.least:
+                found += [(start + last, window) for last, window in self.found.iter(tuple(numbers[start:end]))]
+        return found
 
 
 #: The automaton that a Python worker built last, under the name of what it was sent: its next tasks need not build it again.
@@ -97,12 +105,13 @@ def automaton(windows: dict[str, list[str]]) -> Windows | None:
     if not windows:
         return None
     numbers: dict[str, int] = {}
-    found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    least, found = None, ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for window, names in windows.items():
         key = tuple([numbers.setdefault(w, len(numbers) + 1) for w in window.split(" ")])
         found.add_word(key, (len(key), names))
+        least = len(key) if least is None else min(least, len(key))
     found.make_automaton()
-    return Windows(numbers, found)
+    return Windows(numbers, found, least)
 
 
 def hits(text: str, windows: Windows | None) -> tuple[int, list[str], list[tuple[int, int]]]:
