@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, pii, secret_scan, simhash, token_counts, token_output
+from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, phrases, pii, secret_scan, simhash, token_counts, token_output
 from ._common import spans_text, table, work_path
 
 
@@ -137,5 +137,36 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.withColumnRenamed("docs", "doc_ids")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output}
-SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+')) AS piece
+  FROM documents),
+s AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM d),
+g AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS gram
+  FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM s, (SELECT unnest(generate_series(1, 5)) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, gram, count(*) AS f FROM g GROUP BY lang, m, gram),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, gram, f AS a, string_split(gram, ' ') AS w FROM f WHERE m >= 2 AND f >= 100),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(list_slice(w, i, i + k - 1), ' ') AS gram, a
+  FROM (SELECT lang, w, a, k, unnest(generate_series(1, m - k + 1)) AS i FROM (SELECT lang, w, a, m, unnest(generate_series(2, m - 1)) AS k FROM c WHERE m > 2))),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.gram = c.gram AND 100 * i.a >= 100 * c.a)),
+cuts AS (
+  SELECT lang, gram, a, k, array_to_string(list_slice(w, 1, k), ' ') AS first, array_to_string(list_slice(w, k + 1, m), ' ') AS rest
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM kept)),
+scored AS (
+  SELECT u.lang, u.gram, u.a, t.n, x.f AS l, y.f AS r, u.k, CAST((1000::HUGEINT * u.a * t.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts u JOIN t USING (lang) JOIN f x ON x.lang = u.lang AND x.gram = u.first JOIN f y ON y.lang = u.lang AND y.gram = u.rest),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(gram)) AS rank FROM worst)
+SELECT lang, rank, gram AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output, "op11_phrases": op11_phrases}
+SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_phrases": OP11_SQL}
