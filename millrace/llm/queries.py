@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, phrases, pii, secret_scan, simhash, token_counts, token_output
+from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, periodic_runs, phrases, pii, secret_scan, simhash, token_counts, token_output
 from ._common import spans_text, table, work_path
 
 
@@ -168,5 +168,60 @@ SELECT lang, rank, gram AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2
 """
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output, "op11_phrases": op11_phrases}
-SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_phrases": OP11_SQL}
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as they are but for a tenth of them, which gets a period of its own from some word on (ids that are missing leave texts as they are)."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.when(F.expr("h % 10 = 0"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.withColumn("words", words).withColumn("n", F.size("words"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.expr("g % n"))).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    bent = F.expr("array_join(transform(sequence(0, n - 1), i -> words[int(CASE WHEN i < a THEN i ELSE a + (i - a) % p END)]), ' ')")
+    runs = F.col("repeats.runs")
+    better = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    found = periodic_runs.annotate(docs.select("doc_id", F.when(F.col("a").isNotNull(), bent).otherwise(F.col("text")).alias("text")))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))), "")
+    best = F.aggregate(runs, F.lit(None).cast("struct<start: long, length: long, period: long>"), better)
+    found = found.withColumns({"n_runs": F.size(runs).cast("long"), "best": best, "runs_sha256": F.sha2(lines, 256), "collapsed_sha256": F.sha2("repeats.text", 256)})
+    milli = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")
+
+
+#: Ranks of all stretches of 1, 2, 4 ... words, by doubling: where those of the first size from a period on occur next one period later, there is a run.
+_RANKS = 15
+OP12_SQL = (
+    """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS d, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w, list_reduce(
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda h, c: CASE WHEN c >= 0 THEN xor(h, c) ELSE xor(h >> 1, CASE WHEN h & 1 = 1 THEN 3988292384 ELSE 0 END) END, CAST(4294967295 AS BIGINT)) AS inverse
+  FROM documents),
+e AS (SELECT d, doc_id, w, len(w) AS n, xor(inverse, 4294967295) AS h, xor(inverse, 4294967295) // 10 AS g FROM d),
+f AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM e),
+x AS MATERIALIZED (
+  SELECT d, i, w[1 + CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] AS word
+  FROM (SELECT *, unnest(generate_series(0, n - 1)) AS i FROM f WHERE n > 0)),
+r0 AS MATERIALIZED (SELECT d, i, dense_rank() OVER (ORDER BY word) AS r FROM x),
+"""
+    + "".join(f"r{k + 1} AS MATERIALIZED (SELECT a.d, a.i, dense_rank() OVER (ORDER BY a.r, b.r) AS r FROM r{k} a JOIN r{k} b ON b.d = a.d AND b.i = a.i + {1 << k}),\n" for k in range(_RANKS - 1))
+    + "s AS (\n  "
+    + "\n  UNION ALL ".join(f"SELECT d, i, lead(i) OVER (PARTITION BY d, r ORDER BY i) - i AS q, {1 << k} AS len FROM r{k}" for k in range(_RANKS))
+    + """),
+t AS (SELECT *, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS island FROM s WHERE q <= len AND 2 * q > len),
+runs AS MATERIALIZED (
+  SELECT * FROM (SELECT d, min(i) AS start, max(i) - min(i) + any_value(len) + q AS length, q AS period FROM t GROUP BY d, q, island)
+  WHERE length >= greatest(24, 3 * period)),
+own AS (
+  SELECT d, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    first(start ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS start, first(length ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS length,
+    first(period ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS period
+  FROM runs GROUP BY d),
+gone AS (SELECT DISTINCT d, unnest(generate_series(start + period, start + length - 1)) AS i FROM runs),
+kept AS (SELECT d, string_agg(word, ' ' ORDER BY i) AS text FROM x ANTI JOIN gone USING (d, i) GROUP BY d)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM f LEFT JOIN own USING (d) LEFT JOIN kept USING (d)
+"""
+)
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output, "op11_phrases": op11_phrases, "op12_periodic_runs": op12_periodic_runs}
+SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_phrases": OP11_SQL, "op12_periodic_runs": OP12_SQL}
