@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, periodic_runs, phrases, pii, secret_scan, simhash, token_counts, token_output
+from . import decontamination, exact_dedup, language_id, lm_scoring, mixing, periodic_runs, phrases, pii, secret_scan, simhash, token_counts, token_output, toxicity
 from ._common import spans_text, table, work_path
 
 
@@ -223,5 +223,15 @@ FROM f LEFT JOIN own USING (d) LEFT JOIN kept USING (d)
 )
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output, "op11_phrases": op11_phrases, "op12_periodic_runs": op12_periodic_runs}
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from four fifths of the labelled ids; a fifth is held out."""
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~out))
+    score = F.col("toxicity.score")
+    judged = toxicity.annotate(docs, model)
+    return judged.select("doc_id", out.alias("held_out"), score.alias("score"), F.when(score >= 0.5, 1).otherwise(0).alias("predicted"), F.col("toxicity.hits").alias("n_hits"))
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_pii": op2_pii, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_token_counts": op5_token_counts, "op6_exact_dedup": op6_exact_dedup, "op7_lm_scoring": op7_lm_scoring, "op8_secrets": op8_secrets, "op9_decontamination": op9_decontamination, "op10_token_output": op10_token_output, "op11_phrases": op11_phrases, "op12_periodic_runs": op12_periodic_runs, "op13_toxicity": op13_toxicity}
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op9_decontamination": OP9_SQL, "op11_phrases": OP11_SQL, "op12_periodic_runs": OP12_SQL}
