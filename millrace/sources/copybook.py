@@ -1,215 +1,143 @@
 """Mainframe records described by a copybook: fields of fixed width in ASCII or EBCDIC.
 
-Records of fixed length and lines are read by many tasks. A file with length words has to be read from its start, so each such file is
-one task's, and none may be larger than 2 GB.
+Lines and records of fixed length come from Spark's readers as binary values, which any number of tasks read. In a file whose records have lengths of
+their own (four bytes before each), a record's place is known only after all before it: one pass over each file reads the headers and cuts
+it into ranges of about ``RANGE`` bytes, which are then dealt out and read by any number of tasks, however large the file is. Ranges are read with
+Arrow's file systems (local and network folders, HDFS, S3, Google's store).
+
+What can't be read as the number that its picture says is null and an entry in the error column, with the raw value (binary ones in
+hexadecimal). Arrow batches are decoded column by column.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from decimal import Decimal
+from urllib.parse import urlparse
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from millrace.functions import errors
+
+from .copybook_items import Item, length_of, parse, record, schema  # noqa: F401 what users need
+from .copybook_values import Decoder, Notes, code, matrix
 
 TRIMMING = ("none", "left", "right", "both")
-_EBCDIC = "cp037"
-
-
-@dataclass(frozen=True)
-class Item:
-    name: str
-    start: int
-    width: int
-    numeric: bool
-    scale: int
-    digits: int
-    packing: str
-    #: Times that the item follows itself, None if it isn't an array.
-    occurs: int | None = None
-    #: Where a sign of its own stands: "leading", "trailing" or nowhere.
-    sign: str = ""
-
-    @property
-    def element(self) -> T.DataType:
-        if not self.numeric:
-            return T.StringType()
-        if self.scale:
-            return T.DecimalType(self.digits, self.scale)
-        return T.IntegerType() if self.digits <= 9 else T.LongType() if self.digits <= 18 else T.DecimalType(self.digits, 0)
-
-    @property
-    def type(self) -> T.DataType:
-        return T.ArrayType(self.element) if self.occurs else self.element
-
-
-@dataclass
-class _Clause:
-    """One entry of a copybook by its words."""
-
-    level: int
-    name: str
-    picture: str = ""
-    packing: str = ""
-    redefines: str = ""
-    occurs: int | None = None
-    sign: str = ""
-
-
-def _clause(text: str) -> _Clause:
-    words = text.upper().split()
-    if len(words) < 2 or not re.fullmatch(r"\d{2}", words[0]) or not re.fullmatch(r"[A-Z0-9-]+", words[1]):
-        raise ValueError(f"can't read the copybook at {text!r}")
-    out, at = _Clause(int(words[0]), text.split()[1]), 2
-
-    def after(*optional: str) -> str:
-        nonlocal at
-        at += 1
-        while at < len(words) and words[at] in optional:
-            at += 1
-        if at >= len(words):
-            raise ValueError(f"can't read the copybook at {text!r}")
-        return words[at]
-
-    while at < len(words):
-        word = words[at]
-        if word in ("PIC", "PICTURE"):
-            out.picture = after("IS")
-        elif word == "REDEFINES":
-            out.redefines = after()
-        elif word == "OCCURS":
-            out.occurs = int(after())
-        elif word == "SIGN":
-            out.sign = after("IS").lower()
-        elif word == "SEPARATE" and out.sign:
-            out.sign += "!"
-        elif word in ("COMP", "COMP-3", "COMPUTATIONAL", "COMPUTATIONAL-3", "PACKED-DECIMAL", "BINARY"):
-            out.packing = "COMP-3" if word.endswith("-3") or word == "PACKED-DECIMAL" else "COMP"
-        elif word not in ("USAGE", "IS", "DISPLAY", "TIMES", "CHARACTER"):
-            raise ValueError(f"can't read the copybook at {text!r}")
-        at += 1
-    out.sign = out.sign.removesuffix("!") if out.sign.endswith("!") else ""  # a sign within a digit takes no place
-    return out
-
-
-def parse(text: str) -> list[Item]:
-    """Elementary items with PIC X or 9 in DISPLAY, COMP or COMP-3; groups only hold them together.
-
-    REDEFINES gives an item or group the place of an earlier one, OCCURS makes an elementary item an array, SIGN ... SEPARATE gives the sign a place of its own.
+FLOATS = ("ibm", "ieee")
+#: Bytes of a file with record headers that a task reads, and that are in memory at once.
+RANGE, BLOCK = 32 << 20, 2 << 20
+HEADER = 4
+
+
+def read(spark: SparkSession, path: str | list[str], copybook: str, encoding: str = "ebcdic", trimming: str = "both", is_text: bool = False, xcom: bool = False, charset: str | None = None, floats: str = "ibm", big_endian: bool = False) -> DataFrame:
+    """Records of a copybook and their error column: lines if ``is_text``, with headers if ``xcom``, else of the copybook's length.
+
+    Headers hold the record's length in their last two bytes, the lower one first, or in the first two, the higher one first, if ``big_endian``.
     """
-    clean = " ".join(line[6:72] if re.match(r"^.{6}[ *]", line) and len(line) > 7 else line for line in text.splitlines() if not line[6:7] == "*")
-    items, at, end = [], 0, 0
-    places: dict[str, int] = {}
-    within: list[tuple[int, int | None]] = []  # levels of open groups, and where to go on after a group that redefines
-    for clause in map(_clause, (c.strip() for c in re.split(r"\.(?:\s|$)", clean) if c.strip())):
-        while within and within[-1][0] >= clause.level:
-            _, back = within.pop()
-            if back is not None:
-                at = max(at, back)
-        if clause.redefines:
-            if clause.redefines not in places:
-                raise ValueError(f"{clause.name} redefines {clause.redefines}, which isn't there")
-            back, at = at, places[clause.redefines]
-        else:
-            back = None
-        places[clause.name.upper()] = at
-        if not clause.picture:
-            if clause.occurs:
-                raise ValueError(f"{clause.name}: repeated groups are not supported")
-            within.append((clause.level, back))
-            continue
-        picture = re.sub(r"(.)\((\d+)\)", lambda r: r[1] * int(r[2]), clause.picture)
-        numeric = "9" in picture and "X" not in picture and "A" not in picture
-        whole, _, part = picture.replace("S", "").partition("V")
-        digits = whole.count("9") + part.count("9") if numeric else 0
-        width = digits // 2 + 1 if clause.packing == "COMP-3" else (2 if digits <= 4 else 4 if digits <= 9 else 8) if clause.packing == "COMP" else len(whole) + len(part) + bool(clause.sign)
-        items.append(Item(clause.name.replace("-", "_"), at, width, numeric, part.count("9") if numeric else 0, digits, clause.packing, clause.occurs, clause.sign))
-        at += width * (clause.occurs or 1)
-        if back is not None:
-            at = max(at, back)
-        end = max(end, at)
-    return items
-
-
-def length_of(items: list[Item]) -> int:
-    return max((i.start + i.width * (i.occurs or 1) for i in items), default=0)
-
-
-def _number(item: Item, raw: bytes, encoding: str) -> Decimal | None:
-    if item.packing == "COMP-3":
-        nibbles = raw.hex()
-        if not nibbles[:-1].isdigit():
-            return None
-        value = Decimal(int(nibbles[:-1])) * (-1 if nibbles[-1] == "d" else 1)
-    elif item.packing == "COMP":
-        value = Decimal(int.from_bytes(raw, "big", signed=True))
-    else:
-        text = raw.decode(encoding, "replace").strip()
-        if item.sign == "trailing":
-            text = text[-1:] + text[:-1]
-        if not re.fullmatch(r"[+-]?[0-9]+", text):
-            return None
-        value = Decimal(text)
-    return value.scaleb(-item.scale)
-
-
-def _decoded(items: list[Item], records: list[bytes], encoding: str, trimming: str) -> list[list]:
-    strip = {"none": str, "left": str.lstrip, "right": str.rstrip, "both": str.strip}[trimming]
-    columns: list[list] = [[] for _ in items]
-    def value(item: Item, raw: bytes):
-        if not item.numeric:
-            return strip(raw.decode(encoding, "replace")) if raw else None
-        number = _number(item, raw, encoding) if len(raw) == item.width else None
-        return number if number is None or isinstance(item.element, T.DecimalType) else int(number)
-
-    for record in records:
-        for item, column in zip(items, columns, strict=True):
-            each = [value(item, record[at : at + item.width]) for at in range(item.start, item.start + item.width * (item.occurs or 1), item.width)]
-            column.append(each if item.occurs else each[0])
-    return columns
-
-
-def read(spark: SparkSession, path: str, copybook: str, encoding: str = "ebcdic", trimming: str = "both", is_text: bool = False, xcom: bool = False, charset: str | None = None) -> DataFrame:
-    """Records of a copybook: lines if ``is_text``, with four-byte length words if ``xcom``, else of the copybook's length."""
-    if trimming not in TRIMMING:
-        raise ValueError(f"trimming is one of {', '.join(TRIMMING)}, not {trimming}")
-    if encoding not in ("ascii", "ebcdic"):
-        raise ValueError(f"encoding is ascii or ebcdic, not {encoding}")
-    codec = charset or ("latin-1" if encoding == "ascii" else _EBCDIC)
-    try:
-        "".encode(codec)
-    except LookupError:
-        raise ValueError(f"unknown charset {charset}") from None
-    items = parse(copybook)
-    length = length_of(items)
-    schema = T.StructType([T.StructField(i.name, i.type, True) for i in items])
-    if is_text:
-        raw = spark.read.text(path).selectExpr("encode(value, 'ISO-8859-1') AS record") if codec == "latin-1" else spark.read.text(path).selectExpr("encode(value, 'UTF-8') AS record")
-    elif xcom:
-        raw = spark.read.format("binaryFile").load(path).select("content")
-    else:
-        raw = spark.sparkContext.binaryRecords(path, length).map(lambda r: (bytes(r),)).toDF("record binary")
-    kinds = T.StructType(schema.fields)
+    for name, value, known in (("trimming", trimming, TRIMMING), ("encoding", encoding, ("ascii", "ebcdic")), ("floats", floats, FLOATS)):
+        if value not in known:
+            raise ValueError(f"{name} is one of {', '.join(known)}, not {value}")
+    page, layout = code(encoding, charset), record(copybook)
+    kinds = T.StructType([*schema(layout.items).fields, T.StructField(errors.ERRORS, errors.ERROR_LIST)])
+    decoder, width = Decoder(page, trimming, floats), length_of(layout.items)
+    of, number, message = errors.STD_CAST
+
+    def decoded(records: pa.Array) -> pa.RecordBatch:
+        rows, lengths = matrix(records, width, page.blank)
+        notes = Notes()
+        columns = list(decoder.columns(layout.items, rows, lengths, notes))
+        found = notes.by_row(len(records)) if notes.rows else [[]] * len(records)
+        entries = [[{"errType": of, "errCode": number, "errMsg": message, "errCol": p, "rawValues": [raw], "mappings": []} for p, raw in row] for row in found]
+        columns.append(pa.array(entries, to_arrow_type(errors.ERROR_LIST)))
+        return pa.RecordBatch.from_arrays(columns, [f.name for f in kinds.fields])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+        for batch in batches:
+            yield decoded(batch.column(0))
 
-        arrow = to_arrow_schema(kinds)
+    def decode_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            records = [r for content in batch.column(0).to_pylist() for r in (_split(content) if xcom else [content])]
-            columns = _decoded(items, records, codec, trimming)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+            for at, start, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for records in _records(at, start, size, big_endian):
+                    yield decoded(records)
+
+    if xcom:
+        return ranges(spark, path, big_endian).mapInArrow(decode_ranges, kinds)
+    if is_text:
+        raw = spark.read.text(path).select(F.col("value").cast("binary"))  # the bytes of a line, whatever their encoding
+    else:
+        raw = fixed(spark, path, layout.length)
+    return raw.mapInArrow(decode, kinds)
+
 
-    return raw.mapInArrow(decode, schema)
+def fixed(spark: SparkSession, path: str | list[str], length: int) -> DataFrame:
+    """Records of one length as binary values, read by Hadoop's splittable format without Python."""
+    at = path if isinstance(path, str) else ",".join(path)
+    records = spark._jsc.sc().binaryRecords(at, length, spark._jsc.hadoopConfiguration())
+    return DataFrame(spark._jsparkSession.createDataset(records, spark._jvm.org.apache.spark.sql.Encoders.BINARY()).toDF(), spark)
 
 
-def _split(content: bytes) -> Iterator[bytes]:
-    """Records that follow words of four bytes, the first two of which are the record's length, little-endian."""
-    at = 0
-    while at + 4 <= len(content):
-        size = int.from_bytes(content[at + 2 : at + 4], "little") or int.from_bytes(content[at : at + 2], "big")
-        yield content[at + 4 : at + 4 + size]
-        at += 4 + size
+def ranges(spark: SparkSession, path: str | list[str], big_endian: bool = False, size: int | None = None) -> DataFrame:
+    """Whole records of files with record headers: path, first byte and bytes of each range, dealt out evenly."""
+    size = size or RANGE
+    files = spark.read.format("binaryFile").load(path).select("path", "length")  # without their content
+    schema = "path string, start long, size long"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = list(_cuts(at, length, size, big_endian))
+                yield pa.RecordBatch.from_arrays([pa.array([at] * len(found)), pa.array([a for a, _ in found], pa.int64()), pa.array([b - a for a, b in found], pa.int64())], ["path", "start", "size"])
+
+    dealt = files.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(cut, schema)
+    return dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("path", "start"))
+
+
+def _open(path: str) -> pa.NativeFile:
+    local = urlparse(path).scheme in ("", "file")
+    system, at = (fs.LocalFileSystem(), urlparse(path).path) if local else fs.FileSystem.from_uri(path)
+    return system.open_input_file(at)
+
+
+def _length(header: bytes, at: int, path: str, big_endian: bool) -> int:
+    length, rest = (header[0] << 8 | header[1], header[2:4]) if big_endian else (header[3] << 8 | header[2], header[:2])
+    if len(header) < HEADER or any(rest) or not length:
+        raise ValueError(f"no record header at byte {at} of {path}: {header.hex()}")
+    return length
+
+
+def _cuts(path: str, length: int, size: int, big_endian: bool) -> Iterator[tuple[int, int]]:
+    """Beginnings and ends of ranges of whole records; headers are read from blocks, records between them are only stepped over."""
+    with _open(path) as file:
+        begin = at = base = 0
+        block = b""
+        while at < length:
+            if not base <= at <= base + len(block) - HEADER:
+                block, base = file.read_at(BLOCK, at), at
+            at += HEADER + _length(block[at - base : at - base + HEADER], at, path, big_endian)
+            if at > length:
+                raise ValueError(f"the last record of {path} is cut off")
+            if at - begin >= size:
+                yield begin, at
+                begin = at
+        if begin < length:
+            yield begin, length
+
+
+def _records(path: str, start: int, size: int, big_endian: bool) -> Iterator[pa.Array]:
+    """The records of a range, some at a time."""
+    with _open(path) as file:
+        at, rest = start, b""
+        while at < start + size or rest:
+            block = rest + file.read_at(min(BLOCK, start + size - at), at)
+            at += len(block) - len(rest)
+            found, k = [], 0
+            while k + HEADER <= len(block) and (end := k + HEADER + _length(block[k : k + HEADER], at, path, big_endian)) <= len(block):
+                found.append(block[k + HEADER : end])
+                k = end
+            rest = block[k:]
+            yield pa.array(found, pa.large_binary())

@@ -20,7 +20,7 @@ def parse(text: str, form: str | None = None) -> T.StructType:
     if form not in FORMS:
         raise ValueError(f"schema forms are {', '.join(FORMS)}, not {form}")
     if form == "copybook":
-        return T.StructType([T.StructField(i.name, i.type, True) for i in copybook.parse(text)])
+        return copybook.schema(copybook.parse(text))
     doc = json.loads(text)
     return T.StructType.fromJson(doc) if form == "struct" else from_avro(doc)
 

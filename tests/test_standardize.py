@@ -145,11 +145,12 @@ def test_copybook_clauses(spark, tmp_path):
     """
     (tmp_path / "r.txt").write_text("07abcd-12+3345x6\n08\n")
     out = rows(copybook.read(spark, str(tmp_path / "r.txt"), book, encoding="ascii", is_text=True))
-    assert out[0] == {"KEY": 7, "A": "ab", "B": "cd", "H": "abcd", "L": -12, "T": None, "C": [4, 5, None]}
+    assert out[0] == {"KEY": 7, "A": "ab", "B": "cd", "H": "abcd", "L": -12, "T": None, "C": [4, 5, None], "errCol": out[0]["errCol"]}
+    assert [(e["errCode"], e["errCol"], e["rawValues"]) for e in out[0]["errCol"]] == [("E00000", "T", ["+33"]), ("E00000", "C", ["x"])]
     assert out[1]["KEY"] == 8 and out[1]["C"] == [None] * 3
     (tmp_path / "s.txt").write_text("07abcd+1233-4567\n")
-    assert rows(copybook.read(spark, str(tmp_path / "s.txt"), book, encoding="ascii", is_text=True))[0] == {"KEY": 7, "A": "ab", "B": "cd", "H": "abcd", "L": 12, "T": -33, "C": [4, 5, 6]}
-    for wrong in ("05 A PIC X(1). 05 B REDEFINES Z PIC X.", "05 A OCCURS 2 TIMES. 10 B PIC X.", "05 A VALUE 3.", "A PIC X."):
+    assert rows(copybook.read(spark, str(tmp_path / "s.txt"), book, encoding="ascii", is_text=True))[0] == {"KEY": 7, "A": "ab", "B": "cd", "H": "abcd", "L": 12, "T": -33, "C": [4, 5, 6], "errCol": []}
+    for wrong in ("05 A PIC X(1). 05 B REDEFINES Z PIC X.", "05 A VALUE 3.", "A PIC X."):
         with pytest.raises(ValueError):
             copybook.parse(wrong)
 
