@@ -103,6 +103,43 @@ def _written(column: Column, kind: T.DataType, done: list[str], rest: list[str],
     return column.withField(f"`{name}`", _written(column.getField(known.name), known.dataType, [*done, known.name], deeper, value, bound))
 
 
+def write_together(schema: T.StructType, values: Mapping[str, Callable[[Reader], Column]]) -> dict[str, Column]:
+    """Root columns with values written at several paths, arrays and structs that paths share walked once; each path is read as it was before."""
+    out: dict[str, Column] = {}
+    for root in dict.fromkeys(p.split(".")[0].lower() for p in values):
+        below = {tuple(p.split(".")[1:]): v for p, v in values.items() if p.split(".")[0].lower() == root}
+        known = field(schema, root)
+        name = known.name if known else next(p.split(".")[0] for p in values if p.lower().startswith(root))
+        if () in below:
+            out[name] = below[()](reader({}))
+        elif known is None:
+            out[name] = _together(None, None, [name], below, {})
+        else:
+            out[name] = _together(F.col(f"`{known.name}`"), known.dataType, [name], below, {})
+    return out
+
+
+def _together(column: Column | None, kind: T.DataType | None, done: list[str], values: Mapping[tuple[str, ...], Callable[[Reader], Column]], bound: dict[str, Column]) -> Column:
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: _together(x, kind.elementType, done, values, {**bound, ".".join(done): x}))
+    if kind is not None and not isinstance(kind, T.StructType):
+        raise PathError(f"'{'.'.join(done)}' is {kind.simpleString()}, not a struct; nothing can be written into it")
+    fields: dict[str, Column] = {}
+    for name in dict.fromkeys(p[0].lower() for p in values):
+        below = {p[1:]: v for p, v in values.items() if p[0].lower() == name}
+        known = field(kind, name) if kind is not None else None
+        said = known.name if known else next(p[0] for p in values if p[0].lower() == name)
+        if () in below:
+            fields[said] = below[()](reader(bound))
+        else:
+            fields[said] = _together(column.getField(known.name) if known else None, known.dataType if known else None, [*done, said], below, bound)
+    if column is None:
+        return F.struct(*(v.alias(n) for n, v in fields.items()))
+    for name, value in fields.items():
+        column = column.withField(f"`{name}`", value)
+    return column
+
+
 def write_all(schema: T.StructType, root: str, values: Mapping[str, Column]) -> Column:
     """The root column with values written at several paths of structs below it (given without the root), each struct changed once."""
     known = field(schema, root)

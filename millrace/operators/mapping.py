@@ -1,14 +1,18 @@
 """Lookups of mapping rules in reference data.
 
-Keys and outputs at the root are a left join, broadcast while the table's measured size is within the limit. Where either is in an array,
-the row carries the part of the table that it may need as small maps and the lookup is an expression in the array, so arrays
-are neither exploded nor put together again:
+Keys and outputs at the root are a left join, broadcast while the table's measured size is within the limit. Beyond it one pass over the keys tells
+how many are null and which ones many rows share: those rows aren't shuffled (nulls find nothing, unless they may; the few rows of the table that are in demand
+are broadcast), the others are.
+
+Where keys or outputs are in an array, the row carries the part of the table that it may need as small maps and the lookup is an expression in the array, so
+arrays are neither exploded nor put together again. Consecutive rules on one array share a pass: their keys are gathered side by side and their outputs written
+together.
 
 * a table of at most ``MAP_ROWS`` rows travels as one broadcast row of ``BUCKETS`` maps, of which a key is looked up in one;
-* a larger one within the limit is broadcast once to each Python worker, which gives every row the entries of its own keys in Arrow batches. Only
-  the rows' keys go there, nothing is shuffled, and it works on streams;
-* of one beyond the limit each distinct set of keys gets its own entries by joins on the key and on the set. Rows without keys take no part, and
-  sets or keys that many rows share are left to adaptive skew joins. Such a table can't be used on a stream.
+* larger ones within the limit are broadcast once to each Python worker, which gives every row the entries of its own keys in Arrow batches, for all rules of
+  a pass at once. Only the rows' keys go there, nothing is shuffled, and it works on streams;
+* for one beyond the limit the rows are written once, with a number each; the numbers and their distinct keys alone meet the table in a join like the one at the
+  root, and the entries found come back by the number. Such a table can't be used on a stream.
 
 What is chosen from a table (by filter, keys and targets) is aggregated once and kept with the table, with its rows, bytes and repeated keys.
 """
@@ -27,6 +31,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import errors, paths
 from millrace.functions.paths import Reader
+from millrace.session import shared_path
 
 from .rules import Mapping, RuleError
 
@@ -34,6 +39,8 @@ from .rules import Mapping, RuleError
 MAP_ROWS, BUCKETS = 256, 64
 #: Bytes of a table that is broadcast.
 BROADCAST_BYTES = 10 << 20
+#: A key is in demand if this share of the rows has it, so there are no more such keys than its inverse; what the count of keys keeps track of.
+SHARE, TRACKED = 1 / 500, 10_000
 
 
 @dataclass
@@ -122,44 +129,108 @@ def check_default(expression: str, kind: T.DataType, rows: DataFrame) -> None:
         raise RuleError(f"the default {expression} is {found.simpleString()}, the target is {kind.simpleString()}")
 
 
+@dataclass
+class Lookup:
+    """A rule with its table."""
+
+    rule: Mapping
+    table: Table
+
+
+def nested(schema: T.StructType, rule: Mapping) -> bool:
+    """Whether a rule reads or writes within an array."""
+    return any(paths.arrays_of(schema, p) for p in [*rule.inputs, *rule.outputs])
+
+
+def together(schema: T.StructType, lookups: list[Lookup], rule: Mapping) -> bool:
+    """Whether a rule can share the pass of some others: all within the same arrays, and none of what it reads or writes is written by them."""
+    around = paths.arrays_of(schema, rule.output)
+    low = [p.lower() for p in [*rule.inputs, *rule.outputs]]
+    written = [o.lower() for x in lookups for o in x.rule.outputs]
+    apart = all(p != w and not p.startswith(f"{w}.") and not w.startswith(f"{p}.") for p in low for w in written)
+    return apart and bool(around) and all(paths.arrays_of(schema, x.rule.output) == around for x in lookups)
+
+
 def apply(df: DataFrame, rule: Mapping, table: Table, broadcast_bytes: int = BROADCAST_BYTES, map_rows: int = MAP_ROWS) -> DataFrame:
     """``df`` with the outputs of the rule and its errors."""
+    return apply_all(df, [Lookup(rule, table)], broadcast_bytes, map_rows)
+
+
+def apply_all(df: DataFrame, lookups: list[Lookup], broadcast_bytes: int = BROADCAST_BYTES, map_rows: int = MAP_ROWS) -> DataFrame:
+    """``df`` with the outputs of rules that may share a pass, and their errors."""
     schema = df.schema
-    kinds = [paths.type_at(table.rows.schema, t) for t in rule.targets.values()]
-    for target, kind in zip(rule.targets.values(), kinds, strict=True):
-        if kind is not None and (default := table.defaults.get(target, table.defaults.get("*"))):
-            check_default(default, kind, table.rows)
-    chosen = _selected(rule, table)
-    nested = any(paths.arrays_of(schema, p) for p in [*rule.inputs, *rule.outputs])
-    if not nested:
-        return _joined(df, rule, table, chosen, kinds, broadcast_bytes)
-    return _looked_up(df, rule, table, chosen, kinds, broadcast_bytes, map_rows)
+    for x in lookups:
+        for target in x.rule.targets.values():
+            kind = paths.type_at(x.table.rows.schema, target)
+            if kind is not None and (default := x.table.defaults.get(target, x.table.defaults.get("*"))):
+                check_default(default, kind, x.table.rows)
+    chosen = [_selected(x.rule, x.table) for x in lookups]
+    if len(lookups) == 1 and not nested(schema, lookups[0].rule):
+        return _joined(df, lookups[0].rule, lookups[0].table, chosen[0], broadcast_bytes)
+    return _looked_up(df, lookups, chosen, broadcast_bytes, map_rows)
+
+
+def _kinds(rule: Mapping, table: Table) -> list[T.DataType]:
+    return [paths.type_at(table.rows.schema, t) for t in rule.targets.values()]
 
 
 def _errors(rule: Mapping, keys: list[Column]) -> Column:
     return errors.error(errors.CONF_MAP, ",".join(rule.outputs), keys, rule.keys)
 
 
-def _joined(df: DataFrame, rule: Mapping, table: Table, chosen: Chosen, kinds: list[T.DataType], broadcast_bytes: int) -> DataFrame:
+def _joined(df: DataFrame, rule: Mapping, table: Table, chosen: Chosen, broadcast_bytes: int) -> DataFrame:
     """All keys and outputs are outside arrays."""
-    read = paths.reader({})
-    right = chosen.rows.select(*(F.col(f"k{i}").alias(f"__k{i}") for i in range(len(rule.keys))), F.col("v").alias("__v"))
+    read, kinds = paths.reader({}), _kinds(rule, table)
+    names = [f"__k{i}" for i in range(len(rule.keys))]
+    right = chosen.rows.select(*(F.col(f"k{i}").alias(n) for i, n in enumerate(names)), F.col("v").alias("__v"))
+    keys = [read(column).cast(chosen.rows.schema[f"k{i}"].dataType) for i, (_, column) in enumerate(rule.keys)]
     if chosen.size <= broadcast_bytes:
-        right = F.broadcast(right)
-    condition = F.lit(True)
-    for i, (_, column) in enumerate(rule.keys):
-        mine, theirs = read(column).cast(chosen.rows.schema[f"k{i}"].dataType), F.col(f"__k{i}")
-        condition = condition & (mine.eqNullSafe(theirs) if rule.null_safe else mine == theirs)
-    found = df.join(right, condition, "left")
+        found = df.join(F.broadcast(right), _matching(keys, names, rule.null_safe), "left")
+    else:
+        found = spread_join(df, right, keys, names, "__v", rule.null_safe)
     missing = F.col("__v").isNull()
-    keys = [read(c) for _, c in rule.keys]
     columns: dict[str, Column] = {}
     for i, (output, target) in enumerate(rule.targets.items()):
         value = F.when(missing, _default(rule, table, target, kinds[i])).otherwise(F.col("__v").getField(f"t{i}"))
         root = output.split(".")[0]
         columns[root] = paths.write(df.schema, output, lambda _, value=value: value, columns.get(root))
-    columns[errors.ERRORS] = F.when(missing, errors.joined(F.col(errors.ERRORS), F.array(_errors(rule, keys)))).otherwise(F.col(errors.ERRORS))
-    return found.withColumns(columns).drop("__v", *(f"__k{i}" for i in range(len(rule.keys))))
+    raw = [read(c) for _, c in rule.keys]
+    columns[errors.ERRORS] = F.when(missing, errors.joined(F.col(errors.ERRORS), F.array(_errors(rule, raw)))).otherwise(F.col(errors.ERRORS))
+    return found.withColumns(columns).drop("__v", *names)
+
+
+def _matching(keys: list[Column], names: list[str], null_safe: bool) -> Column:
+    condition = F.lit(True)
+    for mine, name in zip(keys, names, strict=True):
+        condition = condition & (mine.eqNullSafe(F.col(name)) if null_safe else mine == F.col(name))
+    return condition
+
+
+def spread_join(df: DataFrame, right: DataFrame, keys: list[Column], names: list[str], value: str, null_safe: bool = False, share: float = SHARE) -> DataFrame:
+    """Left join of ``df`` by ``keys`` to a large ``right`` with one row for each key (its columns ``names``), however the rows are dealt to keys.
+
+    A pass over the keys finds those that at least a ``share`` of the rows has. Rows of such keys, and rows whose keys are null (they find nothing), stay where
+    they are: the former meet a broadcast of at most 1 / share rows. If these are few, all is one shuffle join.
+    """
+    condition = _matching(keys, names, null_safe)
+    if df.isStreaming or not keys:
+        return df.join(right, condition, "left")
+    null = F.lit(False)
+    for key in () if null_safe else keys:
+        null = null | key.isNull()
+    of = F.xxhash64(*keys)
+    most = max(2, int(1 / share))
+    seen = df.select(of.alias("h"), null.alias("none")).agg(
+        F.count("*").alias("rows"), F.count_if("none").alias("none"), F.expr(f"approx_top_k(IF(none, NULL, h), {most}, {TRACKED})").alias("top")
+    ).first()
+    hot = [t["item"] for t in seen["top"] if t["item"] is not None and t["count"] >= share * seen["rows"]]
+    unshuffled = seen["none"] + sum(t["count"] for t in seen["top"] if t["item"] in hot)
+    if unshuffled < share * max(1, seen["rows"]):
+        return df.join(right, condition, "left")
+    there = F.xxhash64(*(F.col(n) for n in names))
+    demanded = F.broadcast(right.where(there.isin(hot)))
+    stays = null | of.isin(hot)
+    return df.where(stays).join(demanded, condition, "left").unionByName(df.where(~stays).join(right.where(~there.isin(hot)), condition, "left"))
 
 
 def _reachable(rule: Mapping, schema: T.StructType) -> bool:
@@ -168,76 +239,105 @@ def _reachable(rule: Mapping, schema: T.StructType) -> bool:
     return all(set(paths.arrays_of(schema, p)) <= around for p in rule.inputs)
 
 
-def _looked_up(df: DataFrame, rule: Mapping, table: Table, chosen: Chosen, kinds: list[T.DataType], broadcast_bytes: int, map_rows: int) -> DataFrame:
-    schema = df.schema
-    if not _reachable(rule, schema):
-        return _never_found(df, rule, table, kinds)
-    names, rows = [f"k{i}" for i in range(len(rule.keys))], chosen.rows
-    key_kind = T.StructType([T.StructField(n, rows.schema[n].dataType) for n in names]) if names else T.StructType([T.StructField("k", T.IntegerType())])
-    entries = rows.select(F.struct(*(names or [F.lit(0).alias("k")])).cast(key_kind.simpleString()).alias("key"), "v")
-    map_kind = T.MapType(key_kind, rows.schema["v"].dataType)
+class _InArrays:
+    """A rule's lookup in the maps that a row carries."""
 
-    def key(read: Reader) -> Column:
-        columns = [read(c).cast(rows.schema[f"k{i}"].dataType).alias(f"k{i}") for i, (_, c) in enumerate(rule.keys)]
-        return F.struct(*columns).cast(key_kind.simpleString()) if columns else F.struct(F.lit(0).alias("k"))
+    def __init__(self, number: int, schema: T.StructType, lookup: Lookup, chosen: Chosen):
+        self.rule, self.table, self.chosen, self.schema = lookup.rule, lookup.table, chosen, schema
+        self.kinds = _kinds(self.rule, self.table)
+        self.column = f"__map{number}"
+        self.reachable = _reachable(self.rule, schema)
+        names = [f"k{i}" for i in range(len(self.rule.keys))]
+        kinds = chosen.rows.schema
+        self.key_kind = T.StructType([T.StructField(n, kinds[n].dataType) for n in names]) if names else T.StructType([T.StructField("k", T.IntegerType())])
+        self.entries = chosen.rows.select(F.struct(*(names or [F.lit(0).alias("k")])).cast(self.key_kind.simpleString()).alias("key"), "v")
+        self.map_kind = T.MapType(self.key_kind, kinds["v"].dataType)
+        self.at: Callable[[Reader], Column] = lambda read: F.col(self.column)
 
-    def wanted() -> Column:
-        return F.array_sort(F.array_distinct(paths.gather(schema, rule.output, key, F.array().cast(T.ArrayType(key_kind).simpleString()))))
+    def key(self, read: Reader) -> Column:
+        columns = [read(c).cast(self.chosen.rows.schema[f"k{i}"].dataType).alias(f"k{i}") for i, (_, c) in enumerate(self.rule.keys)]
+        return F.struct(*columns).cast(self.key_kind.simpleString()) if columns else F.struct(F.lit(0).alias("k"))
 
-    if chosen.count <= map_rows:
+    def wanted(self) -> Column:
+        """The distinct keys of a row."""
+        return F.array_distinct(paths.gather(self.schema, self.rule.output, self.key, F.array().cast(T.ArrayType(self.key_kind).simpleString())))
+
+    def dealt(self) -> DataFrame:
+        """One row with the whole table as maps, of which a key is in one."""
         dealt = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.map_from_entries(F.filter("all", lambda e: _bucket(e["key"]) == b)))
-        carried = df.crossJoin(F.broadcast(entries.agg(F.collect_list(F.struct("key", "v")).alias("all")).select(dealt.alias("__map"))))
-        at = lambda read: F.get(F.col("__map"), _bucket(key(read)).cast("int"))
-    elif df.isStreaming or chosen.size <= broadcast_bytes:
-        if chosen.size > broadcast_bytes:
-            raise RuleError(f"rule {rule.order}: {rule.table} takes {chosen.size} bytes, too many for a lookup in arrays of a stream")
-        carried = df.withColumn("__map", _own_entries(entries, map_kind)(wanted()))
-        at = lambda read: F.col("__map")
-    else:
-        carried = _by_sets(df.withColumn("__keys", wanted()), entries, map_kind)
-        at = lambda read: F.col("__map")
+        self.at = lambda read: F.get(F.col(self.column), _bucket(self.key(read)).cast("int"))
+        return self.entries.agg(F.collect_list(F.struct("key", "v")).alias("all")).select(dealt.alias(self.column))
 
-    def hit(read: Reader) -> Column:
+    def hit(self, read: Reader) -> Column:
         """The table's values for a key, null where it has none."""
-        value = F.try_element_at(at(read), key(read))
-        for _, c in () if rule.null_safe else rule.keys:
+        if not self.reachable:  # a key in an array that isn't around the output has no single value
+            return F.lit(None).cast(self.map_kind.valueType)
+        value = F.try_element_at(self.at(read), self.key(read))
+        for _, c in () if self.rule.null_safe else self.rule.keys:
             value = F.when(read(c).isNotNull(), value)
         return value
 
-    columns: dict[str, Column] = {}
-    for i, (output, target) in enumerate(rule.targets.items()):
-        def value(read: Reader, i: int = i, target: str = target) -> Column:
-            default = _default(rule, table, target, kinds[i])
-            if _has_default(table, target):
-                return F.when(hit(read).isNull(), default).otherwise(hit(read).getField(f"t{i}"))
-            return hit(read).getField(f"t{i}")
-
-        root = output.split(".")[0]
-        columns[root] = paths.write(schema, output, value, columns.get(root))
-    problems = paths.gather(schema, rule.output, lambda read: F.when(hit(read).isNull(), _errors(rule, [read(c) for _, c in rule.keys])), errors.none())
-    columns[errors.ERRORS] = errors.joined(F.col(errors.ERRORS), problems)
-    return carried.withColumns(columns).drop("__map")
+    def outputs(self) -> dict[str, Callable[[Reader], Column]]:
+        def value(read: Reader, i: int, target: str) -> Column:
+            if _has_default(self.table, target):
+                return F.when(self.hit(read).isNull(), _default(self.rule, self.table, target, self.kinds[i])).otherwise(self.hit(read).getField(f"t{i}"))
+            return self.hit(read).getField(f"t{i}")
+
+        return {output: lambda read, i=i, target=target: value(read, i, target) for i, (output, target) in enumerate(self.rule.targets.items())}
+
+    def problems(self) -> Column:
+        return paths.gather(self.schema, self.rule.output, lambda read: F.when(self.hit(read).isNull(), _errors(self.rule, [read(c) for _, c in self.rule.keys])), errors.none())
+
+
+def _looked_up(df: DataFrame, lookups: list[Lookup], chosen: list[Chosen], broadcast_bytes: int, map_rows: int) -> DataFrame:
+    steps = [_InArrays(i, df.schema, x, c) for i, (x, c) in enumerate(zip(lookups, chosen, strict=True))]
+    carried, known = df, [s for s in steps if s.reachable]
+    large = [s for s in known if s.chosen.count > map_rows and s.chosen.size > broadcast_bytes]
+    if large and df.isStreaming:
+        raise RuleError(f"rule {large[0].rule.order}: {large[0].rule.table} takes {large[0].chosen.size} bytes, too many for a lookup in arrays of a stream")
+    if large:
+        carried = _by_rows(carried, large)
+    if sent := [s for s in known if s not in large and s.chosen.count > map_rows]:
+        own = _own_entries([s.entries for s in sent], [s.map_kind for s in sent])(*(s.wanted() for s in sent))
+        carried = carried.withColumn("__maps", own)
+        for i, s in enumerate(sent):
+            s.at = lambda read, i=i: F.col("__maps").getField(f"m{i}")
+    for s in known:
+        if s.chosen.count <= map_rows:
+            carried = carried.crossJoin(F.broadcast(s.dealt()))
+    columns = paths.write_together(df.schema, {o: v for s in steps for o, v in s.outputs().items()})
+    columns[errors.ERRORS] = errors.joined(F.col(errors.ERRORS), *(s.problems() for s in steps))
+    return carried.withColumns(columns).drop("__maps", *(s.column for s in steps))
 
 
 def _bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
 
 
-def _own_entries(entries: DataFrame, kind: T.MapType) -> Callable[[Column], Column]:
-    """A function of an array of keys that gives a map of the table's entries for them. The table's size was checked before."""
-    sent = entries.sparkSession.sparkContext.broadcast(entries.toArrow())
+def _own_entries(entries: list[DataFrame], kinds: list[T.MapType]) -> Callable[..., Column]:
+    """A function of arrays of keys, one for each table, that gives a struct of maps of the tables' entries for them. Their sizes were checked before."""
+    sent = [e.sparkSession.sparkContext.broadcast(e.toArrow()) for e in entries]
+
+    def own(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        tables = [[b.value[name].combine_chunks() for name in ("key", "v")] for b in sent]
+        places = [_finder(known) for known, _ in tables]
+        for columns in batches:
+            maps = []
+            for keys, place, (known, found) in zip(columns if isinstance(columns, tuple) else (columns,), places, tables, strict=True):
+                sizes = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)
+                at = place(keys.flatten())
+                hits = np.bincount(np.repeat(np.arange(len(keys)), sizes)[at >= 0], minlength=len(keys))
+                ends, taken = np.concatenate(([0], np.cumsum(hits))).astype(np.int32), pa.array(at[at >= 0])
+                maps.append(pa.MapArray.from_arrays(pa.array(ends), known.take(taken), found.take(taken)))
+            yield pa.StructArray.from_arrays(maps, [f"m{i}" for i in range(len(maps))])
 
-    def own(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, found = (sent.value[name].combine_chunks() for name in ("key", "v"))
-        places = _finder(known)
-        for keys in batches:
-            sizes = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False)
-            at = places(keys.flatten())
-            hits = np.bincount(np.repeat(np.arange(len(keys)), sizes)[at >= 0], minlength=len(keys))
-            ends, taken = np.concatenate(([0], np.cumsum(hits))).astype(np.int32), pa.array(at[at >= 0])
-            yield pa.MapArray.from_arrays(pa.array(ends), known.take(taken), found.take(taken))
+    def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return own(batches)
 
-    return F.arrow_udf(own, kind)
+    def many(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        return own(batches)
+
+    return F.arrow_udf(one if len(entries) == 1 else many, T.StructType([T.StructField(f"m{i}", k) for i, k in enumerate(kinds)]))
 
 
 def _finder(known: pa.StructArray) -> Callable[[pa.StructArray], np.ndarray]:
@@ -267,21 +367,20 @@ def _finder(known: pa.StructArray) -> Callable[[pa.StructArray], np.ndarray]:
     return find
 
 
-def _by_sets(keyed: DataFrame, entries: DataFrame, kind: T.MapType) -> DataFrame:
-    """Each distinct set of keys gets its own entries; rows without keys need none."""
-    some, none = keyed.where(F.size("__keys") > 0), keyed.where(F.size("__keys") <= 0)
-    pairs = some.select("__keys").distinct().select("__keys", F.explode("__keys").alias("__key")).join(entries, F.col("__key").eqNullSafe(F.col("key")))
-    maps = pairs.groupBy(F.col("__keys").alias("__set")).agg(F.map_from_entries(F.collect_list(F.struct("key", "v"))).alias("__map"))
-    joined = some.join(maps, F.col("__keys") == F.col("__set"), "left").drop("__set")
-    return joined.unionByName(none.withColumn("__map", F.lit(None).cast(kind))).drop("__keys")
-
-
-def _never_found(df: DataFrame, rule: Mapping, table: Table, kinds: list[T.DataType]) -> DataFrame:
-    """A key in an array that isn't around the output has no single value: no row is found."""
-    columns: dict[str, Column] = {}
-    for i, (output, target) in enumerate(rule.targets.items()):
-        root = output.split(".")[0]
-        columns[root] = paths.write(df.schema, output, lambda _, i=i, target=target: _default(rule, table, target, kinds[i]), columns.get(root))
-    problems = paths.gather(df.schema, rule.output, lambda read: _errors(rule, [read(c) for _, c in rule.keys]), errors.none())
-    columns[errors.ERRORS] = errors.joined(F.col(errors.ERRORS), problems)
-    return df.withColumns(columns)
+def _by_rows(df: DataFrame, steps: list[_InArrays]) -> DataFrame:
+    """Each row gets its own entries of tables of any size. Rows are written with a number, so that they are computed once and keep it."""
+    spark, nullable = df.sparkSession, df.schema[errors.ERRORS].nullable
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
+    numbered = df.drop(*void).withColumns({"__row": F.monotonically_increasing_id(), **{f"__keys{i}": s.wanted() for i, s in enumerate(steps)}})
+    numbered.write.parquet(at := shared_path(spark, "rows"))
+    rows = spark.read.schema(numbered.schema).parquet(at)
+    out = rows.drop(*(f"__keys{i}" for i in range(len(steps))))
+    for i, s in enumerate(steps):
+        pairs = rows.select("__row", F.explode(f"__keys{i}").alias("key"))
+        names = [f.name for f in s.key_kind.fields]
+        right = s.entries.select(*(F.col("key").getField(n).alias(f"__{n}") for n in names), "v")
+        found = spread_join(pairs, right, [F.col("key").getField(n) for n in names], [f"__{n}" for n in names], "v", True).where(F.col("v").isNotNull())
+        maps = found.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("key", "v"))).alias(s.column))
+        out = out.join(maps, "__row", "left")
+    out = errors.with_nullability(out.drop("__row"), nullable)
+    return out.select(*(F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns), *(s.column for s in steps))

@@ -151,8 +151,17 @@ def conform(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, lookups.T
     check_originals(df.schema, steps, options.allow_original_changes)
     with lenient_casts(spark):
         state = _Steps(errors.with_errors(df, options.errors_nullable))
+        waiting: list[lookups.Lookup] = []  # mapping rules that share a pass
+
+        def look_up() -> None:
+            if waiting:
+                state.df = lookups.apply_all(state.df, waiting, options.broadcast_bytes, options.map_rows)
+                waiting.clear()
+
         for rule in steps:
             watched = rule.checkpoint and options.on_checkpoint is not None
+            if waiting and not (isinstance(rule, MappingRule) and not watched and lookups.together(state.df.schema, waiting, rule)):
+                look_up()
             if isinstance(rule, MappingRule | Drop | Custom) or watched:
                 state.settle()
             if watched:
@@ -161,7 +170,9 @@ def conform(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, lookups.T
                 rule.check(state.df.schema)
                 if rule.table not in (tables or {}):
                     raise RuleError(f"rule {rule.order}: there is no mapping table '{rule.table}'")
-                state.df = lookups.apply(state.df, rule, tables[rule.table], options.broadcast_bytes, options.map_rows)
+                waiting.append(lookups.Lookup(rule, tables[rule.table]))
+                if watched or not lookups.nested(state.df.schema, rule):
+                    look_up()
             elif isinstance(rule, Drop):
                 state.df = _drop(state.df, rule)
             elif isinstance(rule, Custom):
@@ -170,6 +181,7 @@ def conform(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, lookups.T
                 _add(state, rule, options)
             if watched:
                 state.df = _measured(options, f"{rule.order} {rule.kind} after", state.settle())
+        look_up()
         return errors.with_nullability(state.settle(), options.errors_nullable)
 
 
