@@ -112,16 +112,41 @@ def spans_text(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it as many as it takes that no column of ``docs`` is called so."""
+    known = {c.lower() for c in docs.columns}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
+#: Steps of a plan that keep a row of a file one row.
+_ONE_TO_ONE = {"LogicalRelation", "Relation", "Filter", "Project", "SubqueryAlias"}
+
+
+def _rows_of_files(docs: DataFrame) -> bool:
+    """Whether each row is one of a file, chosen and projected but not repeated or put together."""
+    nodes = [docs._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() not in _ONE_TO_ONE:
+            return False
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+    return True
+
+
 def numbered(docs: DataFrame, out: str) -> DataFrame:
     """``docs`` with a column that tells each row from all others, the same however often it is read.
 
-    For rows of Parquet files that is the file (by hash of its path) and the place in it. Others are written once, with a number.
+    For rows of Parquet files, if the plan only chooses and projects them, that is the file (by hash of its path) and the place in it. Others are written
+    once, with a number.
     """
-    if "_metadata" not in docs.columns:
+    if "_metadata" not in docs.columns and _rows_of_files(docs):
         try:
             return docs.withColumn(out, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")))
         except AnalysisException:
-            pass  # not files, or such that have no places
+            pass  # files that have no places
     docs.withColumn(out, F.monotonically_increasing_id()).write.parquet(at := work_path(docs.sparkSession, "numbered"))
     return docs.sparkSession.read.parquet(at)
 

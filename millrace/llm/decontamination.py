@@ -12,7 +12,8 @@ the next one; a document's hits of all blocks then meet in a grouped aggregation
 
 Defined results: null and empty texts have no words and are never contaminated; items without words are ignored; rows
 sharing an item_id count as one item, a null item_id counts as the empty string; documents are judged one by one, so
-repeated rows repeat their result; without items nothing is hit; an output name that the input already has is replaced.
+repeated rows repeat their result, also those that an explode or a join made; long texts are walked whole; without items nothing is hit; an output name that the
+input already has is replaced, other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import numbered, remove, work_path
+from ._common import free, numbered, remove, work_path
 
 #: Words of the original text: as of the normal one, with A-Z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -187,7 +188,7 @@ def _write_hits(rows: DataFrame, pairs: list[tuple[str, str]], at: str) -> None:
 
 def _in_blocks(docs: DataFrame, pairs: DataFrame, blocks: int, text: str, out: str) -> DataFrame:
     """All documents with the results of automata that are scanned for one after another; words that several hit count once."""
-    spark, row, found = docs.sparkSession, f"{out}__row", f"{out}__hits"
+    spark, row, found = docs.sparkSession, free(docs, f"{out}__row"), free(docs, f"{out}__hits")
     rows, at = numbered(docs, row), work_path(docs.sparkSession, "hits")
     own = F.pmod(F.xxhash64("window", "item"), F.lit(blocks))
     for block in range(blocks):

@@ -10,7 +10,7 @@ Grouped sizes and ids are aggregated before they are shuffled. Groups of a thous
 broadcast, of which there can be a thousand at most, so a text that fills a third of the rows loads no single task.
 
 Defined results: a null text counts as empty; empty texts are equal to each other; of equal ids with equal texts (repeated
-rows) one row has ``kept`` true; a null id sorts before every other id; an empty table gives an empty table; other columns are left out.
+rows) one row has ``kept`` true; a null id sorts before every other id; ids are of any type that can be sorted, the same one in all batches of an index; an empty table gives an empty table; other columns are left out.
 """
 
 from __future__ import annotations
@@ -34,18 +34,35 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 class DigestIndex:
     """A bucketed, sorted digest table below ``path``; opened again from the same path in any later session."""
 
-    COLUMNS, LAYOUT, BUCKETS = "digest BINARY, keep_id BIGINT, batch STRING", "_index.json", 64
+    LAYOUT, BUCKETS = "_index.json", 64
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
-        known = read_text(spark, f"{path}/{self.LAYOUT}")
-        there = json.loads(known)["buckets"] if known else None
+        known = json.loads(read_text(spark, f"{path}/{self.LAYOUT}") or "{}")
+        there = known.get("buckets")
         if there and buckets not in (None, there):
             raise ValueError(f"the index in {path} has {there} buckets, not {buckets}")
-        self.spark, self.path, self.buckets = spark, path, there or buckets or self.BUCKETS
+        self.spark, self.path, self.buckets, self.id_type = spark, path, there or buckets or self.BUCKETS, known.get("id")
         self.table = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
         if not there:
-            write_text(spark, f"{path}/{self.LAYOUT}", json.dumps({"buckets": self.buckets}))
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({self.COLUMNS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+            self._describe()
+        if self.id_type:
+            self._create()
+
+    def _describe(self) -> None:
+        write_text(self.spark, f"{self.path}/{self.LAYOUT}", json.dumps({"buckets": self.buckets, "id": self.id_type}))
+
+    def _create(self) -> None:
+        columns = f"digest BINARY, keep_id {self.id_type}, batch STRING"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
+    def open(self, id_type: str) -> None:
+        """Take ids of a type: that of the first batch, which all later ones must have."""
+        if self.id_type not in (None, id_type):
+            raise ValueError(f"the index in {self.path} holds ids of type {self.id_type}, not {id_type}")
+        if not self.id_type:
+            self.id_type = id_type
+            self._describe()
+            self._create()
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
@@ -76,6 +93,7 @@ def ingest(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str =
     last batch has all others and rows without id. Each batch is deduplicated against what the ones before left in the index.
     """
     batch = batch or uuid.uuid4().hex
+    index.open(docs.schema[key].dataType.simpleString())
     rows, left = cut(digests(docs, key, text)), F.lit(True)
     for n, bound in enumerate([*bounds, None]):
         own = F.lit(True) if bound is None else F.coalesce(F.col("doc_id") >= F.lit(bound), F.lit(False))

@@ -13,11 +13,12 @@ The three latter come from grouped aggregations over all rows, of what the text
 their rows, and domains to their hosts, with heavy ones broadcast, so a host may hold any share of the rows and a domain of the hosts. A domain is the
 last two labels of a host, or three where the last two are a country's and a short one of its own (``co.uk``).
 
-Every declared language is counted over all rows. Beyond the ``LANGUAGES`` most frequent ones the others share one model, REST; a
-row that REST or nothing explains is in the language that it declares, if this has no model of its own.
+Every declared language is counted over all rows and gets a model. Only beyond the ``LANGUAGES`` most frequent ones, whose models take 262 MB, the others share
+one, REST; a row that REST or nothing explains is in the language that it declares, if this has no model of its own.
 
 Defined results: a text without trigrams (null, empty, under three bytes) is judged by the other evidence, counts in no share and has a null text_lang; without any evidence the prior decides; a null host,
-suffix or declared language gives no evidence; languages named in other cases or with a region (``EN-us``) count as the language;
+suffix or declared language gives no evidence; languages named in other cases or with a region (``EN-us``) count as the language, names that
+aren't codes of two or three letters (``english``) as none; long texts are read whole;
 repeated rows repeat their result; an empty table gives an empty table. A row is accepted when the most likely
 language isn't "und" and has at least ``ACCEPT`` of the probability.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from ._common import cut, join_groups
 
 #: Labelled rows that the text model is fitted on, about, dealt evenly to labels; the LANGUAGES most frequent have models, the rest share REST.
-SAMPLE, LANGUAGES, REST = 8000, 64, "other"
+SAMPLE, LANGUAGES, REST = 8000, 1000, "other"
 #: Trigram classes, smoothing of their counts, and the part of a text's log-likelihood that counts.
 CLASSES, ALPHA, TEMPER = 1 << 16, 0.1, 1 / 3
 #: Share of a language's trigrams that may be anything, as names, numbers and keys are: a text is "und" only if nearly all of it is.
@@ -172,9 +173,8 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     def logs(values) -> Column:
         return F.array(*(F.lit(float(np.log(v))) for v in values))
 
-    declared_log = F.lit(None).cast("array<double>")
-    for name in sorted(said):
-        declared_log = F.when(F.col("said") == name, logs([says(name, i) for i in range(k)])).otherwise(declared_log)
+    spoken = [(name, np.log([says(name, i) for i in range(k)]).tolist()) for name in sorted(said)]  # one row for each language
+    declared_log = F.broadcast(spark.createDataFrame(spoken, "said string, declared_log array<double>"))
 
     none = logs([1.0] * k)
     hosts = _shares(rows.where("host IS NOT NULL"), ["host", "domain"], k)
@@ -202,7 +202,8 @@ def fuse(evidence: DataFrame, model: TextModel) -> DataFrame:
     suffix_logs = cut(suffixes.select("suffix", "size", F.when(F.col("rows") > 0, F.array(*lift)).otherwise(none).alias("suffix_log")))
     placed = _with(placed, suffix_logs, "suffix", "size", none, "suffix_log")
 
-    summed = F.zip_with(F.zip_with("text_log", F.coalesce(declared_log, none), lambda a, b: a + b), F.zip_with("host_log", "suffix_log", lambda a, b: a + b), lambda a, b: a + b)
+    placed = placed.join(declared_log, "said", "left")
+    summed = F.zip_with(F.zip_with("text_log", F.coalesce("declared_log", none), lambda a, b: a + b), F.zip_with("host_log", "suffix_log", lambda a, b: a + b), lambda a, b: a + b)
     judged = placed.withColumn("sum", summed).withColumn("top", F.array_max("sum"))
     share = F.transform("sum", lambda x: F.exp(x - F.col("top")))
     whole = F.aggregate(share, F.lit(0.0), lambda a, x: a + x)

@@ -8,16 +8,17 @@ served at the cut gives the words that it has been served by then, later ones gi
 
 Targets are the weighted shares of ``share`` times all words; none exceeds ``repeats`` times its source's words, and
 what it would have had goes to the others by weight. A running sum over sources in order of saturation finds the level
-at which this holds for all (one row per source; documents never meet in one task). All sources are served in proportion to their
+at which this holds for all (one row per source, sorted in one task, which holds for some tens of millions of sources; documents never meet in one task). All sources are served in proportion to their
 targets, so each gets its target times the virtual time of the cut: 1, and as much more as the copies in service take of the budget.
 
 Cumulative words come from running sums over prefixes of the shuffle key, a few digits at a time, each within the prefix before, so
 a source that holds most documents is spread over many tasks and no task sees more than a few thousand prefixes. The shuffle key is a
-hash of the id and the text, so rows that share an id or have none are spread as well.
+hash of the id and the text, so rows that share an id or have none are spread as well; rows that are equal in both and many (``CROWD`` and a thousandth of all rows
+at least, found by a sketch of the keys' counts) get a key of their own each, from their place in the table that the sizes are kept in.
 
 Defined results: null and empty texts have size 0 and take nothing; a null source is a source of its own, after all others;
 repeated rows each have a place in the queue; a null doc_id counts as an empty one in the key; rows equal in all of (source, doc_id,
-text) are interchangeable; an empty table gives an empty table; other columns are left out.
+text) are interchangeable; long texts are counted whole; an empty table gives an empty table; other columns are left out.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import cut, words_of
+from ._common import HEAVY, cut, words_of
 
 WEIGHTS = (5, 2, 1)
 #: Digits of the shuffle key that are summed over at once.
 STEP = 3
+#: Equal rows that are spread, at least, and what the sketch keeps track of.
+CROWD, TRACKED = 1000, 10_000
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeats: int = 2) -> DataFrame:
@@ -106,7 +109,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     digits = digits or max(1, math.ceil(math.log(max(docs.count(), 1) / 2000, 16)))
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit("")))))
     sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), words_of(F.col(text)).alias("size"), order.alias("place"))
-    sized = cut(sized).withColumn("bin", F.substring("place", 1, digits))
+    sized = _spread(cut(sized)).withColumn("bin", F.substring("place", 1, digits))
     starts = cut(_running(sized, digits))
     sources = starts.groupBy(F.col("s").alias("source")).agg(F.max("source_size").alias("source_size"))
     goals = targets(sources, weights, share, repeats).select(F.col("source").alias("gs"), "target")
@@ -122,6 +125,17 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     return queued.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), F.when(F.col("target") > 0, finish / F.col("target")).alias("virtual_finish"))
 
 
+def _spread(sized: DataFrame) -> DataFrame:
+    """Sizes with a shuffle key of its own for each row of a crowd of equal ones. ``sized`` is a table that is kept, so a row's number stays."""
+    of = F.xxhash64("place")
+    seen = sized.agg(F.count("*").alias("rows"), F.expr(f"approx_top_k(xxhash64(place), {HEAVY}, {TRACKED})").alias("top")).first()
+    crowds = [t["item"] for t in seen["top"] or () if t["count"] >= max(CROWD, seen["rows"] // HEAVY)]
+    if not crowds:
+        return sized
+    own = F.md5(F.concat("place", F.lit(":"), F.monotonically_increasing_id().cast("string")))
+    return sized.withColumn("place", F.when(of.isin(crowds), own).otherwise(F.col("place")))
+
+
 def copies(mixed: DataFrame) -> F.Column:
     """How often a document is emitted: whole copies, and the one that the budget cuts where it keeps at least half of it."""
     return F.when(F.col("size") > 0, F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2))).otherwise(F.lit(0)).cast("int")

@@ -333,8 +333,12 @@ def test_more_languages_than_models(spark):
     codes = [a + b for a in "abcdefgh" for b in "qrstuvwxyz"]
     data = [(i * 3 + n, f"{chr(0x4E00 + 40 * i)}{chr(0x4E01 + 40 * i)}{chr(0x4E02 + 40 * i)} " * 20, k, "s") for i, k in enumerate(codes) for n in range(3)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
-    model = language_id.fit(df)
-    assert len(model.languages) == language_id.LANGUAGES + 1
+    every = language_id.fit(df)
+    assert every.languages == sorted(codes)
+    silent = df.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.col("lang")))  # named by their texts alone
+    assert [(r.id, r.lang) for r in language_id.fuse(language_id.document_evidence(silent), every).where("accepted").orderBy("id").collect()] == [(i, k) for i, _, k, _ in data]
+    model = language_id.fit(df, most=64)
+    assert len(model.languages) == 65
     assert [(r.id, r.lang) for r in language_id.fuse(language_id.document_evidence(df), model).where("accepted").orderBy("id").collect()] == [(i, k) for i, _, k, _ in data]
 
 
