@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from millrace.operators import rules as R
 from millrace.operators.mapping import Table
 from millrace.session import prepare, settings
-from millrace.sources import layout, readers
+from millrace.sources import layout, publish, readers
 
 from . import conform as C
 from . import measures as M
@@ -112,23 +112,23 @@ class _Stage:
             self.log_status("failed")
         self.tell("failed" if kind is not None else self.last)
 
-    def finish(self, measures: M.Measures, path: str, read_bytes: int, report_version: int | None = None) -> DataFrame:
-        """Checkpoint, statistics and metadata of what was written, in one pass over it; post-processors get it as it is read again."""
+    def finish(self, measures: M.Measures, out: DataFrame, path: str, read_bytes: int, publication: publish.Publication | None = None) -> DataFrame:
+        """Checkpoint, statistics and metadata of what was written, in one pass over it; then it is published, and post-processors get it as it is read again."""
         spark, job = self.spark, self.job
         written = spark.read.parquet(path)
-        measures.settle()
-        M.check_not_empty(written, measures)
-        stats = measures.finish(f"{self.name} - End", written)
+        stats = measures.finish(f"{self.name} - End", written, out)
         made = layout.size(spark, path)
         about = {"elapsed_seconds": round(time.time() - self.started, 1), "columns": len(written.columns), "input_bytes": read_bytes, "output_bytes": made, "size_ratio": round(made / read_bytes, 4) if read_bytes else None, "executors": max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)}
         measures.metadata |= {f"{self.name.lower()}_{k}": v for k, v in {**stats, **about}.items()} | {"dataset": job.dataset, "dataset_version": job.version, "records": stats["records"], "errors": stats["errors"]}
         measures.write(spark, path)
+        if publication is not None:
+            written = spark.read.parquet(publication.commit())
         if job.performance_file:
             layout.write_text(spark, job.performance_file, "".join(f"{k}={v}\n" for k, v in {"stage": self.name, **stats, **about}.items()))
         for process in job.post_processors:
             out = process(written, {"dataset": job.dataset, "version": job.version, "stage": self.name, "date": job.date, "run": self.run})
             written = out if isinstance(out, DataFrame) else written
-        self.log_status(self.last, measures, report_version)
+        self.log_status(self.last, measures, publication.version if publication else None)
         return written
 
 
@@ -143,23 +143,26 @@ def standardize(spark: SparkSession, job: Job, run: Run | None = None) -> DataFr
         M.check_counts(measures, job.count_validation)
         out = S.standardize(raw, job.schema, S.Options(fail_fast=job.fail_fast, record_id=job.record_id, corrupt_column=corrupt))
         write_sized(out, job.standardized_path, job.partition_bytes)
-        return stage.finish(measures, job.standardized_path, layout.size(spark, folder))
+        return stage.finish(measures, out, job.standardized_path, layout.size(spark, folder))
 
 
 def conform(spark: SparkSession, job: Job, run: Run | None = None) -> DataFrame:
     """Standardized data to the published path, report date and version among its columns."""
     prepare(spark)
     with _Stage(spark, job, "Conformance", run, "allSucceeded") as stage:
-        version = job.report_version or layout.next_version(spark, job.published_path, job.date, job.prefix)
-        source, measures = spark.read.parquet(job.standardized_path), _measures(spark, job, job.standardized_path)
-        out = C.conform(source, job.rules, job.tables, C.Options(on_checkpoint=measures.observe))
-        out = C.with_info(S.with_record_id(out, job.record_id), F.lit(job.date), F.lit(version))
-        path = layout.publish_path(job.published_path, job.date, version, job.prefix)
-        kept = out.persist(getattr(StorageLevel, job.persist)) if job.persist else None
-        write_sized(out, path, job.partition_bytes)
-        if kept is not None:
-            kept.unpersist()
-        written = stage.finish(measures, path, layout.size(spark, job.standardized_path), version)
+        publication = publish.begin(spark, job.published_path, job.date, job.report_version, job.prefix)
+        try:
+            source, measures = spark.read.parquet(job.standardized_path), _measures(spark, job, job.standardized_path)
+            out = C.conform(source, job.rules, job.tables, C.Options(on_checkpoint=measures.observe))
+            out = C.with_info(S.with_record_id(out, job.record_id), F.lit(job.date), F.lit(publication.version))
+            kept = out.persist(getattr(StorageLevel, job.persist)) if job.persist else None
+            write_sized(out, publication.staged, job.partition_bytes)
+            if kept is not None:
+                kept.unpersist()
+            written = stage.finish(measures, out, publication.staged, layout.size(spark, job.standardized_path), publication)
+        except BaseException:
+            publication.abort()
+            raise
         if job.clean_standardized:
             layout.delete(spark, job.standardized_path)
         return written

@@ -54,8 +54,8 @@ class Measures:
     controls: tuple[Control, ...] = (Control("recordCount", "count"),)
     checkpoints: list[dict[str, Any]] = field(default_factory=list)
     listeners: list = field(default_factory=list)
-    #: Checkpoints that are measured when what they observe is written: name, controls, observation, values known before.
-    pending: list[tuple[str, list[Control], Observation, dict[str, Any]]] = field(default_factory=list)
+    #: Checkpoints that are measured when what they observe is written: name, controls, observation, the frame.
+    pending: list[tuple[str, list[Control], Observation, DataFrame]] = field(default_factory=list)
 
     def _there(self, df: DataFrame) -> list[Control]:
         """Controls whose column a frame has."""
@@ -66,30 +66,45 @@ class Measures:
         there = self._there(df)
         return self._add(name, there, measured(df, there).first().asDict())
 
-    def finish(self, name: str, df: DataFrame) -> dict[str, int]:
-        """Checkpoint of written data and its error statistics, in one pass."""
+    def finish(self, name: str, df: DataFrame, source: DataFrame | None = None) -> dict[str, int]:
+        """Checkpoint of written data and its error statistics, in one pass; ``source`` is the frame that was written.
+
+        Distinct counts of observed checkpoints come from this pass as well, for columns that are in what was written as they were there.
+        """
         there = self._there(df)
         stats = errors.counted() if errors.ERRORS in df.columns else {"records": F.count("*")}
         row = df.agg(*(c.expression().alias(f"c{i}") for i, c in enumerate(there)), *(v.alias(k) for k, v in stats.items())).first()
-        self._add(name, there, {c.name: row[f"c{i}"] for i, c in enumerate(there)})
+        values = {c.name: row[f"c{i}"] for i, c in enumerate(there)}
+        self.settle(source, {c.column: values[c.name] for c in there if c.kind == "distinctCount"})
+        check_not_empty(row["records"], self)
+        self._add(name, there, values)
         return {"records": 0, "failed": 0, "succeeded": 0, "errors": 0} | {k: row[k] for k in stats}
 
     def observe(self, name: str, df: DataFrame) -> DataFrame:
-        """The frame with a checkpoint that measures itself in the pass that writes it; ``settle`` adds it then.
-
-        Distinct counts can't be observed: only where there are such controls, these take a pass of their own.
-        """
+        """The frame with a checkpoint that measures itself in the pass that writes it; ``settle`` adds it then. No pass is made before."""
         there = self._there(df)
-        apart = [c for c in there if c.kind == "distinctCount"]
-        known = measured(df, apart).first().asDict() if apart else {}
         out, seen = observed(df, f"{len(self.checkpoints) + len(self.pending)} {name}", there)
-        self.pending.append((name, there, seen, known))
+        self.pending.append((name, there, seen, df))
         return out
 
-    def settle(self) -> None:
-        """Add the observed checkpoints, in order, after the write."""
-        for name, there, seen, known in self.pending:
-            self._add(name, there, {**seen.get, **known})
+    def settle(self, source: DataFrame | None = None, distinct: dict[str, Any] | None = None) -> None:
+        """Add the observed checkpoints, in order, after the write.
+
+        ``distinct`` has distinct counts of columns of ``source``. They hold for a checkpoint too if the column is the same attribute there: rows are
+        never dropped or repeated between. Others, of columns that were changed or dropped since, take a pass of their own over what they observe.
+        """
+        for name, there, seen, df in self.pending:
+            values = dict(seen.get)
+            apart = []
+            for c in there:
+                if c.kind == "distinctCount":
+                    if source is not None and c.column in (distinct or {}) and _same(df, source, c.column):
+                        values[c.name] = distinct[c.column]
+                    else:
+                        apart.append(c)
+            if apart:
+                values |= measured(df, apart).first().asDict()
+            self._add(name, there, values)
         self.pending = []
 
     def _add(self, name: str, there: list[Control], row: dict[str, Any]) -> dict[str, Any]:
@@ -128,6 +143,18 @@ class Measures:
         return None
 
 
+def _attribute(df: DataFrame, column: str) -> int | None:
+    """What the optimizer knows a column by: projections, joins and filters that let it be keep it."""
+    output = df._jdf.queryExecution().analyzed().output()
+    found = [a for a in (output.apply(i) for i in range(output.size())) if a.name() == column]
+    return found[0].exprId().id() if len(found) == 1 else None
+
+
+def _same(before: DataFrame, after: DataFrame, column: str) -> bool:
+    one, other = _attribute(before, column), _attribute(after, column)
+    return one is not None and one == other
+
+
 def _text(value: Any) -> str:
     text = format(value, "f") if not isinstance(value, int) else str(value)
     return text.rstrip("0").rstrip(".") if "." in text else text
@@ -147,10 +174,11 @@ def check_counts(measures: Measures, how: str = "strict", first: str = "Source",
         warnings.warn(problem, stacklevel=2)
 
 
-def check_not_empty(df: DataFrame, measures: Measures) -> None:
-    """No output is an error, unless every count so far is 0."""
+def check_not_empty(found: DataFrame | int, measures: Measures) -> None:
+    """No output (a frame, or a number of records) is an error, unless every count so far is 0."""
     counts = [int(c["controlValue"]) for p in measures.checkpoints for c in p["controls"] if c["controlType"].lower().removeprefix("controltype.") == "count"]
-    if df.isEmpty() and (not counts or any(counts)):
+    empty = found == 0 if isinstance(found, int) else found.isEmpty()
+    if empty and (not counts or any(counts)):
         raise ValueError("there are no output records")
 
 

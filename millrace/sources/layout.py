@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,9 +49,25 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def claim(spark: SparkSession, path: str) -> bool:
-    """Make an empty file; False if there is one, so of several writers only one gets True."""
+    """Make an empty file; False if there is one, so of several writers only one gets True.
+
+    Hadoop's local file system looks first and creates then, so for local paths the operating system is asked; other stores refuse the second writer themselves.
+    """
     files, at = _hadoop(spark, path)
-    return files.createNewFile(at)
+    if files.getScheme() == "file":
+        local = at.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        return files.createNewFile(at)
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
 
 
 def size(spark: SparkSession, path: str) -> int:
