@@ -7,12 +7,10 @@ from typing import Any
 
 from pyspark.sql import types as T
 
-from . import copybook
+from . import avro, copybook
 
 FORMS = ("struct", "avro", "copybook")
 
-_AVRO = {"boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "bytes": T.BinaryType(), "string": T.StringType(), "enum": T.StringType(), "fixed": T.BinaryType()}
-
 
 def parse(text: str, form: str | None = None) -> T.StructType:
     """A schema from its text; without a form it is taken for Spark's JSON."""
@@ -26,42 +24,11 @@ def parse(text: str, form: str | None = None) -> T.StructType:
 
 
 def from_avro(doc: dict[str, Any]) -> T.StructType:
-    """A record schema; a union with null is a nullable field."""
-    if doc.get("type") != "record":
+    """A record schema, with types that are named again; a union with null is a nullable field."""
+    schema = avro.Schema(doc)
+    if schema.of(schema.root) != "record":
         raise ValueError("the Avro schema is not a record")
-    fields = []
-    for f in doc["fields"]:
-        kind, nullable = _avro(f["type"])
-        fields.append(T.StructField(f["name"], kind, nullable, {"default": f["default"]} if f.get("default") is not None else {}))
-    return T.StructType(fields)
-
-
-def _avro(kind: Any) -> tuple[T.DataType, bool]:
-    if isinstance(kind, list):
-        some = [k for k in kind if k != "null"]
-        if len(some) != 1:
-            raise ValueError(f"unions of several types are not supported: {kind}")
-        return _avro(some[0])[0], "null" in kind
-    if isinstance(kind, str):
-        if kind not in _AVRO:
-            raise ValueError(f"unknown Avro type {kind}")
-        return _AVRO[kind], False
-    logical, name = kind.get("logicalType"), kind["type"]
-    if logical == "decimal":
-        return T.DecimalType(kind["precision"], kind.get("scale", 0)), False
-    if logical == "date":
-        return T.DateType(), False
-    if logical in ("timestamp-millis", "timestamp-micros"):
-        return T.TimestampType(), False
-    if name == "record":
-        return from_avro(kind), False
-    if name == "array":
-        element, nullable = _avro(kind["items"])
-        return T.ArrayType(element, nullable), False
-    if name == "map":
-        value, nullable = _avro(kind["values"])
-        return T.MapType(T.StringType(), value, nullable), False
-    return _avro(name)
+    return schema.type()[0]
 
 
 def to_documents(schema: T.StructType, head: str = "") -> list[dict[str, Any]]:
