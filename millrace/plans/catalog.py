@@ -1,18 +1,22 @@
 """Versioned documents (datasets, schemas, mapping tables, properties) in an append-only table, and what is checked about them.
 
-Every change appends a row; the state of an entity is its latest row for each version. Nothing is rewritten, so
-readers need no locks and history is kept. Each change of an entity has a number, claimed by a file that only one writer can make: of two
-changes that were made against the same state, the second is a conflict.
+Every change appends rows; the state of an entity is its latest row for each version. Nothing is rewritten, so readers need no locks and history is
+kept. Changes come in commits, of one change or of a whole batch, which are numbered in a row: rows are written aside, then the next number is claimed by a file
+that only one writer can make, and the rows are moved to their place with one rename. A writer whose state is older than the last commit looks again.
+
+A batch is checked against the state by one join and committed as one, in a number of jobs that doesn't depend on its size. What refers to what is
+a table of edges taken from the documents.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
-from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +29,11 @@ from millrace.sources import layout
 from . import runs
 
 SCHEMA = "kind string, name string, version int, change long, action string, disabled boolean, locked boolean, doc string, at timestamp"
+#: Columns of a batch of changes; ``based_on`` is the version that an update was made from.
+CHANGES = "kind string, name string, action string, based_on int, doc string"
+ACTIONS = ("create", "update", "disable", "enable", "lock", "unlock")
+#: Users of an entity that a refusal names, and seconds that a writer waits for a commit that was claimed.
+NAMED, PATIENCE = 20, 30
 
 
 class Conflict(ValueError):
@@ -38,12 +47,9 @@ class Catalog:
 
     def history(self) -> DataFrame:
         """All changes."""
-        try:
-            return self.spark.read.schema(SCHEMA).parquet(self.path)
-        except Exception as e:  # noqa: BLE001 the first change makes the table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        if not layout.children(self.spark, f"{self.path}/commits"):
             return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(f"{self.path}/commits")
 
     def entities(self) -> DataFrame:
         """The state of every version of every entity."""
@@ -62,37 +68,71 @@ class Catalog:
         row = rows.agg(F.max("version").alias("v"), F.max("change").alias("c"), F.bool_or("locked").alias("l"), F.bool_and("disabled").alias("d")).first()
         return row.v or 0, row.c or 0, bool(row.l), bool(row.d)
 
-    def _append(self, rows: list[tuple]) -> None:
-        for kind, name, change in {(r[0], r[1], r[3]) for r in rows}:
-            if not layout.claim(self.spark, f"{self.path.rstrip('/')}/_changes/{kind}/{quote(name, safe='')}/{change}"):
-                raise Conflict(f"{kind} {name} was changed by another writer")
-        self.spark.createDataFrame(rows, SCHEMA.replace(", at timestamp", "")).withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path)
+    def _last(self) -> int:
+        """The number of the last commit. One that is claimed is waited for, as a state without it would be an old one."""
+        until = time.time() + PATIENCE
+        while True:
+            done, claimed = (max((int(n) for n in layout.children(self.spark, f"{self.path}/{what}")), default=0) for what in ("commits", "_log"))
+            if claimed <= done:
+                return done
+            if time.time() > until:
+                raise Conflict(f"commit {claimed} of {self.path} was begun and isn't done")
+            time.sleep(0.2)
+
+    def _commit(self, rows: DataFrame, seen: int) -> bool:
+        """Add rows as the commit after ``seen``; False if there is one by now."""
+        staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        rows.withColumn("at", F.current_timestamp()).select(*(f.split()[0] for f in SCHEMA.split(", "))).write.parquet(staged)
+        if not layout.claim(self.spark, f"{self.path}/_log/{seen + 1}"):
+            layout.delete(self.spark, staged)
+            return False
+        layout.move(self.spark, staged, f"{self.path}/commits/{seen + 1}")
+        return True
+
+    def _change(self, rows: Callable[[], list[tuple]]) -> None:
+        """Commit rows that are made from the state, again from the next one if another writer was faster."""
+        while True:
+            seen = self._last()
+            if self._commit(self.spark.createDataFrame(rows(), SCHEMA.replace(", at timestamp", "")).coalesce(1), seen):
+                return
 
     def create(self, kind: str, name: str, doc: Mapping[str, Any]) -> int:
         """A new entity, or a new version of a disabled one."""
-        version, change, locked, disabled = self._state(kind, name)
-        if version and not disabled:
-            raise Conflict(f"{kind} {name} exists")
-        self._append([(kind, name, version + 1, change + 1, "create", False, locked, json.dumps(doc, sort_keys=True))])
-        return version + 1
+        made: list[int] = []
+
+        def rows() -> list[tuple]:
+            version, change, locked, disabled = self._state(kind, name)
+            if version and not disabled:
+                raise Conflict(f"{kind} {name} exists")
+            made.append(version + 1)
+            return [(kind, name, version + 1, change + 1, "create", False, locked, json.dumps(doc, sort_keys=True))]
+
+        self._change(rows)
+        return made[-1]
 
     def update(self, kind: str, name: str, based_on: int, doc: Mapping[str, Any]) -> int:
         """A new version of an entity, made from its latest one."""
-        version, change, locked, disabled = self._state(kind, name)
-        if not version or disabled:
-            raise KeyError(f"there is no {kind} {name}")
-        if locked:
-            raise Conflict(f"{kind} {name} is locked")
-        if based_on != version:
-            raise Conflict(f"{kind} {name} is at version {version}, not {based_on}")
-        self._append([(kind, name, version + 1, change + 1, "update", False, False, json.dumps(doc, sort_keys=True))])
-        return version + 1
+        def rows() -> list[tuple]:
+            version, change, locked, disabled = self._state(kind, name)
+            if not version or disabled:
+                raise KeyError(f"there is no {kind} {name}")
+            if locked:
+                raise Conflict(f"{kind} {name} is locked")
+            if based_on != version:
+                raise Conflict(f"{kind} {name} is at version {version}, not {based_on}")
+            return [(kind, name, version + 1, change + 1, "update", False, False, json.dumps(doc, sort_keys=True))]
+
+        self._change(rows)
+        return based_on + 1
 
     def _mark(self, kind: str, name: str, action: str, version: int | None = None, **flags: bool) -> None:
-        rows = self.entities().where((F.col("kind") == kind) & (F.col("name") == name))
-        change = self._state(kind, name)[1]
-        chosen = rows if version is None else rows.where(F.col("version") == version)
-        self._append([(kind, name, r.version, change + 1, action, flags.get("disabled", r.disabled), flags.get("locked", r.locked), r.doc) for r in chosen.collect()])
+        def rows() -> list[tuple]:
+            versions = self.entities().where((F.col("kind") == kind) & (F.col("name") == name))
+            change = self._state(kind, name)[1]
+            chosen = versions if version is None else versions.where(F.col("version") == version)
+            return [(kind, name, r.version, change + 1, action, flags.get("disabled", r.disabled), flags.get("locked", r.locked), r.doc) for r in chosen.collect()]
+
+        self._change(rows)
 
     def disable(self, kind: str, name: str, version: int | None = None) -> None:
         """Disable an entity that nothing enabled uses."""
@@ -106,15 +146,81 @@ class Catalog:
     def lock(self, kind: str, name: str, locked: bool = True) -> None:
         self._mark(kind, name, "lock" if locked else "unlock", locked=locked)
 
+    def references(self) -> DataFrame:
+        """Edges (kind, name, version) to (ref_kind, ref_name, ref_version): schemas and mapping tables that enabled documents name."""
+        doc = lambda path: F.get_json_object("doc", f"$.{path}")
+        rules = F.from_json(doc("conformance"), "array<struct<mappingTable:string,mappingTableVersion:int>>")
+        tables = F.transform(F.coalesce(rules, F.array().cast("array<struct<mappingTable:string,mappingTableVersion:int>>")), lambda r: F.struct(F.lit("mappingTable").alias("ref_kind"), r["mappingTable"].alias("ref_name"), r["mappingTableVersion"].alias("ref_version")))
+        schema = F.array(F.struct(F.lit("schema").alias("ref_kind"), doc("schemaName").alias("ref_name"), doc("schemaVersion").cast("int").alias("ref_version")))
+        edges = self.entities().where(~F.col("disabled")).select("kind", "name", "version", F.inline(F.concat(schema, tables)))
+        return edges.where("ref_name IS NOT NULL").distinct()
+
+    def reachable(self) -> DataFrame:
+        """Edges and what they lead to, over any number of steps; as many joins as the longest chain has steps."""
+        edges = self.references()
+        step = edges.select(F.col("kind").alias("k"), F.col("name").alias("n"), F.col("version").alias("v"), *(F.col(f"ref_{c}").alias(f"next_{c}") for c in ("kind", "name", "version")))
+        found = last = edges
+        while True:
+            onward = (F.col("ref_kind") == F.col("k")) & (F.col("ref_name") == F.col("n")) & (F.col("ref_version") == F.col("v"))
+            last = last.join(step, onward).select("kind", "name", "version", *(F.col(f"next_{c}").alias(f"ref_{c}") for c in ("kind", "name", "version"))).distinct().subtract(found)
+            last.write.parquet(at := f"{self.path}/_staging/{uuid.uuid4().hex}")
+            last = self.spark.read.parquet(at)
+            if last.isEmpty():
+                return found
+            found = found.unionByName(last)
+
     def used_in(self, kind: str, name: str, version: int | None = None) -> list[tuple[str, str, int]]:
-        """Enabled datasets and mapping tables that refer to a schema or mapping table."""
-        found = []
-        for r in self.entities().where(~F.col("disabled") & F.col("doc").contains(json.dumps(name))).collect():
-            doc = json.loads(r.doc)
-            refs = [("schema", doc.get("schemaName"), doc.get("schemaVersion"))] + [("mappingTable", c.get("mappingTable"), c.get("mappingTableVersion")) for c in doc.get("conformance", [])]
-            if any(k == kind and n == name and version in (None, v) for k, n, v in refs):
-                found.append((r.kind, r.name, r.version))
-        return sorted(set(found))
+        """Enabled datasets and mapping tables that refer to a schema or mapping table, the first NAMED of them."""
+        rows = self.references().where((F.col("ref_kind") == kind) & (F.col("ref_name") == name))
+        rows = rows if version is None else rows.where(F.col("ref_version") == version)
+        return [tuple(r) for r in rows.select("kind", "name", "version").distinct().orderBy("kind", "name", "version").limit(NAMED).collect()]
+
+    def apply(self, changes: DataFrame, partly: bool = False) -> DataFrame:
+        """Commit a batch of changes as one: the given columns and ``refused``, which says why a change can't be made (null where it was).
+
+        All changes are judged by the state before the batch, so an entity may be in it once. Unless ``partly``, one refusal keeps the whole batch from being made.
+        """
+        while True:
+            seen = self._last()
+            judged = self._judged(changes)
+            judged.write.parquet(at := f"{self.path}/_reports/{uuid.uuid4().hex}")  # as the state is now
+            judged = self.spark.read.schema(judged.schema).parquet(at)
+            report = judged.select(*(f.split()[0] for f in CHANGES.split(", ")), "refused")
+            if not partly and not judged.where("refused IS NOT NULL").isEmpty():
+                return report
+            good = judged.where("refused IS NULL")
+            versions = good.where(F.col("action").isin("create", "update")).select("kind", "name", (F.col("at_version") + 1).alias("version"), (F.col("change") + 1).alias("change"), "action", F.lit(False).alias("disabled"), ((F.col("action") == "create") & F.col("locked")).alias("locked"), "doc")
+            marks = good.where(~F.col("action").isin("create", "update")).select("kind", "name", "action", (F.col("change") + 1).alias("next"))
+            marked = marks.join(self.entities().drop("action"), ["kind", "name"]).select(
+                "kind", "name", "version", F.col("next").alias("change"), "action",
+                F.when(F.col("action") == "disable", True).when(F.col("action") == "enable", False).otherwise(F.col("disabled")).alias("disabled"),
+                F.when(F.col("action") == "lock", True).when(F.col("action") == "unlock", False).otherwise(F.col("locked")).alias("locked"), "doc",
+            )
+            if self._commit(versions.unionByName(marked), seen):
+                return report
+
+    def _judged(self, changes: DataFrame) -> DataFrame:
+        """Changes with the state of their entities and why they can't be made."""
+        key = ["kind", "name"]
+        state = self.entities().groupBy(*key).agg(F.max("version").alias("at_version"), F.max("change").alias("change"), F.bool_or("locked").alias("locked"), F.bool_and("disabled").alias("gone"))
+        users = self.references().groupBy(F.col("ref_kind").alias("kind"), F.col("ref_name").alias("name")).agg(F.min(F.struct("kind", "name", "version")).alias("user"))
+        times = changes.groupBy(*key).agg(F.count("*").alias("times"))
+        rows = changes.select(*(f.split()[0] for f in CHANGES.split(", "))).join(times, key, "left").join(state, key, "left").join(users, key, "left")
+        rows = rows.withColumns({"at_version": F.coalesce("at_version", F.lit(0)), "change": F.coalesce("change", F.lit(0)), "locked": F.coalesce("locked", F.lit(False)), "gone": F.coalesce("gone", F.lit(False))})
+        here = F.concat_ws(" ", "kind", "name")
+        there = (F.col("at_version") > 0) & ~F.col("gone")
+        action, based_on = F.col("action"), F.col("based_on")
+        refused = (
+            F.when(F.col("kind").isNull() | F.col("name").isNull(), "a change needs a kind and a name")
+            .when(F.coalesce(~action.isin(*ACTIONS), F.lit(True)), F.concat(F.lit("there is no action "), F.coalesce(action, F.lit("null"))))
+            .when(F.col("times") > 1, F.concat(here, F.lit(" is in the batch more than once")))
+            .when((action == "create") & there, F.concat(here, F.lit(" exists")))
+            .when((action == "update") & ~there | (action != "create") & (F.col("at_version") == 0), F.concat(F.lit("there is no "), here))
+            .when((action == "update") & F.col("locked"), F.concat(here, F.lit(" is locked")))
+            .when((action == "update") & ~based_on.eqNullSafe(F.col("at_version")), F.concat(here, F.lit(" is at version "), F.col("at_version"), F.lit(", not "), F.coalesce(based_on.cast("string"), F.lit("null"))))
+            .when((action == "disable") & F.col("user").isNotNull(), F.concat(here, F.lit(" is used by "), F.concat_ws(" ", "user.kind", "user.name", "user.version")))
+        )
+        return rows.withColumn("refused", refused).drop("times", "user")
 
     def audit(self, kind: str, name: str) -> DataFrame:
         return self.history().where((F.col("kind") == kind) & (F.col("name") == name)).orderBy("change").select("version", "action", "at")

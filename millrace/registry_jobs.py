@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import rules as R
+from millrace.plans import catalog
+from millrace.plans import migrations as M
 from millrace.plans.conform import conform
 from millrace.registry import query, read
 from millrace.session import shared_path
@@ -46,3 +48,49 @@ def msg_errors_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("v")
     sent = spark.read.parquet(at).select("key", avro.decode(F.col("value"), wrote, later, framed=True).alias("v"))
     return sent.select("key", v["sourceSystem"].alias("system"), v["dataset"].alias("dataset"), v["errorCode"].alias("code"), v["informationDate"].cast("string").alias("day"), v["additionalInfo"]["rawValues"].alias("raw"), v["stage"].alias("stage"), v["team"].alias("team"))
+
+
+@query("""
+SELECT c_custkey, CAST(c_nationkey AS INT) AS nation, 'customer' AS kind, CAST(round(c_acctbal * 100) AS BIGINT) AS cents, c_custkey % 4 AS n_orders, (c_custkey % 4) * (c_custkey % 4 + 1) * 5 AS total, CAST(NULL AS VARCHAR) AS segment
+FROM customer WHERE c_acctbal >= 0
+""")
+def doc_migrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of customers over two versions of their model, in one projection: fields renamed, added and dropped, elements of arrays changed, documents dropped."""
+    orders = F.transform(F.when(F.col("c_custkey") % 4 > 0, F.sequence(F.lit(1).cast("long"), F.col("c_custkey") % 4)).otherwise(F.array().cast("array<long>")), lambda i: F.struct(i.alias("no")))
+    balance = F.round(F.col("c_acctbal") * 100).cast("long")
+    made = F.to_json(F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), balance.alias("balance"), F.col("c_mktsegment").alias("segment"), orders.alias("orders")))
+    customers = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.parse_json(made).alias("doc"))
+    long = lambda doc, path: F.variant_get(doc, f"$.{path}", "long")
+    one = M.Migration(1, {"customer": lambda doc: F.when(long(doc, "balance") >= 0, M.put(M.renamed(doc, "nation", "nationKey"), "kind", F.lit("customer")))})
+    two = M.Migration(2, {"client": lambda doc: M.without(M.each(M.renamed(doc, "balance", "cents"), "orders", lambda o: M.put(o, "price", long(o, "no") * 10)), "segment")}, renames={"customer": "client"}, added=("note",))
+    documents = M.Documents(spark, shared_path(spark, "documents"), ["customer"], [one, two])
+    documents.insert("customer", customers)
+    documents.migrate(2)
+    doc = F.col("doc")
+    prices = F.transform(F.variant_get(doc, "$.orders", "array<variant>"), lambda o: long(o, "price"))
+    return documents.read("client").select(
+        F.col("id").cast("long").alias("c_custkey"), F.variant_get(doc, "$.nationKey", "int").alias("nation"), F.variant_get(doc, "$.kind", "string").alias("kind"), long(doc, "cents").alias("cents"),
+        F.size(prices).cast("long").alias("n_orders"), F.aggregate(prices, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.variant_get(doc, "$.segment", "string").alias("segment"),
+    )
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 OR c_custkey % 3 <> 1 THEN 1 ELSE 2 END AS version, CASE WHEN c_custkey % 5 = 0 THEN 'x customer-' || c_custkey || ' is at version 1, not 7' END AS refused, c_custkey % 5 <> 0 AND c_custkey % 3 = 2 AND c_custkey % 7 <> 0 AS disabled,
+  CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 3 = 2 AND c_custkey % 7 = 0 THEN 1 ELSE 0 END AS held
+FROM customer
+""")
+def catalog_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as documents of the catalog in one commit; a second one changes a third of them, refuses what was made from another version, and disables what nothing uses."""
+    keys = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("customer-"), "c_custkey").alias("name"))
+    c = catalog.Catalog(spark, shared_path(spark, "catalog"))
+    doc = F.to_json(F.struct(F.col("c_custkey").alias("key")))
+    users = keys.where("c_custkey % 7 = 0").select(F.lit("dataset").alias("kind"), F.concat(F.lit("of "), "name").alias("name"), F.lit("create").alias("action"), F.lit(None).cast("int").alias("based_on"), F.to_json(F.struct(F.array(F.struct(F.col("name").alias("mappingTable"), F.lit(1).alias("mappingTableVersion"))).alias("conformance"))).alias("doc"))
+    tables = keys.select(F.lit("mappingTable").alias("kind"), "name", F.lit("create").alias("action"), F.lit(None).cast("int").alias("based_on"), doc.alias("doc"))
+    assert c.apply(tables.unionByName(users)).where("refused IS NOT NULL").isEmpty()
+    action = F.when((F.col("c_custkey") % 5 == 0) | (F.col("c_custkey") % 3 == 1), "update").when(F.col("c_custkey") % 3 == 2, "disable")
+    changes = keys.withColumn("action", action).where("action IS NOT NULL").select(F.lit("mappingTable").alias("kind"), "name", "action", F.when(F.col("c_custkey") % 5 == 0, 7).otherwise(1).alias("based_on"), F.lit('{"changed":true}').alias("doc"))
+    report = c.apply(changes, partly=True).select("name", F.regexp_replace("refused", "^mappingTable ", "x ").alias("said"))
+    last = c.entities().where("kind = 'mappingTable'").groupBy("name").agg(F.max("version").alias("version"), F.bool_and("disabled").alias("disabled"))
+    rows = keys.join(last, "name").join(report, "name", "left")
+    held = F.col("said").like("%is used by%")
+    return rows.select("c_custkey", "version", F.when(~held, F.col("said")).alias("refused"), "disabled", F.when(held, 1).otherwise(0).alias("held"))

@@ -88,6 +88,17 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder to a place where nothing is yet."""
+    files, at = _hadoop(spark, path)
+    target = _hadoop(spark, to)[1]
+    if files.exists(target):
+        raise FileExistsError(f"{to} already exists")
+    files.mkdirs(target.getParent())
+    if not files.rename(at, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def next_version(spark: SparkSession, base: str, date: dt.date, prefix: str | None = None, info: str = "info") -> int:
     """One more than the largest version published for a date."""
     folder = publish_path(base, date, 0, prefix, info).rpartition("/")[0]

@@ -37,12 +37,7 @@ class Publication:
 
     def commit(self) -> str:
         """Let readers see what was staged."""
-        files, target = layout._hadoop(self.spark, self.path)
-        if files.exists(target):
-            raise Taken(f"{self.path} already exists")
-        files.mkdirs(target.getParent())
-        if not files.rename(layout._hadoop(self.spark, self.staged)[1], target):
-            raise OSError(f"{self.staged} could not be moved to {self.path}")
+        layout.move(self.spark, self.staged, self.path)
         layout.delete(self.spark, self.claim)
         return self.path
 

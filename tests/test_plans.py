@@ -165,11 +165,17 @@ def test_run_numbers_and_catalog_changes_are_claimed(spark, tmp_path, monkeypatc
     assert [(r.run_id, r.status, r.records) for r in log.runs().orderBy("run_id").collect()] == [(1, "running", None), (2, "allSucceeded", 3)]
     one, other = (catalog.Catalog(spark, str(tmp_path / "c")) for _ in range(2))
     one.create("schema", "a/b", {})
-    state = other._state("schema", "a/b")
-    monkeypatch.setattr(other, "_state", lambda *_: state)
+    seen, state, last = other._last(), other._state("schema", "a/b"), other._last
     one.update("schema", "a/b", 1, {"x": 1})
-    with pytest.raises(catalog.Conflict, match="another writer"):
+    stale = [seen]  # the other one looked before that: its rows are refused, and what it sees then is a conflict
+    monkeypatch.setattr(other, "_last", lambda: stale.pop() if stale else last())
+    monkeypatch.setattr(other, "_state", lambda *a: state if not stale and state else catalog.Catalog._state(other, *a))
+    commits = []
+    commit = other._commit
+    monkeypatch.setattr(other, "_commit", lambda rows, seen: (monkeypatch.setattr(other, "_state", lambda *a: catalog.Catalog._state(other, *a)), commits.append(commit(rows, seen)))[0] or commits[-1])
+    with pytest.raises(catalog.Conflict, match="is at version 2, not 1"):
         other.update("schema", "a/b", 1, {"x": 2})
+    assert commits == [False]
     assert one.get("schema", "a/b") == {"x": 1, "name": "a/b", "version": 2}
 
 
