@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import errors, paths
+from millrace.functions import errors, paths, sizes
 from millrace.functions.paths import Reader
 from millrace.session import shared_path
 
@@ -65,17 +65,6 @@ class Chosen:
     size: int
 
 
-def _size(column: Column, kind: T.DataType) -> Column:
-    """About how many bytes a value takes."""
-    if isinstance(kind, T.StringType | T.BinaryType):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
-    if isinstance(kind, T.StructType):
-        return sum((_size(column.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
-    if isinstance(kind, T.ArrayType | T.MapType):
-        return F.coalesce(F.octet_length(F.to_json(F.struct(column.alias("x")))), F.lit(0)) + 8
-    return F.lit(16)
-
-
 def _selected(rule: Mapping, table: Table) -> Chosen:
     """What the rule looks up in the table, kept with it for other rules that choose the same."""
     override = rule.override_own_filter and rule.filter is not None
@@ -104,7 +93,7 @@ def _chosen(rule: Mapping, table: Table) -> Chosen:
         for n in names:
             chosen = chosen.where(F.col(n).isNotNull())
     grouped = chosen.groupBy(*names).agg(F.max("v").alias("v"), F.count("*").alias("n"))
-    size = sum((_size(F.col(f.name), f.dataType) for f in grouped.schema.fields if f.name != "n"), F.lit(0))
+    size = sum((sizes.of_value(F.col(f.name), f.dataType) for f in grouped.schema.fields if f.name != "n"), F.lit(0))
     twice = F.max_by(F.to_json(F.struct(*names)) if names else F.lit("{}"), F.when(F.col("n") > 1, F.col("n")))
     seen = grouped.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.max("n").alias("most"), twice.alias("key")).first()
     if table.duplicates == "fail" and (seen.most or 0) > 1:

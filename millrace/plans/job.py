@@ -24,6 +24,7 @@ from millrace.sources import layout, publish, readers
 
 from . import conform as C
 from . import measures as M
+from . import sizing
 from . import standardize as S
 from .lifecycle import Run, RunLog, counts
 
@@ -51,6 +52,11 @@ class Job:
     controls: tuple[M.Control, ...] = (M.Control("recordCount", "count"),)
     count_validation: str = "none"
     partition_bytes: int | None = None
+    #: How the size of what is written is told (a name of ``sizing``), the window of bytes of a partition, and the rows of a sample.
+    partition_strategy: str | None = None
+    partition_least: int | None = None
+    partition_most: int | None = None
+    partition_sample: int = 10_000
     clean_standardized: bool = False
     fail_fast: bool = False
     strict_conformance: bool = True
@@ -82,6 +88,13 @@ def write_sized(df: DataFrame, path: str, partition_bytes: int | None) -> None:
         layout.write_new(df.hint("rebalance"), path)
 
 
+def write_out(df: DataFrame, path: str, job: Job) -> None:
+    """Write what a stage made in files of the sizes that the job asks for."""
+    if job.partition_strategy:
+        df = sizing.resized(df, job.partition_strategy, job.partition_least, job.partition_most, job.partition_sample)
+    write_sized(df, path, job.partition_bytes)
+
+
 class _Stage:
     """One stage of a job: tells listeners and the run log how it goes."""
 
@@ -142,7 +155,7 @@ def standardize(spark: SparkSession, job: Job, run: Run | None = None) -> DataFr
         raw = readers.spread(raw, layout.children(spark, folder))
         M.check_counts(measures, job.count_validation)
         out = S.standardize(raw, job.schema, S.Options(fail_fast=job.fail_fast, record_id=job.record_id, corrupt_column=corrupt))
-        write_sized(out, job.standardized_path, job.partition_bytes)
+        write_out(out, job.standardized_path, job)
         return stage.finish(measures, out, job.standardized_path, layout.size(spark, folder))
 
 
@@ -156,7 +169,7 @@ def conform(spark: SparkSession, job: Job, run: Run | None = None) -> DataFrame:
             out = C.conform(source, job.rules, job.tables, C.Options(on_checkpoint=measures.observe))
             out = C.with_info(S.with_record_id(out, job.record_id), F.lit(job.date), F.lit(publication.version))
             kept = out.persist(getattr(StorageLevel, job.persist)) if job.persist else None
-            write_sized(out, publication.staged, job.partition_bytes)
+            write_out(out, publication.staged, job)
             if kept is not None:
                 kept.unpersist()
             written = stage.finish(measures, out, publication.staged, layout.size(spark, job.standardized_path), publication)
@@ -185,18 +198,33 @@ def plugins(conf: Mapping[str, str], key: str) -> list[Any]:
     return found
 
 
+def _positive(text: str) -> int:
+    if not text.isdigit() or int(text) == 0:
+        raise argparse.ArgumentTypeError(f"{text} is not a number above 0")
+    return int(text)
+
+
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="millrace", description="Standardize and conform a dataset.")
     out.add_argument("stage", choices=("standardize", "conform", "both"))
     out.add_argument("--dataset-file", required=True, help="JSON with name, version, schema, conformance and paths")
     out.add_argument("--report-date", required=True, type=dt.date.fromisoformat)
-    out.add_argument("--report-version", type=int)
+    out.add_argument("--dataset-name", help="refuse a document of another name")
+    out.add_argument("--dataset-version", type=_positive, help="refuse a document of another version")
+    out.add_argument("--report-version", type=_positive)
+    login = out.add_mutually_exclusive_group()
+    login.add_argument("--credentials-file", help="file with a user's name and password for the catalog's service")
+    login.add_argument("--auth-keytab", help="keytab for the catalog's service")
     out.add_argument("--raw-format", default="parquet", choices=readers.FORMATS)
     out.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="an option of the raw format")
     out.add_argument("--folder-prefix")
     out.add_argument("--record-id", default="none", choices=S.RECORD_IDS)
     out.add_argument("--count-validation", default="none", choices=("strict", "warning", "none"))
-    out.add_argument("--partition-bytes", type=int)
+    out.add_argument("--partition-bytes", type=_positive)
+    out.add_argument("--partition-strategy", choices=sizing.STRATEGIES, help="what tells how much is written")
+    out.add_argument("--partition-least", type=_positive, help="bytes of a partition at least")
+    out.add_argument("--partition-most", type=_positive, help="bytes of a partition at most")
+    out.add_argument("--partition-sample", type=_positive, default=10_000, help="rows of a sample")
     out.add_argument("--auto-clean", action="store_true")
     out.add_argument("--strict", action="store_true", help="fail where a shape doesn't fit")
     out.add_argument("--run-log", help="folder of the run log")
@@ -208,6 +236,9 @@ def parser() -> argparse.ArgumentParser:
 def from_arguments(spark: SparkSession, argv: Sequence[str]) -> tuple[str, Job]:
     args = parser().parse_args(argv)
     doc = json.loads("\n".join(r.value for r in spark.read.text(args.dataset_file).collect()))
+    for name, given in (("name", args.dataset_name), ("version", args.dataset_version)):
+        if given is not None and given != doc[name]:
+            raise ValueError(f"{args.dataset_file} has the {name} {doc[name]}, not {given}")
     reference = layout.MappingTables(spark, args.report_date)
     tables = {t["name"]: Table(reference.get(t["path"]), {d["columnName"]: d["value"] for d in t.get("defaultMappingValue", [])}, R.filters.from_json(t.get("filter"))) for t in doc.get("mappingTables", [])}
     options = dict(o.split("=", 1) for o in args.option)
@@ -217,6 +248,7 @@ def from_arguments(spark: SparkSession, argv: Sequence[str]) -> tuple[str, Job]:
         count_validation=args.count_validation, partition_bytes=args.partition_bytes, clean_standardized=args.auto_clean, fail_fast=args.strict,
         checkpoint_listeners=plugins(doc, "checkpointPlugin"), post_processors=plugins(doc, "postProcessor"),
         run_log=args.run_log, persist=args.persist, performance_file=args.performance_file,
+        partition_strategy=args.partition_strategy, partition_least=args.partition_least, partition_most=args.partition_most, partition_sample=args.partition_sample,
     )
 
 

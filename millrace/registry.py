@@ -291,7 +291,25 @@ def std_wrong_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize(read(spark, sf_dir, "part"), schema).select("p_partkey", F.array_join("p_name", ",").alias("p_name"), e["errCode"].alias("err_code"), e["errMsg"].alias("err_msg"))
 
 
-@query()
+def _murmur3(columns: list[tuple[str, bool]]) -> str:
+    """SQL of Spark's hash (Murmur3 of 32 bits from seed 42) of integers and ASCII texts (``True``) in a row."""
+    two32 = 4294967296
+    mixed = lambda k: f"(((({k}) * 3432918353 % {two32}) * 32768 % {two32} + (({k}) * 3432918353 % {two32}) // 131072) * 461845907 % {two32})"
+    turned = lambda x: f"((({x}) * 8192 % {two32} + ({x}) // 524288) * 5 + 3864292196) % {two32}"
+    out = "CAST(42 AS HUGEINT)"
+    for name, text in columns:
+        size = f"strlen({name})" if text else "4"
+        byte = lambda i: f"CAST(ascii(substr({name}, {i}, 1)) AS HUGEINT)"
+        words = f"list_transform(range(0, strlen({name}) // 4), lambda i: {byte('4*i+1')} + 256 * {byte('4*i+2')} + 65536 * {byte('4*i+3')} + 16777216 * {byte('4*i+4')}) || list_transform(range(strlen({name}) // 4 * 4, strlen({name})), lambda i: {byte('i+1')})" if text else f"[CAST({name} AS HUGEINT) % {two32}]"
+        turn = turned(f"xor(h, {mixed('k')})")
+        h = f"xor(list_reduce({words}, lambda h, k: {turn}, {out}), CAST({size} AS HUGEINT))"
+        for factor, shift in ((2246822507, 65536), (3266489909, 8192), (1, 65536)):  # each bit reaches all others
+            h = f"list_transform([{h}], lambda x: xor(x, x // {shift}) * {factor} % {two32})[1]"
+        out = h
+    return out
+
+
+@query("SELECT * EXCLUDE (h), CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER) AS record_id FROM (SELECT *, " + _murmur3([("n_nationkey", False), ("n_name", True), ("n_regionkey", False)]) + " AS h FROM nation)")
 def std_record_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stable id hashed from all columns."""
     df = read(spark, sf_dir, "nation")
@@ -441,9 +459,9 @@ def paging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.page(read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 40, 20)
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'a1')")
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'd rod')")
 def search_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.search(read(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "A1")
+    return runs.search(read(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "D Rod")
 
 
 @query("SELECT vec_id, CAST(unnest(generate_series(0, len(embedding) - 1)) AS INTEGER) AS \"order\", unnest(embedding) AS element FROM embeddings")

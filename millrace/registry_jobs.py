@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import sql
 from millrace.operators import rules as R
-from millrace.plans import catalog
+from millrace.plans import catalog, sizing
 from millrace.plans import migrations as M
 from millrace.plans.conform import conform
 from millrace.registry import query, read
@@ -94,3 +95,37 @@ def catalog_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = keys.join(last, "name").join(report, "name", "left")
     held = F.col("said").like("%is used by%")
     return rows.select("c_custkey", "version", F.when(~held, F.col("said")).alias("refused"), "disabled", F.when(held, 1).otherwise(0).alias("held"))
+
+
+@query("SELECT l_orderkey, l_linenumber, true AS within FROM lineitem")
+def job_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of sizes within a window, as the folder shows them, told by a sample that is written first."""
+    lines, at = read(spark, sf_dir, "lineitem"), shared_path(spark, "sized")
+    least, most = 60_000, 240_000
+    sizing.resized(lines, "sample", least, most, 20_000).write.parquet(at)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(at).select("path", "length")
+    alone = files.count() == 1
+    fits = files.select(F.substring_index("path", "/", -1).alias("file"), ((F.col("length") <= most) & ((F.col("length") >= least) | F.lit(alone))).alias("within"))
+    return spark.read.parquet(at).select("l_orderkey", "l_linenumber", F.substring_index(F.input_file_name(), "/", -1).alias("file")).join(F.broadcast(fits), "file").drop("file")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderstatus = 'O' THEN 'open' END AS state, CASE WHEN o_orderstatus IN ('F', 'O') THEN '' ELSE 'E00001:state:' || o_orderstatus END
+  || CASE WHEN o_orderkey % 10 = 0 THEN 'E00003:price:' || o_orderpriority ELSE '' END AS told
+FROM orders
+""")
+def rule_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule of the caller's own in SQL text, with errors made and gathered by functions of the session."""
+    sql.register(spark)
+
+    def change(df: DataFrame) -> DataFrame:
+        state = "CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' END"
+        unknown = "confMappingErr('state', array(o_orderstatus), array(named_struct('mappingTableColumn', 'code', 'mappedDatasetColumn', 'o_orderstatus')))"
+        df = df.selectExpr("*", f"{state} AS state")
+        df = df.withColumn("errCol", F.expr(f"CASE WHEN state IS NULL THEN errorColumnAppend(errCol, {unknown}) ELSE errCol END"))
+        again = "CASE WHEN o_orderkey % 10 = 0 THEN errorColumnAppend(errorColumnAppend(errCol, confCastErr('price', o_orderpriority)), confCastErr('price', o_orderpriority)) ELSE errCol END"
+        return df.withColumn("errCol", F.expr(f"arrayDistinctErrors({again})"))
+
+    out = conform(read(spark, sf_dir, "orders"), [R.Custom(order=1, output="state", change=change)])
+    told = F.array_join(F.transform("errCol", lambda e: F.concat_ws(":", e["errCode"], e["errCol"], F.array_join(e["rawValues"], ","))), "")
+    return out.select("o_orderkey", "state", told.alias("told"))
