@@ -1,6 +1,7 @@
 """What happened to runs: an append-only table of events, from which the state of every run is read.
 
-A run is registered when a job starts; each change of its status, each checkpoint and what it was measured by at the end is one more row.
+A run is registered when a job starts; each change of its status, each checkpoint and what it was measured by at the end is one more row. An event is
+a small file that the driver writes without a Spark job; ``compact`` puts those that there are into one table, so their number stays small.
 Nothing is rewritten. Numbers of runs, and of versions in the catalog, are claimed by files that only one writer can make, so two jobs that start
 at once get different ones.
 """
@@ -41,9 +42,24 @@ class RunLog:
     path: str
 
     def events(self) -> DataFrame:
-        if not layout.exists(self.spark, f"{self.path}/events"):
-            return self.spark.createDataFrame([], EVENTS)
-        return self.spark.read.schema(EVENTS).parquet(f"{self.path}/events")
+        found = self.spark.createDataFrame([], EVENTS)
+        if layout.children(self.spark, f"{self.path}/events"):
+            found = self.spark.read.schema(EVENTS).json(f"{self.path}/events")
+        if layout.children(self.spark, f"{self.path}/compacted"):  # an event may be in both for a moment
+            found = found.unionByName(self.spark.read.schema(EVENTS).option("recursiveFileLookup", "true").parquet(f"{self.path}/compacted")).distinct()
+        return found
+
+    def compact(self) -> int:
+        """Put the events that are files of their own into the table, and say how many. Readers see each event all the time."""
+        names = layout.children(self.spark, f"{self.path}/events")
+        if not names:
+            return 0
+        staged, key = f"{self.path}/_staging/{uuid.uuid4().hex}", uuid.uuid4().hex
+        self.spark.read.schema(EVENTS).json([f"{self.path}/events/{n}" for n in names]).coalesce(1).write.parquet(staged)
+        layout.move(self.spark, staged, f"{self.path}/compacted/{key}")
+        for name in names:
+            layout.delete(self.spark, f"{self.path}/events/{name}")
+        return len(names)
 
     def start(self, dataset: str, version: int, info_date: dt.date, report_version: int | None = None) -> Run:
         """A new run, with the next number of its dataset and version and an id of its own."""
@@ -57,9 +73,9 @@ class RunLog:
 
     def add(self, run: Run, event: int, status: str, measures: Mapping[str, Any] | None = None, report_version: int | None = None) -> None:
         """One more event of a run; a later one has a larger number."""
-        row = (run.dataset, run.version, run.run_id, run.unique_id, event, status, run.started, run.info_date, report_version or run.report_version, json.dumps(measures, sort_keys=True) if measures else None)
-        frame = self.spark.createDataFrame([row], EVENTS.replace(", at timestamp", "")).withColumn("at", F.current_timestamp())
-        frame.coalesce(1).write.mode("append").parquet(f"{self.path}/events")
+        row = (run.dataset, run.version, run.run_id, run.unique_id, event, status, run.started, run.info_date.isoformat(), report_version or run.report_version, json.dumps(measures, sort_keys=True) if measures else None, dt.datetime.now(dt.UTC).isoformat())
+        names = [f.split()[0] for f in EVENTS.split(", ")]
+        layout.write_text(self.spark, f"{self.path}/events/{run.unique_id}-{event}-{status}.json", json.dumps(dict(zip(names, row, strict=True))) + "\n")
 
     def runs(self) -> DataFrame:
         """The state of every run, as the queries in ``runs`` take it, with the counts and error numbers of its measures."""

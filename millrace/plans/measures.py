@@ -64,7 +64,7 @@ class Measures:
     def checkpoint(self, name: str, df: DataFrame) -> dict[str, Any]:
         """Measure a frame in a pass of its own; controls whose column it doesn't have are left out."""
         there = self._there(df)
-        return self._add(name, there, measured(df, there).first().asDict())
+        return self.add(name, there, measured(df, there).first().asDict())
 
     def finish(self, name: str, df: DataFrame, source: DataFrame | None = None) -> dict[str, int]:
         """Checkpoint of written data and its error statistics, in one pass; ``source`` is the frame that was written.
@@ -77,7 +77,7 @@ class Measures:
         values = {c.name: row[f"c{i}"] for i, c in enumerate(there)}
         self.settle(source, {c.column: values[c.name] for c in there if c.kind == "distinctCount"})
         check_not_empty(row["records"], self)
-        self._add(name, there, values)
+        self.add(name, there, values)
         return {"records": 0, "failed": 0, "succeeded": 0, "errors": 0} | {k: row[k] for k in stats}
 
     def observe(self, name: str, df: DataFrame) -> DataFrame:
@@ -104,10 +104,10 @@ class Measures:
                         apart.append(c)
             if apart:
                 values |= measured(df, apart).first().asDict()
-            self._add(name, there, values)
+            self.add(name, there, values)
         self.pending = []
 
-    def _add(self, name: str, there: list[Control], row: dict[str, Any]) -> dict[str, Any]:
+    def add(self, name: str, there: list[Control], row: dict[str, Any]) -> dict[str, Any]:
         """Failing listeners are only warned about."""
         point = {"name": name, "order": len(self.checkpoints) + 1, "controls": [{"controlName": c.name, "controlType": c.kind, "controlCol": c.column, "controlValue": _text(row[c.name])} for c in there]}
         self.checkpoints.append(point)

@@ -214,7 +214,7 @@ def _job(spark: SparkSession, sf_dir: str, **more) -> job.Job:
     n = df.count()
     told = measures.Measures({"sourceApplication": "orders"})
     for name in ("Source", "Raw"):
-        told._add(name, list(told.controls), {"recordCount": n})
+        told.add(name, list(told.controls), {"recordCount": n})
     told.write(spark, raw)
     schema = T.StructType([FIELD("o_orderkey", T.LongType(), False), FIELD("o_orderstatus", T.StringType()), FIELD("o_custkey", T.LongType())])
     rules = [R.Uppercase(order=1, input="o_orderstatus", output="status", checkpoint=True), R.Literal(order=2, output="kind", text="order")]
@@ -291,7 +291,7 @@ def job_count_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = measures.Measures()
     told.checkpoint("Source", df)
     missing = said(lambda: measures.check_counts(told))
-    told._add("Raw", list(told.controls), {"recordCount": df.count() + 1})
+    told.add("Raw", list(told.controls), {"recordCount": df.count() + 1})
     return df.agg(F.count("*").alias("n")).select("n", F.lit(said(lambda: measures.check_counts(told))).alias("strict"), F.lit(said(lambda: measures.check_counts(told, "none"))).alias("none"), F.lit(missing).alias("missing"))
 
 
