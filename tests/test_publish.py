@@ -15,6 +15,7 @@ from millrace.operators import rules as R
 from millrace.plans import conform as C
 from millrace.plans import job as J
 from millrace.plans import measures as M
+from millrace.plans.lifecycle import RunLog
 from millrace.sources import layout, publish
 
 DAY = dt.date(2024, 5, 6)
@@ -102,3 +103,14 @@ def test_distinct_counts_take_no_pass_before_the_write(spark, tmp_path):
     assert values["1 LiteralConformanceRule before"] == {"n": "40", "same": "7", "changed": "5", "gone": "3"}
     assert values["4 LiteralConformanceRule after"] == {"n": "40", "same": "7", "changed": "1"}
     assert M._same(df, out, "s") and not M._same(df, out, "t") and not M._same(df, out, "u")
+
+
+def test_events_are_compacted(spark, tmp_path):
+    log = RunLog(spark, f"{tmp_path}/log")
+    runs = [log.start("d", 1, DAY) for _ in range(3)]
+    log.add(runs[0], 5, "allSucceeded", {"records": 7, "checkpoints": []})
+    before = sorted(map(repr, log.events().collect()))
+    assert log.compact() == 4 and layout.children(spark, f"{tmp_path}/log/events") == [] and sorted(map(repr, log.events().collect())) == before
+    log.add(runs[1], 6, "failed")
+    assert [(r.run_id, r.status, r.records) for r in log.runs().orderBy("run_id").collect()] == [(1, "allSucceeded", 7), (2, "failed", None), (3, "running", None)]
+    assert log.compact() == 1 and log.compact() == 0 and log.events().count() == 5 and log.start("d", 1, DAY).run_id == 4
