@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import frequent, work_path
+from ._common import frequent, remove, work_path
 from .quotient_filter import HEAD as HEAD_BITS
 from .quotient_filter import Filter, Layout
 
@@ -140,8 +140,11 @@ def _encoded(docs: DataFrame, known: dict[str, dict[bytes, int]], marks: np.ndar
     return docs.select("lang", "text").mapInArrow(encode, schema)
 
 
-def _written(df: DataFrame, what: str) -> DataFrame:
+def _written(df: DataFrame, what: str, paths: list[str] | None = None) -> DataFrame:
+    """Computed once, into the shared folder; ``paths`` gets the place of what isn't read to the end."""
     df.write.option("compression", "zstd").parquet(at := work_path(df.sparkSession, what))
+    if paths is not None:
+        paths.append(at)
     return df.sparkSession.read.parquet(at)
 
 
@@ -267,14 +270,14 @@ def mine(docs: DataFrame, least: int = LEAST, words: int = WORDS, top: int = TOP
     for row in first.collect():
         sent.setdefault(row.lang, {})[row.word.encode()] = row.id
     size = known.count()
-    rest = None
+    rest, done = None, []
     if size > sum(map(len, sent.values())):
         rest = known.join(F.broadcast(first.select("id")), "id", "left_anti")
     mark = F.pmod(F.crc32(F.concat("lang", F.lit("\0"), "word")), F.lit(MARKS)).alias("mark")
     encoded = _encoded(texts, sent, None if rest is None else _bitmap(rest.select(mark)))
     if rest is not None:
-        encoded = _with_others(_written(encoded.withColumn("row", F.monotonically_increasing_id()), "phrase-texts"), rest)
-    encoded = _written(encoded.select("ids"), "phrase-ids")
+        encoded = _with_others(_written(encoded.withColumn("row", F.monotonically_increasing_id()), "phrase-texts", done), rest)
+    encoded = _written(encoded.select("ids"), "phrase-ids", done)
     length = encoded.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
     shards = min(16, max(0, (length // SHARD).bit_length()))
     found, marks = known.select(F.array("id").alias("ids"), F.col("n").alias("f")), None
@@ -285,4 +288,6 @@ def mine(docs: DataFrame, least: int = LEAST, words: int = WORDS, top: int = TOP
         marks = _bitmap(level.select("mark"))
         if not marks.any():
             break
+    for at in done:
+        remove(spark, at)
     return _best(_scored(found, known, totals), known, top)
