@@ -36,6 +36,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 #: Words after which a novel string is taken for a secret, and the reach of each in characters.
 SENSITIVE = re.compile(r"passw|passwd|passphrase|pwd|secret|token|credential|api[_ -]?key|private[_ -]?key|access[_ -]?key|client[_ -]?id|auth|bearer|session|signature|login", re.ASCII | re.IGNORECASE)
 REACH = 64
+#: A text without any of these holds no sensitive word, in whatever case.
+STEMS = ("passw", "passphrase", "pwd", "secret", "token", "credential", "key", "client", "auth", "bearer", "session", "signature", "login")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{12,}", re.ASCII)
 DIGIT = re.compile(r"[0-9]")
 #: Characters of surrounding text that a candidate is measured against, on each side; and the longest piece measured at once.
@@ -46,6 +48,8 @@ NOVEL = 0.45
 NOVEL_WORD = 0.65
 #: Words of identifiers: runs of letters beside what joins or follows names in code. They are shorter than any candidate, so no secret becomes one.
 IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z]{3,11}(?=[_=:(]|\.[A-Za-z])|(?<=[_]|[A-Za-z]\.)[A-Za-z]{3,11}(?![A-Za-z0-9])"
+#: A text without any of these holds no identifier either.
+JOINED = r"[_=:(]|\.[A-Za-z]"
 #: The most frequent of them prime the dictionary, this many.
 MOST = 4000
 #: Identifiers that prime the dictionary where no corpus is at hand.
@@ -95,27 +99,28 @@ class Novelty:
 
 def identifiers(docs: DataFrame, text: str = "text", most: int = MOST) -> list[str]:
     """The ``most`` frequent words of identifiers in all texts, in lower case, the most frequent last; of equal counts the first in the alphabet."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(IDENTIFIER), F.lit(0))).alias("word"))
+    words = docs.where(F.col(text).rlike(JOINED)).select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(IDENTIFIER), F.lit(0))).alias("word"))
     ranked = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(most)
     return [r.word for r in reversed(ranked.collect())]
 
 
-def base(text: str) -> list[tuple[int, int, str, int]]:
-    """Base spans as (start, order of kind, kind, end), sorted."""
+def base(text: str, lower: str | None = None) -> list[tuple[int, int, str, int]]:
+    """Base spans as (start, order of kind, kind, end), sorted; ``lower`` is the text in lower case, if it is known."""
     spans = [(m.start(), 2, "hex", m.end()) for m in HEX.finditer(text)]
     if "AKIA" in text:
         spans += [(m.start(), 1, "access", m.end()) for m in ACCESS.finditer(text)]
-    lower = text.lower()
+    lower = text.lower() if lower is None else lower
     if any(name in lower for name in NAMES):
         spans += [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
     return sorted(spans)
 
 
 def scan(text: str, novelty: Novelty, least: float = NOVEL) -> list[dict]:
-    spans = base(text)
+    lower = text.lower()
+    spans = base(text, lower)
     covered = sorted((s, e) for s, _, _, e in spans)
     scores = {(s, e): novelty.of(text, s, e) for s, e in covered}
-    words = list(SENSITIVE.finditer(text))
+    words = list(SENSITIVE.finditer(text)) if any(stem in lower for stem in STEMS) else []
     ends, taken = [w.end() for w in words], 0
     for m in CANDIDATE.finditer(text) if words else ():
         start, end = m.span()
