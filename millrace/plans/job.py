@@ -68,6 +68,8 @@ class Job:
     persist: str | None = None
     #: File that gets the seconds, records and bytes of the last stage.
     performance_file: str | None = None
+    #: Folder of the raw data, instead of that of the date below ``raw_path``.
+    raw_folder: str | None = None
 
 
 def _measures(spark: SparkSession, job: Job, folder: str) -> M.Measures:
@@ -149,7 +151,7 @@ def standardize(spark: SparkSession, job: Job, run: Run | None = None) -> DataFr
     """Raw data to the standardized path."""
     prepare(spark)
     with _Stage(spark, job, "Standardization", run, "stageSucceeded") as stage:
-        folder = layout.raw_path(job.raw_path, job.date, job.report_version or 1, job.prefix)
+        folder = job.raw_folder or layout.raw_path(job.raw_path, job.date, job.report_version or 1, job.prefix)
         measures = _measures(spark, job, folder)
         raw, corrupt = readers.read(spark, job.format, folder, job.schema, **job.format_options)
         raw = readers.spread(raw, layout.children(spark, folder))
@@ -204,6 +206,50 @@ def _positive(text: str) -> int:
     return int(text)
 
 
+def _truth(text: str) -> bool:
+    if text.lower() not in ("true", "false"):
+        raise argparse.ArgumentTypeError(f"{text} is neither true nor false")
+    return text.lower() == "true"
+
+
+#: Options of raw formats on the command line: the formats that have them, their names in the library, and how they are read.
+FORMAT_OPTIONS: dict[str, tuple[tuple[str, ...], str, Callable[[str], Any]]] = {
+    "charset": (("csv", "json", "xml", "cobol", "fixed-width"), "charset", str),
+    "delimiter": (("csv",), "delimiter", str),
+    "header": (("csv",), "header", _truth),
+    "csv-quote": (("csv",), "quote", str),
+    "csv-escape": (("csv",), "escape", str),
+    "null-value": (("csv", "xml", "fixed-width"), "null_value", str),
+    "row-tag": (("xml",), "row_tag", str),
+    "trim-values": (("fixed-width",), "trim", _truth),
+    "empty-values-as-nulls": (("fixed-width",), "empty_as_null", _truth),
+    "copybook": (("cobol",), "copybook", str),
+    "cobol-encoding": (("cobol",), "encoding", str),
+    "cobol-is-text": (("cobol",), "is_text", _truth),
+    "cobol-trimming-policy": (("cobol",), "trimming", str),
+    "is-xcom": (("cobol",), "xcom", _truth),
+    "strict-schema-check": (("csv", "json", "xml"), "strict", _truth),
+}
+
+
+def _format_options(spark: SparkSession, args: argparse.Namespace) -> dict[str, Any]:
+    """Options of the raw format; those of other formats are refused. A copybook is given by its path."""
+    out: dict[str, Any] = {k: {"true": True, "false": False}.get(v.lower(), v) for k, v in (o.split("=", 1) for o in args.option)}
+    for flag, (formats, name, _) in FORMAT_OPTIONS.items():
+        value = getattr(args, flag.replace("-", "_"))
+        if value is None:
+            continue
+        if args.raw_format not in formats:
+            raise ValueError(f"--{flag} is an option of {', '.join(formats)}, not of {args.raw_format}")
+        out[name] = layout.read_text(spark, value) if flag == "copybook" else value
+    return out
+
+
+def _dated(pattern: str) -> str:
+    """A pattern of year, month and day for ``layout.mapping_table``."""
+    return pattern.replace("{0}", "{0:%Y}").replace("{1}", "{0:%m}").replace("{2}", "{0:%d}")
+
+
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="millrace", description="Standardize and conform a dataset.")
     out.add_argument("stage", choices=("standardize", "conform", "both"))
@@ -216,7 +262,12 @@ def parser() -> argparse.ArgumentParser:
     login.add_argument("--credentials-file", help="file with a user's name and password for the catalog's service")
     login.add_argument("--auth-keytab", help="keytab for the catalog's service")
     out.add_argument("--raw-format", default="parquet", choices=readers.FORMATS)
-    out.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="an option of the raw format")
+    out.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="an option of the raw format by its name in the library")
+    for flag, (formats, _, kind) in FORMAT_OPTIONS.items():
+        out.add_argument(f"--{flag}", type=kind, help=f"of {', '.join(formats)}")
+    out.add_argument("--standardized-path", help="where standardized data goes; {0} name, {1} version, {2} report date, {3} report version")
+    out.add_argument("--debug-set-raw-path", help="folder of the raw data, instead of that of the date")
+    out.add_argument("--mapping-table-pattern", default="reportDate={0}-{1}-{2}", help="folder of a mapping table's date: {0} year, {1} month, {2} day; nothing for no folder")
     out.add_argument("--folder-prefix")
     out.add_argument("--record-id", default="none", choices=S.RECORD_IDS)
     out.add_argument("--count-validation", default="none", choices=("strict", "warning", "none"))
@@ -240,15 +291,18 @@ def from_arguments(spark: SparkSession, argv: Sequence[str]) -> tuple[str, Job]:
         if given is not None and given != doc[name]:
             raise ValueError(f"{args.dataset_file} has the {name} {doc[name]}, not {given}")
     reference = layout.MappingTables(spark, args.report_date)
-    tables = {t["name"]: Table(reference.get(t["path"]), {d["columnName"]: d["value"] for d in t.get("defaultMappingValue", [])}, R.filters.from_json(t.get("filter"))) for t in doc.get("mappingTables", [])}
-    options = dict(o.split("=", 1) for o in args.option)
+    pattern = _dated(args.mapping_table_pattern)
+    tables = {t["name"]: Table(reference.get(t["path"], pattern), {d["columnName"]: d["value"] for d in t.get("defaultMappingValue", [])}, R.filters.from_json(t.get("filter"))) for t in doc.get("mappingTables", [])}
+    standardized = (args.standardized_path or doc["standardizedPath"]).format(doc["name"], doc["version"], args.report_date, args.report_version or 1)
+    options = _format_options(spark, args)
     return args.stage, Job(
-        doc["name"], doc["version"], args.report_date, T.StructType.fromJson(doc["schema"]), doc["rawPath"], doc["standardizedPath"], doc["publishedPath"],
+        doc["name"], doc["version"], args.report_date, T.StructType.fromJson(doc["schema"]), doc["rawPath"], standardized, doc["publishedPath"],
         args.report_version, [R.from_json(r) for r in doc.get("conformance", [])], tables, args.raw_format, options, args.folder_prefix, args.record_id,
         count_validation=args.count_validation, partition_bytes=args.partition_bytes, clean_standardized=args.auto_clean, fail_fast=args.strict,
         checkpoint_listeners=plugins(doc, "checkpointPlugin"), post_processors=plugins(doc, "postProcessor"),
         run_log=args.run_log, persist=args.persist, performance_file=args.performance_file,
         partition_strategy=args.partition_strategy, partition_least=args.partition_least, partition_most=args.partition_most, partition_sample=args.partition_sample,
+        raw_folder=args.debug_set_raw_path,
     )
 
 

@@ -94,3 +94,27 @@ def test_arguments_that_are_refused(spark, tmp_path, capsys):
     for more, said in ((["--dataset-name", "e"], "the name d, not e"), (["--dataset-version", "4"], "the version 3, not 4")):
         with pytest.raises(ValueError, match=said):
             job.from_arguments(spark, [*base, *more])
+
+
+def test_options_of_formats(spark, tmp_path):
+    (tmp_path / "book").write_text("01 R. 05 A PIC X(3).")
+    doc = {"name": "d", "version": 3, "schema": {"type": "struct", "fields": []}, "rawPath": "r", "standardizedPath": "s", "publishedPath": "p", "mappingTables": [{"name": "t", "path": f"{tmp_path}/t"}]}
+    (tmp_path / "d.json").write_text(json.dumps(doc))
+    spark.range(3).write.parquet(f"{tmp_path}/t/2024/01-02")
+    base = ["both", "--dataset-file", str(tmp_path / "d.json"), "--report-date", "2024-01-02", "--mapping-table-pattern", "{0}/{1}-{2}"]
+
+    def given(*more):
+        return job.from_arguments(spark, [*base, *more])[1]
+
+    csv = given("--raw-format", "csv", "--delimiter", "U+00A1", "--header", "true", "--csv-quote", "none", "--charset", "ISO-8859-1", "--null-value", "-", "--strict-schema-check", "false", "--option", "multi_line=true")
+    assert csv.format_options == {"multi_line": True, "charset": "ISO-8859-1", "delimiter": "U+00A1", "header": True, "quote": "none", "null_value": "-", "strict": False} and csv.tables["t"].rows.count() == 3
+    book = given("--raw-format", "cobol", "--copybook", str(tmp_path / "book"), "--cobol-encoding", "ascii", "--cobol-is-text", "false", "--cobol-trimming-policy", "left", "--is-xcom", "true")
+    assert book.format_options == {"copybook": "01 R. 05 A PIC X(3).", "encoding": "ascii", "is_text": False, "trimming": "left", "xcom": True}
+    fixed = given("--raw-format", "fixed-width", "--trim-values", "true", "--empty-values-as-nulls", "true", "--standardized-path", "/x/{0}-{1}/{2}/v{3}", "--debug-set-raw-path", "/raw", "--report-version", "4")
+    assert fixed.format_options == {"trim": True, "empty_as_null": True} and (fixed.standardized_path, fixed.raw_path, fixed.raw_folder) == ("/x/d-3/2024-01-02/v4", "r", "/raw")
+    with pytest.raises(ValueError, match="--row-tag is an option of xml, not of csv"):
+        given("--raw-format", "csv", "--row-tag", "x")
+    with pytest.raises(SystemExit):
+        given("--raw-format", "csv", "--header", "maybe")
+    with pytest.raises(FileNotFoundError):
+        given("--mapping-table-pattern", "{0}")
