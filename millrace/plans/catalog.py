@@ -324,3 +324,32 @@ def check_properties(given: Mapping[str, str], definitions: Sequence[Property],
         elif d.essentiality == "Recommended":
             found.warnings[d.name].append(f"property '{d.name}' is recommended, but there is no value")
     return found
+
+
+def property_findings(given: DataFrame, definitions: Sequence[Property], for_run: bool = False) -> DataFrame:
+    """What ``check_properties`` says about the properties (dataset, name, value) of any number of datasets: rows (dataset, property, level, said).
+
+    Properties meet their definitions by broadcast; what a dataset lacks is the definitions that ask for a value without the names that it has one for. A dataset
+    without any property is given as a row without a name.
+    """
+    spark = given.sparkSession
+    kind = "name string, allowed array<string>, disabled boolean"
+    known = spark.createDataFrame([(d.name, None if d.allowed is None else list(d.allowed), d.disabled) for d in definitions], kind).withColumn("known", F.lit(True))
+    rows = given.where("name IS NOT NULL").join(F.broadcast(known), "name", "left")
+    said = (
+        F.when(F.col("known").isNull(), F.concat(F.lit("there is no property definition for '"), "name", F.lit("'")))
+        .when(F.col("disabled"), F.concat(F.lit("property definition '"), "name", F.lit("' is disabled")))
+        .when(F.col("allowed").isNotNull() & ~F.coalesce(F.array_contains("allowed", F.col("value")), F.lit(False)), F.concat(F.lit("value '"), F.coalesce("value", F.lit("None")), F.lit("' is not one of "), F.array_join("allowed", ", ")))
+    )
+    wrong = rows.select("dataset", F.col("name").alias("property"), F.lit("error").alias("level"), said.alias("said")).where("said IS NOT NULL")
+    wanted = []
+    for d in definitions:
+        if not d.disabled and d.essentiality in ("Mandatory", "Recommended"):
+            mandatory = d.essentiality == "Mandatory"
+            text = f"property '{d.name}' is {d.essentiality.lower()}, but there is no value"
+            wanted.append(F.struct(F.lit(d.name).alias("property"), F.lit("error" if mandatory and not (for_run and d.allow_run) else "warning").alias("level"), F.lit(text).alias("said")))
+    if not wanted:
+        return wrong
+    named = given.groupBy("dataset").agg(F.collect_set(F.when(F.col("name").isin([d.name for d in definitions]) & (F.coalesce("value", F.lit("")) != ""), F.col("name"))).alias("names"))
+    lacking = named.select("dataset", F.inline(F.filter(F.array(*wanted), lambda w: ~F.array_contains("names", w["property"]))))
+    return wrong.unionByName(lacking)

@@ -129,3 +129,19 @@ def rule_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = conform(read(spark, sf_dir, "orders"), [R.Custom(order=1, output="state", change=change)])
     told = F.array_join(F.transform("errCol", lambda e: F.concat_ws(":", e["errCode"], e["errCol"], F.array_join(e["rawValues"], ","))), "")
     return out.select("o_orderkey", "state", told.alias("told"))
+
+
+@query("""
+WITH g AS (SELECT c_custkey, unnest([{'n': 'segment', 'v': c_mktsegment}, {'n': CASE WHEN c_custkey % 3 = 0 THEN 'owner' END, 'v': 'x'}, {'n': CASE WHEN c_nationkey < 5 THEN 'color' END, 'v': c_name}, {'n': CASE WHEN c_custkey % 4 = 0 THEN 'old' END, 'v': ''}]) AS p FROM customer)
+SELECT c_custkey, p.n AS property, 'error' AS level, CASE p.n WHEN 'color' THEN 'there is no property definition for ''color''' WHEN 'old' THEN 'property definition ''old'' is disabled' ELSE 'value ''' || p.v || ''' is not one of BUILDING, MACHINERY' END AS said
+FROM g WHERE p.n IN ('color', 'old') OR p.n = 'segment' AND p.v NOT IN ('BUILDING', 'MACHINERY')
+UNION ALL SELECT c_custkey, 'owner', 'warning', 'property ''owner'' is mandatory, but there is no value' FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT c_custkey, 'team', 'warning', 'property ''team'' is recommended, but there is no value' FROM customer
+""")
+def catalog_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of as many datasets as there are customers, checked for a run against their definitions."""
+    pairs = {"segment": F.col("c_mktsegment"), "owner": F.when(F.col("c_custkey") % 3 == 0, "x"), "color": F.when(F.col("c_nationkey") < 5, F.col("c_name")), "old": F.when(F.col("c_custkey") % 4 == 0, "")}
+    each = F.array(*(F.struct(F.when(v.isNotNull(), n).alias("name"), v.alias("value")) for n, v in pairs.items()))
+    given = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("dataset"), F.inline(each))
+    definitions = [catalog.Property("segment", allowed=("BUILDING", "MACHINERY")), catalog.Property("owner", "Mandatory", allow_run=True), catalog.Property("team", "Recommended"), catalog.Property("old", "Mandatory", disabled=True)]
+    return catalog.property_findings(given, definitions, for_run=True).withColumnRenamed("dataset", "c_custkey")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import threading
 
 import pytest
@@ -106,3 +107,16 @@ def test_migrations(spark, tmp_path):
 def test_migrations_that_dont_fit(spark, tmp_path, steps, said):
     with pytest.raises(ValueError, match=said):
         M.Documents(spark, str(tmp_path / "d"), ["a", "b"], steps).migrate(1)
+
+
+@pytest.mark.parametrize("for_run", [False, True])
+def test_findings_of_many_datasets_are_those_of_each(spark, for_run):
+    rng = random.Random(9)
+    definitions = [catalog.Property("a", "Mandatory"), catalog.Property("b", "Mandatory", allow_run=True), catalog.Property("c", "Recommended", ("x", "y")), catalog.Property("d", disabled=True), catalog.Property("e", allowed=())]
+    datasets = {n: {k: rng.choice(["x", "z", ""]) for k in rng.sample("abcdeq", rng.randrange(6))} for n in range(40)}
+    rows = [(n, k, v) for n, given in datasets.items() for k, v in (given.items() or [(None, None)])]
+    found = catalog.property_findings(spark.createDataFrame(rows, "dataset int, name string, value string"), definitions, for_run).collect()
+    for n, given in datasets.items():
+        want = catalog.check_properties(given, definitions, for_run)
+        pairs = [(k, "error", t) for k, texts in want.errors.items() for t in texts] + [(k, "warning", t) for k, texts in want.warnings.items() for t in texts]
+        assert sorted((r.property, r.level, r.said) for r in found if r.dataset == n) == sorted(pairs)
