@@ -3,7 +3,8 @@
 Texts are cut into pieces and words; everything is counted per language. A phrase is frequent from ``least`` occurrences on, and every part of a
 frequent phrase is frequent, so counting goes up by length: words first, which get ids; then each longer length counts only those
 n-grams both of whose parts of one word less may be frequent. What may be frequent is told by the bits of the quotients that occur among the frequent
-ones, a bitmap of ``MARKS`` bits whatever the size of the corpus: a false mark costs an exact counter that is then dropped, nothing is lost.
+ones: a bitmap of ``ROOM`` bits for each of them, no more than 2 ** ``MARKS`` (64 MB) whatever the size of the corpus. A false mark costs an exact counter that is then dropped, nothing
+is lost; where frequent ones crowd the largest bitmap, more is counted.
 
 Each task counts its n-grams in a filter of ``quotient_filter`` (packed word ids under an invertible permutation, quotient and full remainder, so
 counts are exact) and cuts it into shards when it is large; filters of a shard are merged in sorted order, and what is frequent is read back from
@@ -24,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._common import frequent, remove, work_path
-from .quotient_filter import HEAD as HEAD_BITS
 from .quotient_filter import Filter, Layout
 
 LEAST, WORDS, TOP = 100, 5, 2000
-#: Words that are broadcast with their ids, and bits of a bitmap of what may be frequent.
-HEAD, MARKS = 1 << 17, 1 << 26
+#: Words that are broadcast with their ids; bits of a bitmap for each of what may be frequent, and the smallest and largest power of two of bits.
+HEAD, ROOM, FEWEST_MARKS, MARKS = 1 << 17, 16, 20, 29
 #: Distinct words, new n-grams and counters that a task holds; n-grams of a shard.
 HELD_WORDS, HELD_NEW, HELD_COUNTERS, SHARD = 200_000, 1 << 20, 1 << 21, 1 << 21
 
@@ -69,21 +70,34 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _key(lang: str, word: bytes) -> int:
-    return zlib.crc32(lang.encode() + b"\x00" + word) % MARKS
+    return zlib.crc32(lang.encode() + b"\x00" + word)
 
 
-def _bitmap(marks: DataFrame) -> np.ndarray:
-    """A bit for each number below MARKS of the only column; its size is fixed."""
-    bucket, position = F.floor(F.col("mark") / 32768).cast("int"), F.pmod("mark", F.lit(32768))
-    bits = np.zeros((MARKS // 32768, 4096), np.uint8)
-    for row in marks.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bits")).collect():
-        bits[row.bucket] = np.frombuffer(row.bits, np.uint8)
-    return bits.reshape(-1)
+@dataclass
+class Marks:
+    """A bitmap of 2 ** ``bits`` of the first bits of numbers of 32 bits."""
 
+    bits: int
+    data: np.ndarray
 
-def _marked(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    marks = marks.astype(np.int64)
-    return (bits[marks >> 3] >> (marks & 7).astype(np.uint8)) & 1 == 1
+    @staticmethod
+    def of(numbers: DataFrame) -> Marks:
+        """Of the only column, ``mark``."""
+        bits = min(MARKS, max(FEWEST_MARKS, (ROOM * numbers.count()).bit_length()))
+        place = F.shiftright("mark", 32 - bits)
+        data = np.zeros(((1 << bits) // 32768, 4096), np.uint8)
+        grouped = numbers.groupBy(F.floor(place / 32768).cast("int").alias("bucket")).agg(F.bitmap_construct_agg(F.pmod(place, F.lit(32768))).alias("bits"))
+        for row in grouped.toLocalIterator():
+            data[row.bucket] = np.frombuffer(row.bits, np.uint8)
+        return Marks(bits, data.reshape(-1))
+
+    def have(self, numbers: np.ndarray) -> np.ndarray:
+        at = (numbers >> np.uint64(32 - self.bits)).astype(np.int64)
+        return (self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+    def has(self, number: int) -> bool:
+        at = number >> (32 - self.bits)
+        return bool(self.data[at >> 3] >> (at & 7) & 1)
 
 
 def _dense(words: DataFrame) -> DataFrame:
@@ -108,7 +122,7 @@ def _runs(ids: np.ndarray) -> np.ndarray:
     return np.where(word, ids, 0)[keep]
 
 
-def _encoded(docs: DataFrame, known: dict[str, dict[bytes, int]], marks: np.ndarray | None) -> DataFrame:
+def _encoded(docs: DataFrame, known: dict[str, dict[bytes, int]], marks: Marks | None) -> DataFrame:
     """Each text as runs of ids of frequent words; words that may be frequent but aren't broadcast are places in ``others``, counted from -1."""
     sent = docs.sparkSession.sparkContext.broadcast((known, marks))
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("others", T.ArrayType(T.StringType()))])
@@ -121,8 +135,7 @@ def _encoded(docs: DataFrame, known: dict[str, dict[bytes, int]], marks: np.ndar
                 head, own, ids = heads.get(lang, {}), {}, []
 
                 def other(word: bytes, lang: str = lang, own: dict = own) -> int:
-                    mark = _key(lang, word)
-                    return -own.setdefault(word, len(own) + 1) if rest[mark >> 3] >> (mark & 7) & 1 else 0
+                    return -own.setdefault(word, len(own) + 1) if rest.has(_key(lang, word)) else 0
 
                 for piece in text.split(b"\n"):
                     if words := piece.split():
@@ -157,7 +170,7 @@ def _with_others(encoded: DataFrame, words: DataFrame) -> DataFrame:
     return known.select(found.alias("ids"))
 
 
-def _windows(ids: np.ndarray, layout: Layout, marks: np.ndarray | None) -> list[np.ndarray]:
+def _windows(ids: np.ndarray, layout: Layout, marks: Marks | None) -> list[np.ndarray]:
     """Permuted n-grams of the runs, without those that have a part that can't be frequent."""
     n = layout.words
     size = len(ids) - n + 1
@@ -169,17 +182,13 @@ def _windows(ids: np.ndarray, layout: Layout, marks: np.ndarray | None) -> list[
         part = Layout(n - 1, layout.bits)
         at = np.flatnonzero(np.logical_and.reduce([there[k : k + size + 1] for k in range(n - 1)]))
         may = np.zeros(size + 1, bool)
-        may[at] = _marked(marks, _quotient(part, part.permuted(part.packed([ids[at + k] for k in range(n - 1)]))))
+        may[at] = marks.have(part.head(part.permuted(part.packed([ids[at + k] for k in range(n - 1)]))))
         whole &= may[:-1] & may[1:]
     at = np.flatnonzero(whole)
     return layout.permuted(layout.packed([ids[at + k] for k in range(n)]))
 
 
-def _quotient(layout: Layout, limbs: list[np.ndarray]) -> np.ndarray:
-    return layout.head(limbs) >> np.uint64(HEAD_BITS - MARKS.bit_length() + 1)
-
-
-def _partial(encoded: DataFrame, layout: Layout, marks: np.ndarray | None, bits: int) -> DataFrame:
+def _partial(encoded: DataFrame, layout: Layout, marks: Marks | None, bits: int) -> DataFrame:
     """Filters of each task's n-grams, cut into 2 ** ``bits`` shards."""
     sent = encoded.sparkSession.sparkContext.broadcast(marks)
 
@@ -220,7 +229,7 @@ def _frequent(partial: DataFrame, layout: Layout, bits: int, least: int) -> Data
         whole = whole.where(whole.counts >= least)
         ids = np.stack([column.astype(np.int64) for column in whole.ids()], axis=1).reshape(-1)
         ends = np.arange(0, len(ids) + 1, layout.words, dtype=np.int32)
-        marks = pa.array(_quotient(layout, whole.limbs).astype(np.int64))
+        marks = pa.array(layout.head(whole.limbs).astype(np.int64))
         return pa.Table.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)), pa.array(whole.counts), marks], ["ids", "f", "mark"])
 
     return partial.groupBy("shard").applyInArrow(merge, "ids array<long>, f long, mark long")
@@ -273,8 +282,8 @@ def mine(docs: DataFrame, least: int = LEAST, words: int = WORDS, top: int = TOP
     rest, done = None, []
     if size > sum(map(len, sent.values())):
         rest = known.join(F.broadcast(first.select("id")), "id", "left_anti")
-    mark = F.pmod(F.crc32(F.concat("lang", F.lit("\0"), "word")), F.lit(MARKS)).alias("mark")
-    encoded = _encoded(texts, sent, None if rest is None else _bitmap(rest.select(mark)))
+    mark = F.crc32(F.concat("lang", F.lit("\0"), "word")).alias("mark")
+    encoded = _encoded(texts, sent, None if rest is None else Marks.of(rest.select(mark)))
     if rest is not None:
         encoded = _with_others(_written(encoded.withColumn("row", F.monotonically_increasing_id()), "phrase-texts", done), rest)
     encoded = _written(encoded.select("ids"), "phrase-ids", done)
@@ -285,8 +294,8 @@ def mine(docs: DataFrame, least: int = LEAST, words: int = WORDS, top: int = TOP
         layout = Layout(n, max(1, size.bit_length()))
         level = _written(_frequent(_partial(encoded, layout, marks, shards), layout, shards, least), f"phrase-{n}")
         found = found.unionByName(level.select("ids", "f"))
-        marks = _bitmap(level.select("mark"))
-        if not marks.any():
+        marks = Marks.of(level.select("mark"))
+        if not marks.data.any():
             break
     for at in done:
         remove(spark, at)
