@@ -30,6 +30,8 @@ TRIMMING = ("none", "left", "right", "both")
 FLOATS = ("ibm", "ieee")
 #: Bytes of a file with record headers that a task reads, and that are in memory at once.
 RANGE, BLOCK = 32 << 20, 2 << 20
+#: Tasks at most that index files or read ranges.
+PARTITIONS = 50_000
 HEADER = 4
 
 
@@ -93,8 +95,9 @@ def ranges(spark: SparkSession, path: str | list[str], big_endian: bool = False,
                 found = list(_cuts(at, length, size, big_endian))
                 yield pa.RecordBatch.from_arrays([pa.array([at] * len(found)), pa.array([a for a, _ in found], pa.int64()), pa.array([b - a for a, b in found], pa.int64())], ["path", "start", "size"])
 
-    dealt = files.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(cut, schema)
-    return dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("path", "start"))
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    dealt = files.repartition(min(PARTITIONS, max(1, total[1]))).mapInArrow(cut, schema)  # one file, one task
+    return dealt.repartition(min(PARTITIONS, max(1, -(-total[0] // size))))
 
 
 def _open(path: str) -> pa.NativeFile:
