@@ -84,3 +84,24 @@ def test_no_task_has_many_more_rows_than_others(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_skewed_joins_of_no_rows_and_of_nulls_alone(spark):
+    right = spark.createDataFrame([(1, "x")], "rk int, v string")
+    for rows in ([], [(None,)] * 5, [(1,)] * 5, [(2,)]):
+        left = spark.createDataFrame(rows, "k int")
+        found = lookups.spread_join(left, right, [F.col("k")], ["rk"], "v")
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, left.join(right, F.col("k") == F.col("rk"), "left").collect()))
+    rule = R.Mapping(order=1, table="t", keys=(("rk", "k"),), target="v", output="v")
+    none = conform(spark.createDataFrame([], "k int"), [rule], {"t": Table(right)}, Options(broadcast_bytes=0))
+    assert none.count() == 0 and none.columns == ["k", "errCol", "v"]
+
+
+def test_outputs_below_a_struct_that_isnt_there(spark):
+    df = spark.createDataFrame([(1, [(1,), (2,), None]), (2, None)], "id long, a array<struct<k: long>>")
+    table = {"t": Table(spark.createDataFrame([(1, "one", 10)], "k long, v string, n int"))}
+    rules = [R.Mapping(order=i, table="t", keys=(("k", "a.k"),), target=t, output=f"a.new.{t}") for i, t in enumerate(("v", "n"))]
+    for options in (Options(), Options(map_rows=0), Options(map_rows=0, broadcast_bytes=0)):
+        found = {r["id"]: r for r in rows(conform(df, rules, table, options))}
+        assert [x["new"] for x in found[1]["a"][:2]] == [{"v": "one", "n": 10}, {"v": None, "n": None}] and found[2]["a"] is None and found[2]["errCol"] == []
+        assert [e["errCol"] for e in found[1]["errCol"]] == ["a.new.v", "a.new.n"] or len(found[1]["errCol"]) == 4
