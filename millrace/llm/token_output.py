@@ -1,7 +1,8 @@
 """Token ids in training order, as fixed-stride binary shards.
 
 Texts become token ids, each text closed by the end-of-text id, and are packed into sequences of ``length`` ids in the order in
-which they are read; the last sequence of a task is padded with end-of-text ids. Sequences are numbered without gaps over all tasks.
+which they are read; the last sequence of a task is padded with end-of-text ids. The texts of an Arrow batch are cut where
+the vocabulary's pattern always cuts, and each different piece is encoded once. Sequences are numbered without gaps over all tasks.
 A keyed Feistel network over the next even power of two, walked along its cycles until it is back among the numbers in
 use, permutes these numbers: every sequence gets a global slot of its own and the training order needs no shuffle buffer.
 Range partitions of the slots write shards of ``per_shard`` sequences; every sequence takes the same number of bytes, so slot s
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import tiktoken
 import zstandard
@@ -48,6 +50,13 @@ PRIMER = 64
 #: White space of this length is left to a pattern library without a stack.
 RUN = 50_000
 BLANK = re.compile(rf"\s{{{RUN}}}")
+#: Kinds of bytes: within characters beyond ASCII, white space, letters, digits, others.
+BEYOND, WHITE, LETTER, DIGIT, OTHER = range(5)
+KIND = np.array([WHITE if c in b" \t\n\v\f\r" else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdigit() else OTHER for c in range(128)] + [BEYOND] * 128, np.uint8)
+#: White space beyond ASCII; texts that hold it are encoded whole.
+WIDE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: What pieces that don't start with a space are encoded after: a space, which tells where a piece starts, and a digit, which none of them goes on from.
+LEAD = " 1"
 
 
 class Encoder:
@@ -57,6 +66,8 @@ class Encoder:
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pretokens.PATTERN.pattern, mergeable_ranks=ranks, special_tokens={})
+        self.spaced = np.zeros(max(ranks.values()) + 1, bool)
+        self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
 
     def encode(self, text: str) -> list[int]:
         """The library's pattern runs out of stack on very long white space; such texts are cut here and encoded piece by piece."""
@@ -68,6 +79,74 @@ class Encoder:
         """Ids of the text and the end-of-text id."""
         return np.array([*self.encode(text), END], "<u2").tobytes()
 
+    def many(self, texts: pa.Array) -> Iterator[bytes]:
+        """``ids`` of each text, null counting as empty; a piece that comes up again in these texts is encoded once."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        wide = pc.match_substring_regex(texts, WIDE)
+        ends, data = _buffers(pc.if_else(wide, pa.scalar("", pa.large_string()), texts))
+        at = _cuts(ends, data)
+        pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data)).dictionary_encode()
+        flat, starts, sizes = self._encoded(pieces.dictionary)
+        closing = [np.array([END], "<u2"), *(np.array([*self.encode(t), END], "<u2") for t in texts.filter(wide).to_pylist())]
+        starts, sizes = _appended(starts, sizes, len(flat), closing)
+        flat = np.concatenate([flat, *closing])
+
+        wide = wide.to_numpy(zero_copy_only=False)
+        upto = np.searchsorted(at, ends[1:])
+        which = np.insert(pieces.indices.to_numpy(), upto, len(pieces.dictionary) + np.where(wide, np.cumsum(wide), 0))
+        size = sizes[which]
+        stop = np.cumsum(size)
+        out = flat[np.arange(size.sum()) + np.repeat(starts[which] - stop + size, size)].tobytes()
+        begin = 0
+        for end in (2 * stop[upto + np.arange(len(upto))]).tolist():
+            yield out[begin:end]
+            begin = end
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different pieces, and where in these the ids of each piece start and how many they are.
+
+        Pieces are encoded in one go where each has one space before what isn't white space, its own or that of LEAD, and no other:
+        there the pattern always cuts, so an id that starts with a space is the first one of a piece. The few others are encoded one by one.
+        """
+        at, data = _buffers(pieces)
+        first, second = (data[np.minimum(at[:-1] + i, len(data) - 1)] for i in (0, 1))
+        size, spaces = np.diff(at), np.diff(np.concatenate([[0], np.cumsum(data == ord(" "))])[at])
+        spaced = (first == ord(" ")) & (size > 1) & (KIND[second] != WHITE)
+        joined = (spaces == spaced) & (spaced | np.isin(KIND[first], (WHITE, LETTER, OTHER))) & (size < RUN)
+        lead = pc.if_else(pa.array(spaced[joined]), pa.scalar("", pa.large_string()), pa.scalar(LEAD, pa.large_string()))
+        _, text = _buffers(pc.binary_join_element_wise(lead, pieces.filter(pa.array(joined)), pa.scalar("", pa.large_string())))
+        flat = np.array(self.encoding.encode_ordinary(text.tobytes().decode()), "<u2")
+        begin = np.flatnonzero(self.spaced[flat])
+        if len(begin) != joined.sum():
+            raise ValueError(f"{joined.sum()} pieces became {len(begin)}")
+        skipped = np.where(spaced[joined], 0, len(self.encoding.encode_ordinary(LEAD)))
+        alone = [np.array(self.encode(p), "<u2") for p in pieces.filter(pa.array(~joined)).to_pylist()]
+        order = np.argsort(np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)]))
+        starts, sizes = _appended(begin + skipped, np.diff(np.append(begin, len(flat))) - skipped, len(flat), alone)
+        return np.concatenate([flat, *alone]), starts[order], sizes[order]
+
+
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text starts and the last one ends, and the bytes of all."""
+    _, at, data = texts.buffers()
+    at = np.frombuffer(at, np.int64)[texts.offset : texts.offset + len(texts) + 1] if at and len(texts) else np.zeros(1, np.int64)
+    return at - at[0], np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]]
+
+
+def _cuts(ends: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Where texts without WIDE characters fall apart into pieces that have the same ids alone: before ASCII white space, and between a letter and a mark."""
+    kind, cut = KIND[data], np.zeros(len(data) + 1, bool)
+    before, here = kind[:-1], kind[1:]
+    cut[1:-1] = ((here == WHITE) & (before != WHITE)) | ((here == OTHER) & (before == LETTER))
+    cut[ends] = True
+    return np.flatnonzero(cut)
+
+
+def _appended(starts: np.ndarray, sizes: np.ndarray, end: int, more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ids when ``more`` follow at ``end``."""
+    size = np.array([len(x) for x in more], np.int64)
+    return np.concatenate([starts, end + np.cumsum(size) - size]), np.concatenate([sizes, size])
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
@@ -118,8 +197,8 @@ def sequences(docs: DataFrame, at: str, ranks_path: str, length: int = LENGTH, k
 
         for batch in batches:
             key_kind, full = batch.column(0).type, []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, at = encoder.ids(text or ""), 0
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.many(batch.column(1)), strict=True):
+                at = 0
                 while at < len(ids):
                     part = ids[at : at + stride - len(pending)]
                     pending += part

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -113,6 +114,31 @@ def test_heavy_bigrams_are_bounded_and_others_are_joined(spark, tmp_path):
     assert parts.where("gram >= 0").join(grams, "gram").count() == parts.where("gram >= 0").count() > docs.count()
 
 
+def test_ids_of_many_texts_are_those_of_each(texts):
+    encoder = token_output.Encoder(RANKS)
+    blank = [c for c in map(chr, range(0x10000)) if c.isspace()]
+    odd = ["'", "''", "it's,'s 's", "5", "5a,b", "é", " é,", "\n\n", " \n", "\r\na", "\n" * 60_000 + "x", *(f"a{c} \n b{c}\n{c} c,{c}" for c in blank), *(f"{c} x{c}" for c in blank)]
+    for some in (texts, odd, [*texts, *odd] * 2, [None], [""], []):
+        assert list(encoder.many(pa.array(some, pa.string()))) == [encoder.ids(t or "") for t in some]
+    assert list(encoder.many(pa.array(["x", "a b", None]).slice(1))) == [encoder.ids("a b"), encoder.ids("")]
+
+
+def test_what_comes_up_again_is_encoded_once():
+    encoder, seen = token_output.Encoder(RANKS), []
+
+    class Counting:
+        def encode_ordinary(self, text):
+            seen.append(text)
+            return library.encode_ordinary(text)
+
+    library, encoder.encoding = encoder.encoding, Counting()
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(9)) for _ in range(300)]
+    some = [" ".join(rnd.choice(words) + rnd.choice(["", ",", ".\n"]) for _ in range(200)) for _ in range(100)]
+    assert list(encoder.many(pa.array(some))) == [np.array([*library.encode_ordinary(t), token_output.END], "<u2").tobytes() for t in some]
+    assert sum(map(len, seen)) < sum(map(len, some)) / 10
+
+
 @pytest.mark.parametrize("domain", [1, 2, 3, 5, 64, 1000, 4097])
 def test_permutation(domain):
     numbers = np.arange(domain)
